@@ -212,10 +212,10 @@ PUBLISHED = (
     with_(
         o=OLD_HALF,
         n=pickup_sql("pickup_ts >= timestamp '2024-01-16'"),
-        both="select 0 as batch, * from o union all select 1 as batch, * from n",
+        versions="select 0 as batch, * from o union all select 1 as batch, * from n",
     )
     + f"""
-  select zip, ts, {PICKUP_NAMES} from both
+  select zip, ts, {PICKUP_NAMES} from versions
   qualify row_number() over (partition by zip order by ts desc, batch desc) = 1
 """
 )

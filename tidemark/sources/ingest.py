@@ -6,7 +6,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.timefilter import time_literal
@@ -92,26 +92,30 @@ def drain(
 ) -> Iterator[LoadRound]:
     """Run the initial load and then steps until one finds nothing.
 
-    The table is replaced by the first round. Each round is measured by one
-    aggregate over the batch, which also gives the next start, so the loaded
-    table is never read again; on a source with time order in its files both
-    the aggregate and the append read only the matching row groups.
+    The table is replaced by the first round. Each round is one pass over the
+    matching source rows: the write itself observes their count and time
+    bounds, which give the next start, so neither the source nor the loaded
+    table is read a second time.
     """
+    source_end = loaded_until(source, ts)
     batch = initial_load(source, ts, exact_midnight)
     for number in range(max_rounds):
-        stats = batch.agg(
+        seen = Observation()
+        watched = batch.observe(
+            seen,
             F.count(F.lit(1)).alias("n"),
             F.min(ts).cast("string").alias("first"),
             F.max(ts).cast("string").alias("last"),
-        ).first()
+        )
+        mode = "overwrite" if number == 0 else "append"
+        watched.write.format("parquet").mode(mode).saveAsTable(table)
+        stats = seen.get
         if not stats["n"]:
             return
-        if number == 0:
-            batch.write.format("parquet").mode("overwrite").saveAsTable(table)
-        else:
-            batch.write.format("parquet").mode("append").saveAsTable(table)
         last = datetime.fromisoformat(stats["last"])
         yield LoadRound(number, stats["n"], datetime.fromisoformat(stats["first"]), last)
+        if last >= source_end:
+            return
         batch = load_step(source, ts, last, exact_midnight, skip_gaps)
 
 
