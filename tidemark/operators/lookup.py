@@ -12,8 +12,8 @@ from pyspark.sql import types as T
 from tidemark.operators.skew import MAX_GROUP_ROWS, GroupSizes, group_sizes, hot_key_cuts, piece_of
 from tidemark.session import estimated_bytes
 
-# Below this estimate no group can be too large for one task.
-SMALL_INPUT_BYTES = 256 * 1024 * 1024
+# Up to this optimizer estimate (compressed file bytes) one task can hold any group.
+SMALL_INPUT_BYTES = 64 * 1024 * 1024
 STRATEGIES = ("auto", "sorted", "bucketed", "split")
 
 

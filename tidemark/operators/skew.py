@@ -15,6 +15,8 @@ MAX_GROUP_ROWS = 2_000_000
 MAX_GROUPS = 10_000
 # Cut points are searched in blocks of this many.
 BLOCK = 64
+# Rows looked at per piece when placing cuts.
+SAMPLES_PER_PIECE = 50
 
 
 @dataclass(frozen=True)
@@ -47,8 +49,11 @@ def hot_key_cuts(
     at most ``MAX_GROUPS`` keys can pass it. The same arithmetic bounds the cut
     points over all keys: a key of n rows gets about n / limit of them. That is
     why the result may be held on the driver and broadcast. It has to be fixed
-    there: approximate quantiles may differ between two evaluations, and both
-    sides of a lookup must be cut at the same times.
+    there: both sides of a lookup must be cut at the same times.
+
+    Only the position of the cuts comes from a sample (of a bounded size, as for
+    a range partitioning); every row is then assigned to a piece, so an uneven
+    cut costs balance and never a row.
     """
     limit = max(max_group_rows, math.ceil(sizes.total / MAX_GROUPS))
     if sizes.largest <= limit:
@@ -57,11 +62,13 @@ def hot_key_cuts(
     pieces = math.ceil(sizes.largest / limit)
     shares = [i / pieces for i in range(1, pieces)]
     step = F.greatest(F.lit(1), F.floor(F.lit(pieces) * limit / F.col("n"))).cast("int")
+    fraction = min(1.0, SAMPLES_PER_PIECE / limit)
+    looked_at = rows if fraction == 1.0 else rows.sample(fraction, seed=0)
     cuts = (
-        rows.join(hot, list(keys))
+        looked_at.join(hot, list(keys))
         .groupBy(*keys)
         .agg(
-            F.percentile_approx(ts, shares, max(10_000, 20 * pieces)).alias("all_cuts"),
+            F.percentile_approx(ts, shares, 20 * pieces).alias("all_cuts"),
             F.first("n").alias("n"),
         )
         .withColumn("step", step)

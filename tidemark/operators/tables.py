@@ -253,11 +253,11 @@ class FeatureTable:
         return None
 
     @contextmanager
-    def _staged(self, df: DataFrame, validate: bool) -> Iterator[DataFrame]:
-        """The incoming rows, computed once and written beside the table.
+    def _staged(self, df: DataFrame, validate: bool) -> Iterator[tuple[DataFrame, list]]:
+        """The incoming rows, written once beside the table, and their partition values.
 
-        Checks, touched partitions and the write all read this copy, so an
-        expensive feature plan is not run once for each of them.
+        The key check, the list of touched partitions and the write all read
+        this copy, so an expensive feature plan is not run once for each.
         """
         spark = df.sparkSession
         database = self.name.rsplit(".", 1)[0] + "." if "." in self.name else ""
@@ -265,15 +265,26 @@ class FeatureTable:
         self._shape(df).write.format("parquet").saveAsTable(stage)
         try:
             rows = spark.table(stage)
-            if validate:
-                self.check(rows)
-            yield rows
+            yield rows, self._touched(rows, validate)
         finally:
             spark.sql(f"DROP TABLE IF EXISTS {stage}")
 
-    def _touched(self, rows: DataFrame) -> list:
-        """Partition values of a batch: days or buckets, so few by nature."""
-        return [r[0] for r in rows.select(self.partition).distinct().collect()]
+    def _touched(self, rows: DataFrame, validate: bool) -> list:
+        """Days or buckets of a batch (few by nature), checking its key on the way.
+
+        A partition value depends on the key alone, so grouping by it as well
+        leaves the key check as it is and makes both one job.
+        """
+        if not validate:
+            return [r[0] for r in rows.select(self.partition).distinct().collect()]
+        broken = F.col("n") > 1
+        for k in self.key_columns:
+            broken = broken | F.col(k).isNull()
+        per_key = rows.groupBy(self.partition, *self.key_columns).agg(F.count(F.lit(1)).alias("n"))
+        found = per_key.groupBy(self.partition).agg(F.bool_or(broken).alias("broken")).collect()
+        if any(r["broken"] for r in found):
+            self.check(rows)
+        return [r[self.partition] for r in found]
 
     def _replace_partitions(self, rows: DataFrame) -> None:
         spark = rows.sparkSession
@@ -289,8 +300,7 @@ class FeatureTable:
         Writing the same batch again changes nothing. With ``newest_by`` a
         stored row with a later value in that column stays.
         """
-        with self._staged(df, validate) as incoming:
-            touched = self._touched(incoming)
+        with self._staged(df, validate) as (incoming, touched):
             if not touched:
                 return
             stored = df.sparkSession.table(self.name).filter(F.col(self.partition).isin(touched))
@@ -300,8 +310,8 @@ class FeatureTable:
 
     def overwrite(self, df: DataFrame, validate: bool = True) -> None:
         """Replace the table. New partitions are committed before stale ones go."""
-        with self._staged(df, validate) as incoming:
-            touched = {str(v) for v in self._touched(incoming)}
+        with self._staged(df, validate) as (incoming, values):
+            touched = {str(v) for v in values}
             if touched:
                 self._replace_partitions(incoming)
             spark = df.sparkSession

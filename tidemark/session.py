@@ -66,8 +66,7 @@ def require_utc(spark: SparkSession) -> None:
 
 def estimated_bytes(df: DataFrame) -> int | None:
     """Optimizer size estimate of a plan, or None when there is none."""
-    try:
-        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:  # no estimate on this client: the caller then measures instead
+    plan = getattr(df, "_jdf", None)  # absent on clients without a local JVM
+    if plan is None:
         return None
-    return size
+    return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
