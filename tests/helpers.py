@@ -1,0 +1,17 @@
+from __future__ import annotations
+
+from datetime import datetime
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def at(text: str) -> datetime:
+    return datetime.fromisoformat(text if "-" in text else f"2024-01-01 {text}")
+
+
+def rows_of(df) -> list[tuple]:
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
