@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from helpers import SMALL, at, plan_of, rows_of
 from tidemark import FeatureClient, FeatureLookup, create_training_set
 from tidemark.functions.hashing import train_test_split
+from tidemark.functions.timefilter import ts_range
 from tidemark.models.regression import (
     append_inference_log,
     fit_regression,
@@ -16,7 +17,7 @@ from tidemark.models.regression import (
     rmse_of,
 )
 from tidemark.operators.lookup import PitOptions
-from tidemark.operators.training import fill_missing, lookups_from_json, lookups_to_json
+from tidemark.operators.training import add_features, fill_missing, lookups_from_json, lookups_to_json
 from tidemark.operators.windows import pickup_features
 from tidemark.plans.common import (
     DROPOFF_NAMES,
@@ -162,3 +163,21 @@ def test_client_tables(spark, database):
     assert not spark.catalog.tableExists(name)
     with pytest.raises(ValueError):
         client.create_table(name, ["zip"])
+
+
+def test_stored_features_out_of_reach_are_not_read(spark, database):
+    table = pickup_table(spark, database)
+    facts = trips(spark, SMALL)
+    table.write(pickup_features(facts))
+    day = ts_range(facts, "pickup_ts", "2024-01-10", "2024-01-11")
+    for age in ("6 hours", None):
+        options = PitOptions(max_age=age, small_input_bytes=0, matched_ts="m")
+        pruned = FeatureLookup(PICKUP_NAMES, ["pickup_zip"], "pickup_ts", table.name, options=options)
+        rows, _, _ = pruned.resolve(day)
+        low, high = rows.agg(F.min("ts"), F.max("ts")).first()
+        assert high <= at("2024-01-11") and (low >= at("2024-01-09 18:00:00")) == (age is not None)
+        whole = FeatureLookup(
+            PICKUP_NAMES, ["pickup_zip"], "pickup_ts", table.name, options=PitOptions(max_age=age, matched_ts="m")
+        )
+        assert rows_of(add_features(day, [pruned])) == rows_of(add_features(day, [whole]))
+    assert pruned.resolve(day.filter("false"))[0].count() == table.read(spark).count()

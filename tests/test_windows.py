@@ -9,7 +9,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from helpers import SMALL, at, plan_of, rows_of
-from tidemark.operators.windows import Measure, dropoff_features, pickup_features, windowed_features
+from tidemark.operators import windows
+from tidemark.operators.windows import Measure, dropoff_features, pickup_features, slots_fit, windowed_features
 from tidemark.sources.trips import trips
 
 TRIP = "pickup_zip int, pickup_ts timestamp_ntz, fare_amount double"
@@ -121,3 +122,16 @@ def test_day_windows_with_other_keys(spark):
     out = windowed_features(df, {"x": "id", "y": "y"}, "t", "2 days", {"v": Measure("max", "v")}, "1 day")
     assert out.columns == ["id", "y", "ts", "v"]
     assert out.select(F.max("ts")).first()[0] == datetime(2024, 1, 3)
+
+
+def test_slots_are_used_for_large_input_and_only_where_they_fit(spark, monkeypatch):
+    assert slots_fit("1 hour", "15 minutes") and slots_fit("30 days", "10 days") and slots_fit("2 Weeks", "1 day")
+    assert not slots_fit("1 hour", "25 minutes") and not slots_fit("1 hour", None) and not slots_fit("1 hour", "1 hour")
+    facts = trips(spark, SMALL)
+    with pytest.raises(ValueError, match="slots"):
+        windowed_features(facts, ["pickup_zip"], "pickup_ts", "1 hour", {"n": Measure("count")}, "25 minutes", pre_aggregate=True)
+    assert plan_of(pickup_features(facts)).count("Exchange") == 1
+    monkeypatch.setattr(windows, "SLOT_INPUT_BYTES", 0)
+    assert plan_of(pickup_features(facts)).count("Exchange") == 2
+    uneven = windowed_features(facts, ["pickup_zip"], "pickup_ts", "1 hour", {"n": Measure("count")}, "25 minutes")
+    assert plan_of(uneven).count("Exchange") == 1

@@ -19,7 +19,7 @@ from tidemark.operators.training import (
     lookups_from_json,
     lookups_to_json,
 )
-from tidemark.session import shared_dir
+from tidemark.session import ensure_checkpoint_dir
 
 # 100 rounds; depth 5 allows the 32 leaves per tree asked for.
 ROUNDS = 100
@@ -68,7 +68,7 @@ def fit_regression(
     train: DataFrame, feature_columns: Sequence[str], label: str, rounds: int = ROUNDS, **options
 ) -> PipelineModel:
     """Train on the executors. Rows without a label are left out."""
-    shared_dir(train.sparkSession)  # boosting cuts its lineage by checkpoints
+    ensure_checkpoint_dir(train.sparkSession)  # boosting cuts its lineage there
     columns = [*feature_columns, label]
     rows = train.select(*columns).filter(F.col(label).isNotNull())
     return regression_pipeline(feature_columns, label, rounds, **options).fit(rows)

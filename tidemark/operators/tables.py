@@ -340,15 +340,18 @@ class FeatureTable:
             query.awaitTermination()
         return query
 
-    def publish(self, spark: SparkSession, online: FeatureTable, mode: str = "merge") -> None:
+    def publish(
+        self, spark: SparkSession, online: FeatureTable, mode: str = "merge", since: Bound = None
+    ) -> None:
         """Push the newest row per key to a table keyed without time.
 
         In merge mode a later row already there stays, so publishing out of
-        order, or twice, is safe.
+        order, or twice, is safe. ``since`` limits a regular run to the days
+        written after the last one.
         """
         if not self.ts or online.ts:
             raise ValueError("publish goes from a table with a time key to one without")
-        latest = latest_snapshot(self.read(spark), self.keys, self.ts, self.features)
+        latest = latest_snapshot(self.read(spark, since), self.keys, self.ts, self.features)
         if mode == "merge":
             online.merge(latest, newest_by=self.ts)
         else:

@@ -5,12 +5,15 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.lookup import PitOptions, key_lookup, pit_lookup
 from tidemark.operators.tables import FeatureTable
+from tidemark.operators.windows import duration_micros
+from tidemark.session import estimated_bytes
 
 
 @dataclass(frozen=True)
@@ -31,11 +34,33 @@ class FeatureLookup:
     frame_ts: str = "ts"
     options: PitOptions = PitOptions()
 
-    def resolve(self, spark: SparkSession) -> tuple[DataFrame, list[str], str | None]:
+    def resolve(self, base: DataFrame) -> tuple[DataFrame, list[str], str | None]:
+        """The feature rows this lookup can need, their key and time columns."""
         if self.frame is not None:
             return self.frame, list(self.frame_keys), self.frame_ts
+        spark = base.sparkSession
         table = FeatureTable.load(spark, self.table_name)
-        return table.read(spark), list(table.keys), table.ts
+        rows = table.read(spark)
+        if self.timestamp_lookup_key and table.ts:
+            size = estimated_bytes(rows)
+            if size is None or size > self.options.small_input_bytes:
+                rows = table.read(spark, *self._reach(base))
+        return rows, list(table.keys), table.ts
+
+    def _reach(self, base: DataFrame) -> tuple[datetime | None, datetime | None]:
+        """Times outside of which no feature row can be used (one row to the driver).
+
+        Nothing after the last lookup matters and, with an age limit, nothing
+        long before the first one. So a day's batch against years of stored
+        features reads only the day folders in between.
+        """
+        ts = F.col(self.timestamp_lookup_key)
+        first, last = base.agg(F.min(ts).cast("string"), F.max(ts).cast("string")).first()
+        if first is None:
+            return None, None
+        age = duration_micros(self.options.max_age) if self.options.max_age else None
+        start = datetime.fromisoformat(first) - timedelta(microseconds=age) if age else None
+        return start, datetime.fromisoformat(last) + timedelta(microseconds=1)
 
     def to_dict(self) -> dict:
         if self.table_name is None:
@@ -79,7 +104,7 @@ def add_features(base: DataFrame, lookups: Sequence[FeatureLookup], keep_given:
         wanted = [n for n in lookup.feature_names if not (keep_given and n in base.columns)]
         if not wanted:
             continue
-        features, keys, ts = lookup.resolve(base.sparkSession)
+        features, keys, ts = lookup.resolve(base)
         if lookup.timestamp_lookup_key is None:
             out = key_lookup(out, features, lookup.lookup_key, keys, wanted)
         else:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -11,6 +12,36 @@ from pyspark.sql import types as T
 
 from tidemark.functions.calendar import is_weekend
 from tidemark.functions.timefilter import Bound, ts_range
+from tidemark.session import estimated_bytes
+
+# Above this optimizer estimate of the input, sliding windows are built from slots.
+SLOT_INPUT_BYTES = 64 * 1024 * 1024
+# Microseconds per unit of a window duration.
+UNIT_MICROS = {
+    "microsecond": 1,
+    "millisecond": 1_000,
+    "second": 1_000_000,
+    "minute": 60_000_000,
+    "hour": 3_600_000_000,
+    "day": 86_400_000_000,
+    "week": 604_800_000_000,
+}
+
+
+def duration_micros(text: str) -> int | None:
+    """Length of ``"<n> <unit>"``, or None for other spellings."""
+    match = re.fullmatch(r"\s*(\d+)\s+([a-z]+?)s?\s*", text.lower())
+    if not match or match[2] not in UNIT_MICROS:
+        return None
+    return int(match[1]) * UNIT_MICROS[match[2]]
+
+
+def slots_fit(window: str, slide: str | None) -> bool:
+    """Whether each window is a whole number of slide-wide slots, more than one."""
+    if slide is None:
+        return False
+    width, step = duration_micros(window), duration_micros(slide)
+    return bool(width and step and width > step and width % step == 0)
 
 
 @dataclass(frozen=True)
@@ -55,7 +86,7 @@ def windowed_features(
     measures: Mapping[str, Measure],
     slide: str | None = None,
     out_ts: str = "ts",
-    pre_aggregate: bool = False,
+    pre_aggregate: bool | None = None,
 ) -> DataFrame:
     """One row per entity and non-empty window ``[end - window, end)``.
 
@@ -66,12 +97,21 @@ def windowed_features(
     the shuffle, and shuffled once by (key, window). ``pre_aggregate`` first
     sums rows to slide-wide slots, then copies slots instead of rows: a second
     shuffle of slot rows buys ``window / slide`` times less work per input row.
-    It pays when a slot holds many rows; it needs ``window`` to be a multiple
-    of ``slide`` and only the decomposable kinds of ``Measure``.
+    It pays on large input, where a slot holds many rows, and needs ``window``
+    to be a multiple of ``slide``. Left at None it is chosen by the size of the
+    input; streams always use the plain form.
     """
+    if pre_aggregate and not slots_fit(window, slide):
+        raise ValueError(f"{window} is not several slots of {slide}")
+    if pre_aggregate is None:
+        pre_aggregate = (
+            not df.isStreaming
+            and slots_fit(window, slide)
+            and (estimated_bytes(df) or 0) > SLOT_INPUT_BYTES
+        )
     names = dict(keys) if isinstance(keys, Mapping) else {k: k for k in keys}
     key_columns = [F.col(k).alias(v) for k, v in names.items()]
-    if not pre_aggregate or slide is None:
+    if not pre_aggregate:
         grouped = df.groupBy(*key_columns, F.window(ts, window, slide).alias("__w"))
         out = grouped.agg(*[m.direct().alias(n) for n, m in measures.items()])
     else:
@@ -103,7 +143,7 @@ def pickup_features(
     start: Bound = None,
     end: Bound = None,
     event_ts: str = "pickup_ts",
-    pre_aggregate: bool = False,
+    pre_aggregate: bool | None = None,
 ) -> DataFrame:
     """Mean fare and trip count of the last hour per pickup ZIP, every 15 minutes."""
     return windowed_features(

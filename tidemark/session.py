@@ -36,13 +36,17 @@ def shared_dir(spark: SparkSession) -> str:
     if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     if sc.applicationId not in _LOCAL_WORK_DIRS:
-        path = tempfile.mkdtemp(prefix="tidemark-")
-        _LOCAL_WORK_DIRS[sc.applicationId] = path
-        if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(path)
+        _LOCAL_WORK_DIRS[sc.applicationId] = tempfile.mkdtemp(prefix="tidemark-")
     return _LOCAL_WORK_DIRS[sc.applicationId]
 
 
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Let iterative jobs cut their lineage in the shared folder."""
+    folder = shared_dir(spark)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(folder)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder; nothing is created yet."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
