@@ -12,11 +12,13 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     root = tmp_path_factory.mktemp("spark")
+    from tidemark.session import SESSION_DEFAULTS
+
+    builder = SparkSession.builder.master("local[4]").appName("tests")
+    for key, value in SESSION_DEFAULTS.items():
+        builder = builder.config(key, value)
     session = (
-        SparkSession.builder.master("local[4]")
-        .appName("tests")
-        .config("spark.sql.shuffle.partitions", "4")
-        .config("spark.sql.session.timeZone", "UTC")
+        builder.config("spark.sql.shuffle.partitions", "4")
         .config("spark.checkpoint.dir", str(root / "shared"))
         .config("spark.sql.warehouse.dir", str(root / "warehouse"))
         .config("spark.ui.enabled", "false")

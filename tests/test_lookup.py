@@ -21,6 +21,7 @@ MODES = [
     {"strategy": "bucketed", "bucket": "1 hour"},
     {"strategy": "split", "max_group_rows": 2},
     {"strategy": "auto", "small_input_bytes": 0, "max_group_rows": 2},
+    {"strategy": "bucketed", "bucket": "1 hour", "small_input_bytes": 0, "max_group_rows": 2},
     {"strategy": "auto"},
 ]
 
@@ -136,7 +137,8 @@ def test_a_hot_key_full_of_copies_and_a_hot_null_key(spark):
         .unionByName(spark.createDataFrame([(2, at("00:10"), 5, "c")], FEATURES))
     )
     plain = look_up(left, feats, strategy="sorted", allow_exact=True)
-    for mode in ({"strategy": "split", "max_group_rows": 200}, {"strategy": "auto", "small_input_bytes": 0, "max_group_rows": 200}):
+    bucketed = {"strategy": "bucketed", "bucket": "1 day", "small_input_bytes": 0, "max_group_rows": 200}
+    for mode in (bucketed, {"strategy": "split", "max_group_rows": 200}, {"strategy": "auto", "small_input_bytes": 0, "max_group_rows": 200}):
         out = look_up(left, feats, allow_exact=True, **mode)
         assert out.count() == 3 * n
         assert out.exceptAll(plain).count() == 0 and plain.exceptAll(out).count() == 0

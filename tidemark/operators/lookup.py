@@ -25,8 +25,9 @@ class PitOptions:
     max_age       ignore features older than this, e.g. ``"6 hours"``
     matched_ts    output column for the time of the feature row that was used
     strategy      ``sorted``: one shuffle by key and one sorted pass per key.
-                  ``bucketed``: keys cut at multiples of ``bucket``.
                   ``split``: only hot keys are cut, at measured times.
+                  ``bucketed``: every key is cut at multiples of ``bucket``,
+                  and a hot bucket again at measured times.
                   ``auto``: ``sorted`` for small input or when no key is hot
                   by count, else ``split``.
     """
@@ -106,7 +107,7 @@ def pit_lookup(
 
     strategy, sizes = options.strategy, None
     if strategy == "auto":
-        strategy, sizes = _choose(probe_rows, feature_rows, keys, source, features, options)
+        strategy, sizes = _choose(probe_rows, feature_rows, keys, options)
     if strategy == "sorted":
         matched = _sorted_pass(left, feature_rows, left_keys, left_ts, keys, ts_type, options)
     else:
@@ -116,16 +117,15 @@ def pit_lookup(
     return _emit(matched, left.columns, left_ts, ts_type, feature_names, options)
 
 
+def _is_small(source: DataFrame, features: DataFrame, options: PitOptions) -> bool:
+    estimates = [estimated_bytes(source), estimated_bytes(features)]
+    return None not in estimates and sum(estimates) <= options.small_input_bytes
+
+
 def _choose(
-    probes: DataFrame,
-    feature_rows: DataFrame,
-    keys: list[str],
-    source: DataFrame,
-    features: DataFrame,
-    options: PitOptions,
+    probes: DataFrame, feature_rows: DataFrame, keys: list[str], options: PitOptions
 ) -> tuple[str, GroupSizes | None]:
-    estimates = [estimated_bytes(source), estimated_bytes(features)]
-    if None not in estimates and sum(estimates) <= options.small_input_bytes:
+    if _is_small(probes, feature_rows, options):
         return "sorted", None
     # Only key columns are read here, and counts are summed before the shuffle.
     both = probes.select(*keys).unionByName(feature_rows.select(*keys))
@@ -210,31 +210,32 @@ def _resolve_and_join(
         _null_features(feature_rows.schema["__f"].dataType).alias("__f"),
     ).unionByName(feature_rows.withColumn("__side", F.lit(feature_side)))
 
-    cut_keys = None
+    times = probe_rows.filter(_all_present([*keys, "__t"])).unionByName(
+        feature_rows.select(*keys, "__t")
+    )
+    group = keys
     if strategy == "bucketed":
-        rows = rows.withColumn("__piece", F.window("__t", options.bucket)["start"])
-        cut_keys = rows
+        start = F.window("__t", options.bucket)["start"]
+        rows, times = rows.withColumn("__bucket", start), times.withColumn("__bucket", start)
+        group = [*keys, "__bucket"]
+    cuts = None
+    if strategy == "split" or not _is_small(probe_rows, feature_rows, options):
+        sizes = sizes or group_sizes(times, group)
+        cuts = hot_key_cuts(times, group, "__t", sizes, options.max_group_rows)
+    piece = F.lit(0)
+    if cuts is not None:
+        # At most MAX_GROUPS cut points in all, see hot_key_cuts.
+        rows = rows.join(F.broadcast(cuts), group, "left")
+        piece = piece_of("__t")
+    if strategy == "bucketed":
+        rows = rows.withColumn("__piece", F.struct("__bucket", piece.alias("cut")))
+        rows = rows.unionByName(_carry_in(rows, keys, feature_side), allowMissingColumns=True)
+    elif cuts is not None:
+        rows = rows.withColumn("__piece", piece)
+        hot = rows.filter(F.col("cuts").isNotNull())
+        rows = rows.unionByName(_carry_in(hot, keys, feature_side), allowMissingColumns=True)
     else:
-        times = probe_rows.filter(_all_present([*keys, "__t"])).unionByName(
-            feature_rows.select(*keys, "__t")
-        )
-        sizes = sizes or group_sizes(times, keys)
-        cuts = hot_key_cuts(times, keys, "__t", sizes, options.max_group_rows)
-        if cuts is None:
-            rows = rows.withColumn("__piece", F.lit(0))
-        else:
-            # At most MAX_GROUPS cut points in all, see hot_key_cuts.
-            rows = (
-                rows.join(F.broadcast(cuts), keys, "left")
-                .withColumn("__piece", piece_of("__t"))
-                .withColumn("__hot", F.col("cuts").isNotNull())
-                .drop("cuts")
-            )
-            cut_keys = rows.filter("__hot").drop("__hot")
-            rows = rows.drop("__hot")
-
-    if cut_keys is not None:
-        rows = rows.unionByName(_carry_in(cut_keys, keys, feature_side))
+        rows = rows.withColumn("__piece", piece)
     answers = (
         rows.withColumn("__f", _latest([*keys, "__piece"]))
         .filter(F.col("__side") == left_side)

@@ -7,17 +7,25 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+SESSION_DEFAULTS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+}
+
 _LOCAL_WORK_DIRS: dict[str, str] = {}
 
 
-def build_session(app_name: str = "tidemark", **conf: str) -> SparkSession:
+def build_session(app_name: str = "tidemark", conf: dict[str, str] | None = None) -> SparkSession:
     """A session pinned to UTC with adaptive execution left on.
 
-    Shuffle partitions are not set here: on a cluster they follow the input
-    size, and adaptive execution merges small ones.
+    Stream state is kept in RocksDB, beside the heap, as window state grows
+    with the number of entities. Shuffle partitions are not set here: on a
+    cluster they follow the input size, and adaptive execution merges small ones.
     """
-    builder = SparkSession.builder.appName(app_name).config("spark.sql.session.timeZone", "UTC")
-    for key, value in conf.items():
+    builder = SparkSession.builder.appName(app_name)
+    for key, value in {**SESSION_DEFAULTS, **(conf or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
