@@ -110,21 +110,29 @@ def windowed_features(
             and (estimated_bytes(df) or 0) > SLOT_INPUT_BYTES
         )
     names = dict(keys) if isinstance(keys, Mapping) else {k: k for k in keys}
-    key_columns = [F.col(k).alias(v) for k, v in names.items()]
+    entity = [F.col(k).alias(v) for k, v in names.items()]
+    direct = [m.direct().alias(n) for n, m in measures.items()]
+    if df.isStreaming:
+        # The window struct itself is the key the watermark clears state by.
+        out = df.groupBy(*entity, F.window(ts, window, slide).alias("__w")).agg(*direct)
+        return out.select(*names.values(), F.col("__w.end").alias(out_ts), *measures)
+    # In batch the end alone is the key: a plain number, which the hash
+    # aggregate handles faster than a struct and which shuffles half the bytes.
     if not pre_aggregate:
-        grouped = df.groupBy(*key_columns, F.window(ts, window, slide).alias("__w"))
-        out = grouped.agg(*[m.direct().alias(n) for n, m in measures.items()])
-    else:
-        partials = [p for n, m in measures.items() for p in m.partials(n)]
-        slots = (
-            df.groupBy(*key_columns, F.window(ts, slide).alias("__slot"))
-            .agg(*partials)
-            .withColumn("__at", F.col("__slot.start"))
-        )
-        out = slots.groupBy(*names.values(), F.window("__at", window, slide).alias("__w")).agg(
-            *[m.finish(n).alias(n) for n, m in measures.items()]
-        )
-    return out.select(*names.values(), F.col("__w.end").alias(out_ts), *measures)
+        placed = df.withColumn("__w", F.window(ts, window, slide))
+        out = placed.groupBy(*entity, F.col("__w.end").alias(out_ts)).agg(*direct)
+        return out.select(*names.values(), out_ts, *measures)
+    partials = [p for n, m in measures.items() for p in m.partials(n)]
+    slots = (
+        df.withColumn("__w", F.window(ts, slide))
+        .groupBy(*entity, F.col("__w.start").alias("__slot"))
+        .agg(*partials)
+    )
+    placed = slots.withColumn("__w", F.window("__slot", window, slide))
+    out = placed.groupBy(*names.values(), F.col("__w.end").alias(out_ts)).agg(
+        *[m.finish(n).alias(n) for n, m in measures.items()]
+    )
+    return out.select(*names.values(), out_ts, *measures)
 
 
 # The two feature groups, with the names their users query.
