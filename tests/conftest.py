@@ -18,7 +18,7 @@ def spark(tmp_path_factory):
     for key, value in SESSION_DEFAULTS.items():
         builder = builder.config(key, value)
     session = (
-        builder.config("spark.sql.shuffle.partitions", "4")
+        builder.config("spark.sql.shuffle.partitions", "2")
         .config("spark.checkpoint.dir", str(root / "shared"))
         .config("spark.sql.warehouse.dir", str(root / "warehouse"))
         .config("spark.ui.enabled", "false")

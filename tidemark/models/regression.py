@@ -131,6 +131,13 @@ class PackagedModel:
     def score_struct(self, df: DataFrame, request: str, output: str = "prediction") -> DataFrame:
         return score_struct(self.model, df, request, output)
 
+    def create_view(self, spark: SparkSession, source: str, request: str, view: str) -> None:
+        """For SQL users: ``view`` is ``source`` (table or view) plus ``prediction``.
+
+        The view is a plan; a query on it scores the rows it needs.
+        """
+        self.score_struct(spark.table(source), request).createOrReplaceTempView(view)
+
 
 def score_struct(
     model: PipelineModel, df: DataFrame, request: str, output: str = "prediction"

@@ -26,6 +26,7 @@ from tidemark.operators.windows import (
 )
 from tidemark.plans.common import (
     PICKUP_NAMES,
+    dropoff_table,
     fare_training_set,
     frame_lookups,
     online_table,
@@ -121,6 +122,16 @@ def rides_by_weekend(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def rides_by_weekend_sql(spark: SparkSession, folder: str) -> DataFrame:
+    """The same report as SQL on the stored feature table."""
+    table = dropoff_table(spark, scratch_database(spark, "report"))
+    table.write(dropoff_features(trips(spark, folder)), "overwrite")
+    return spark.sql(
+        f"SELECT sum(count_trips_window_30m_dropoff_zip) AS num_rides, dropoff_is_weekend "
+        f"FROM {table.name} WHERE dropoff_is_weekend IS NOT NULL GROUP BY dropoff_is_weekend"
+    )
+
+
 def order_features_30d(spark: SparkSession, folder: str) -> DataFrame:
     return windowed_features(
         read_table(spark, folder, "orders"),
@@ -331,6 +342,7 @@ QUERIES = {
     "pickup_features_range": pickup_in_range,
     "dropoff_features": dropoff,
     "rides_by_weekend": rides_by_weekend,
+    "rides_by_weekend_sql": rides_by_weekend_sql,
     "order_features_30d": order_features_30d,
     "pit_lookup": pit_lookup,
     "pit_lookup_inclusive": pit_lookup_inclusive,

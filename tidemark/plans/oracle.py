@@ -277,6 +277,10 @@ BASELINE = (
 def statements() -> dict[str, str]:
     pickup = with_() + pickup_sql()
     dropoff = with_() + DROPOFF
+    by_weekend = with_(d=DROPOFF) + (
+        "select dropoff_is_weekend, cast(sum(count_trips_window_30m_dropoff_zip) as bigint) "
+        "as num_rides from d where dropoff_is_weekend is not null group by 1"
+    )
     return {
         "training_set": TRAINING,
         "training_set_split": TRAINING,
@@ -298,9 +302,8 @@ def statements() -> dict[str, str]:
         "pickup_features_range": with_()
         + pickup_sql("pickup_ts >= timestamp '2024-01-01' and pickup_ts < timestamp '2024-01-16'"),
         "dropoff_features": dropoff,
-        "rides_by_weekend": with_(d=DROPOFF)
-        + "select dropoff_is_weekend, cast(sum(count_trips_window_30m_dropoff_zip) as bigint) "
-        "as num_rides from d where dropoff_is_weekend is not null group by 1",
+        "rides_by_weekend": by_weekend,
+        "rides_by_weekend_sql": by_weekend,
         "order_features_30d": ORDERS,
         "pit_lookup": pit_sql(">"),
         "pit_lookup_inclusive": pit_sql(">="),
