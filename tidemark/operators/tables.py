@@ -64,10 +64,9 @@ def latest_snapshot(df: DataFrame, keys: Sequence[str], ts: str, features: Seque
 
 
 @contextmanager
-def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
-    option = "spark.sql.sources.partitionOverwriteMode"
+def _setting(spark: SparkSession, option: str, value: str) -> Iterator[None]:
     before = spark.conf.get(option)
-    spark.conf.set(option, "dynamic")
+    spark.conf.set(option, value)
     try:
         yield
     finally:
@@ -291,7 +290,7 @@ class FeatureTable:
         # Rebalancing gives each partition value files of even size: small days
         # are joined up and a hot day is split over tasks by adaptive execution.
         shaped = rows.select(*self.schema.names, self.partition).hint("rebalance", self.partition)
-        with _dynamic_overwrite(spark):
+        with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
             shaped.write.mode("overwrite").insertInto(self.name)
 
     def merge(self, df: DataFrame, newest_by: str | None = None, validate: bool = True) -> None:
@@ -324,18 +323,23 @@ class FeatureTable:
     def merge_stream(
         self, df: DataFrame, checkpoint: str, wait: bool = True, trigger: dict | None = None
     ) -> StreamingQuery:
-        """Merge each micro-batch. Replayed batches are harmless: merge is idempotent."""
+        """Merge each micro-batch. Replayed batches are harmless: merge is idempotent.
+
+        Micro-batches without input are left out. In update mode they give no
+        rows; old state is then cleared by the next batch that has some.
+        """
 
         def merge_batch(batch: DataFrame, batch_id: int) -> None:
             self.merge(batch)
 
-        query = (
+        writer = (
             df.writeStream.outputMode("update")
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True}))
             .foreachBatch(merge_batch)
-            .start()
         )
+        with _setting(df.sparkSession, "spark.sql.streaming.noDataMicroBatches.enabled", "false"):
+            query = writer.start()
         if wait:
             query.awaitTermination()
         return query
