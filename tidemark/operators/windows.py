@@ -8,7 +8,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.functions.calendar import is_weekend
 from tidemark.functions.timefilter import Bound, ts_range
@@ -181,7 +180,3 @@ def dropoff_features(
         DROPOFF_MEASURES,
     )
     return out.withColumn("dropoff_is_weekend", is_weekend(F.col("ts"), out.schema["ts"].dataType))
-
-
-def feature_schema(df: DataFrame) -> T.StructType:
-    return T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema])

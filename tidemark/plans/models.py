@@ -12,7 +12,6 @@ from tidemark.models.regression import (
     fit_regression,
     grouped_mean_predictor,
     inference_log,
-    predict,
     rmse_of,
 )
 from tidemark.operators.training import add_features
