@@ -23,7 +23,7 @@ def land(spark, path, *rows):
 
 def run_pickup(spark, path, table, checkpoint, **options):
     source = stream.file_stream(spark, path, spark.createDataFrame([], TRIP).schema)
-    stream.stream_features(source, pickup_features, "pickup_ts", table, checkpoint, **options)
+    return stream.stream_features(source, pickup_features, "pickup_ts", table, checkpoint, **options)
 
 
 @pytest.mark.parametrize("kind", ["pickup", "dropoff"])
@@ -71,9 +71,11 @@ def test_rows_past_the_watermark_come_in_by_reconcile(spark, database, tmp_path)
     land(spark, path, (1, "01:00", 2.0), (1, "2024-01-02 12:00:00", 2.0))
     run_pickup(spark, path, table, checkpoint)
     land(spark, path, (1, "2024-01-02 12:10:00", 2.0))
-    run_pickup(spark, path, table, checkpoint)
+    on_time = run_pickup(spark, path, table, checkpoint)
     land(spark, path, (1, "01:05", 6.0))
-    run_pickup(spark, path, table, checkpoint)
+    late = run_pickup(spark, path, table, checkpoint)
+    assert stream.dropped_by_watermark(on_time) == 0
+    assert stream.dropped_by_watermark(late) == 4
     facts = spark.read.parquet(path)
     whole = pickup_features(facts)
     assert table.read(spark).exceptAll(whole).count() == 4

@@ -50,12 +50,23 @@ def stream_features(
     Update mode sends each window again when it changes and the merge replaces
     it, so no window waits for the watermark (append mode would hold the last
     ones back). The watermark only bounds the state. Rows later than it are
-    not counted here; ``reconcile`` brings them in.
+    left out; ``dropped_by_watermark`` tells that it happened and
+    ``reconcile`` brings them in.
     """
     built = build(zoned(stream).withWatermark(event_ts, watermark))
     return table.write(built, checkpoint=checkpoint, trigger=trigger, wait=wait)
 
 
+def dropped_by_watermark(query: StreamingQuery) -> int:
+    """Late (entity, window) partial sums left out in the batches the query still
+    remembers. Above zero means that ``reconcile`` has work to do."""
+    return sum(
+        operator["numRowsDroppedByWatermark"]
+        for progress in query.recentProgress
+        for operator in progress["stateOperators"]
+    )
+
+
 def reconcile(
     table: FeatureTable,
     source: DataFrame,
