@@ -12,6 +12,7 @@ from tidemark.operators.regions import region_join
 from tidemark.operators.tables import FeatureTable, KeyViolation, key_violations, latest_snapshot, merge_rows
 from tidemark.operators.windows import PICKUP_WINDOW, pickup_features
 from tidemark.plans.common import online_table, pickup_table
+from tidemark.session import estimated_bytes
 from tidemark.sources.trips import trips
 
 SCHEMA = "zip int, ts timestamp_ntz, f int"
@@ -88,6 +89,15 @@ def test_broken_keys_are_named_and_nothing_is_written(spark, table, mode):
     assert not [t.name for t in spark.catalog.listTables(table.name.split(".")[0]) if t.name.startswith("stage")]
 
 
+def test_size_is_known_after_overwrite_and_cleared_by_merge(spark, table):
+    table.write(batch(spark, (1, "01:00", 1), (3, DAY2, 3)), "overwrite")
+    assert 0 < estimated_bytes(table.read(spark)) < 100_000
+    table.write(batch(spark, (1, "05:00", 9)))
+    assert estimated_bytes(table.read(spark)) > 1 << 60
+    table.analyze(spark)
+    assert 0 < estimated_bytes(table.read(spark)) < 100_000
+
+
 def test_session_setting_is_restored(spark, table):
     option = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(option)

@@ -306,6 +306,8 @@ class FeatureTable:
             self._replace_partitions(
                 merge_rows(stored, incoming, self.key_columns, newest_by, self.partition)
             )
+        if not self.ts:
+            self.analyze(df.sparkSession)
 
     def overwrite(self, df: DataFrame, validate: bool = True) -> None:
         """Replace the table. New partitions are committed before stale ones go."""
@@ -319,6 +321,17 @@ class FeatureTable:
             if stale:
                 specs = ", ".join(f"PARTITION ({self.partition}='{v}')" for v in stale)
                 spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS {specs}")
+            self.analyze(spark)
+
+    def analyze(self, spark: SparkSession) -> None:
+        """Record the table size (a file listing, no scan).
+
+        It lets Spark broadcast a small table in a key lookup and a time lookup
+        skip its skew measurement. Every later insert clears it again, so it is
+        never stale. Done after overwrites and for tables without time key;
+        listing all days after each merge would cost more than it gives.
+        """
+        spark.sql(f"ANALYZE TABLE {self.name} COMPUTE STATISTICS NOSCAN")
 
     def merge_stream(
         self, df: DataFrame, checkpoint: str, wait: bool = True, trigger: dict | None = None
