@@ -9,11 +9,12 @@ import pytest
 
 import __spark_entry__ as contract
 from helpers import SMALL
+from tidemark.plans import oracle, registry
 
 duckdb = pytest.importorskip("duckdb")
 
-QUERIES = contract.queries()
-STATEMENTS = contract.oracle_sql()
+QUERIES = registry.all_queries()
+STATEMENTS = oracle.statements()
 ROWS_ONLY = {"fare_model_metrics", "score_batch", "score_struct", "inference_log_daily"}
 
 
@@ -41,6 +42,8 @@ def normal(frame):
 def test_only_model_queries_have_no_statement():
     assert set(QUERIES) - set(STATEMENTS) == ROWS_ONLY
     assert set(STATEMENTS) <= set(QUERIES)
+    assert QUERIES.keys() <= contract.queries().keys()
+    assert STATEMENTS.items() <= contract.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", sorted(STATEMENTS))
