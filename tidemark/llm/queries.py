@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.decontamination import contamination
 from tidemark.llm.sentencepieces import encode_documents
+from tidemark.llm.simhash import near_duplicates
+from tidemark.llm.statements import OP2
 from tidemark.llm.text import table
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -18,6 +21,22 @@ def _sha(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
+def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents"))
+
+
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        _sha(F.array_join("items", ",")).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     rows = encode_documents(table(spark, folder, "documents"), PIECE_MODEL)
     return rows.select(
@@ -29,6 +48,8 @@ def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_simhash": op1_simhash,
+    "op2_decontamination": op2_decontamination,
     "op4_sentencepiece": op4_sentencepiece,
 }
-STATEMENTS: dict[str, str] = {}
+STATEMENTS: dict[str, str] = {"op2_decontamination": OP2}
