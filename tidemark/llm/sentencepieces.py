@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-KEPT_WORDS = 400_000
-KEPT_PAIRS = 1_000_000
+KEPT_WORDS = 120_000
+KEPT_PAIRS = 400_000
 NONE = float("-inf")
 
 
@@ -146,6 +146,7 @@ class PrefixTable:
         self.byte_ids = bytes_
         self.is_byte = [k == BYTE for k in model.kinds]
         self.words: dict[str, array] = {}
+        self.older: dict[str, array] = {}
         self.pairs: dict[int, bool] = {}
         self.steps: dict[str, tuple[list[float], list[str], list[str]]] = {}
         self.cut = self._cutter()
@@ -240,14 +241,17 @@ class PrefixTable:
         out = array("i")
         if not text:
             return out
-        words = self.words
+        words, older = self.words, self.older
         for word in self.cut.findall((SPACE if self.dummy_prefix else "") + text.replace(" ", SPACE)):
             ids = words.get(word)
             if ids is None:
-                ids = self.encode_word(word)
+                ids = older.get(word)
+                if ids is None:
+                    ids = self.encode_word(word)
                 if len(word) <= 64:
-                    if len(words) >= KEPT_WORDS:
-                        words.clear()
+                    if len(words) >= KEPT_WORDS:  # what was not met since the last time goes
+                        older = self.older = words
+                        words = self.words = {}
                     words[word] = ids
             out.extend(ids)
         return out
@@ -322,10 +326,9 @@ class PieceCodec:
         def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             table = _live(shared)
             for lists in batches:
-                flat = lists.values.to_pylist()
-                bounds = lists.offsets.to_numpy()
+                flat, bounds = lists.values.to_numpy(), lists.offsets.to_numpy()
                 yield pa.array(
-                    [table.decode(flat[a:b]) for a, b in zip(bounds[:-1], bounds[1:])], pa.string()
+                    [table.decode(flat[a:b].tolist()) for a, b in zip(bounds[:-1], bounds[1:])], pa.string()
                 )
 
         run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
