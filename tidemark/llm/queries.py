@@ -9,10 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.decontamination import contamination
+from tidemark.llm.language import identify
 from tidemark.llm.sentencepieces import encode_documents
 from tidemark.llm.simhash import near_duplicates
 from tidemark.llm.statements import OP2
 from tidemark.llm.text import table
+from tidemark.llm.toxicity import toxicity
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -37,6 +39,10 @@ def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     rows = encode_documents(table(spark, folder, "documents"), PIECE_MODEL)
     return rows.select(
@@ -47,9 +53,15 @@ def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_language(spark: SparkSession, folder: str) -> DataFrame:
+    return identify(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_decontamination": op2_decontamination,
+    "op3_toxicity": op3_toxicity,
     "op4_sentencepiece": op4_sentencepiece,
+    "op8_language": op8_language,
 }
 STATEMENTS: dict[str, str] = {"op2_decontamination": OP2}

@@ -69,6 +69,7 @@ class PieceModel:
     kinds: list[int]
     dummy_prefix: bool = True
     _whole: list[str] | None = field(default=None, repr=False)
+    _encoder: PrefixTable | None = field(default=None, repr=False)
 
     @classmethod
     def read(cls, path: str) -> PieceModel:
@@ -95,6 +96,12 @@ class PieceModel:
             raise ValueError("needs a model that leaves texts as they are but for escaped spaces")
         return cls(pieces, scores, kinds, bool(normalizer[3]))
 
+    def encoder(self) -> PrefixTable:
+        """One encoder for a worker, with its caches, as long as it holds the model."""
+        if self._encoder is None:
+            self._encoder = PrefixTable(self)
+        return self._encoder
+
     def rank(self) -> dict[str, float]:
         return {p: s for p, s, k in zip(self.pieces, self.scores, self.kinds) if k == NORMAL}
 
@@ -281,18 +288,6 @@ def _replace_each(raw: bytes) -> str:
     return "".join(out)
 
 
-_LIVE: dict[int, PrefixTable] = {}
-
-
-def _live(shared) -> PrefixTable:
-    """The worker's own encoder for a broadcast model, kept between batches and tasks."""
-    key = shared._id if hasattr(shared, "_id") else id(shared)
-    if key not in _LIVE:
-        _LIVE.clear()
-        _LIVE[key] = PrefixTable(shared.value)
-    return _LIVE[key]
-
-
 class PieceCodec:
     """``encode(text)`` and ``decode(ids)`` as columns.
 
@@ -309,7 +304,7 @@ class PieceCodec:
         shared = self._shared
 
         def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            table = _live(shared)
+            table = shared.value.encoder()
             for texts in batches:
                 offsets, flat = np.zeros(len(texts) + 1, np.int32), array("i")
                 for k, value in enumerate(texts, 1):
@@ -324,7 +319,7 @@ class PieceCodec:
         shared = self._shared
 
         def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            table = _live(shared)
+            table = shared.value.encoder()
             for lists in batches:
                 flat, bounds = lists.values.to_numpy(), lists.offsets.to_numpy()
                 yield pa.array(
