@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.decontamination import contamination
 from tidemark.llm.language import identify
+from tidemark.llm.pii import pseudonymise
 from tidemark.llm.sentencepieces import encode_documents
 from tidemark.llm.simhash import near_duplicates
 from tidemark.llm.statements import OP2
@@ -18,6 +19,9 @@ from tidemark.llm.toxicity import toxicity
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
+#: For the test tables only; a real key comes from the caller's vault.
+PII_KEY = b"tidemark test tables"
+
 
 def _sha(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
@@ -57,11 +61,17 @@ def op8_language(spark: SparkSession, folder: str) -> DataFrame:
     return identify(table(spark, folder, "documents"))
 
 
+def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
+    rows = pseudonymise(table(spark, folder, "documents"), PII_KEY)
+    return rows.select("doc_id", F.size("spans").cast("long").alias("n_replaced"), "text", "spans")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_decontamination": op2_decontamination,
     "op3_toxicity": op3_toxicity,
     "op4_sentencepiece": op4_sentencepiece,
     "op8_language": op8_language,
+    "op9_pii": op9_pii,
 }
 STATEMENTS: dict[str, str] = {"op2_decontamination": OP2}
