@@ -11,14 +11,24 @@ from pyspark.sql import functions as F
 from tidemark.llm.decontamination import contamination
 from tidemark.llm.language import identify
 from tidemark.llm.pii import pseudonymise
+from tidemark.llm.quality import quality
 from tidemark.llm.sentencepieces import encode_documents
 from tidemark.llm.simhash import near_duplicates
 from tidemark.llm.statements import OP2
 from tidemark.llm.text import table
 from tidemark.llm.toxicity import toxicity
+from tidemark.llm.urls import filter_urls
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
+#: Verdict, host and path of the given URL rules.
+URL_RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
 #: For the test tables only; a real key comes from the caller's vault.
 PII_KEY = b"tidemark test tables"
 
@@ -57,6 +67,10 @@ def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_urls(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_urls(table(spark, folder, "pages"), table(spark, folder, "labels"), URL_RULES)
+
+
 def op8_language(spark: SparkSession, folder: str) -> DataFrame:
     return identify(table(spark, folder, "documents"))
 
@@ -66,12 +80,18 @@ def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", F.size("spans").cast("long").alias("n_replaced"), "text", "spans")
 
 
+def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_decontamination": op2_decontamination,
     "op3_toxicity": op3_toxicity,
     "op4_sentencepiece": op4_sentencepiece,
+    "op6_urls": op6_urls,
     "op8_language": op8_language,
     "op9_pii": op9_pii,
+    "op10_quality": op10_quality,
 }
 STATEMENTS: dict[str, str] = {"op2_decontamination": OP2}
