@@ -15,6 +15,7 @@ from tidemark.llm.quality import quality
 from tidemark.llm.sentencepieces import encode_documents
 from tidemark.llm.simhash import near_duplicates
 from tidemark.llm.statements import OP2
+from tidemark.llm.substrings import remove_repeats
 from tidemark.llm.text import table
 from tidemark.llm.toxicity import toxicity
 from tidemark.llm.urls import filter_urls
@@ -71,6 +72,11 @@ def op6_urls(spark: SparkSession, folder: str) -> DataFrame:
     return filter_urls(table(spark, folder, "pages"), table(spark, folder, "labels"), URL_RULES)
 
 
+def op7_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    rows = remove_repeats(table(spark, folder, "documents"))
+    return rows.select("doc_id", "n_words", "n_removed", _sha(F.col("kept")).alias("kept_sha256"))
+
+
 def op8_language(spark: SparkSession, folder: str) -> DataFrame:
     return identify(table(spark, folder, "documents"))
 
@@ -90,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op4_sentencepiece": op4_sentencepiece,
     "op6_urls": op6_urls,
+    "op7_substrings": op7_substrings,
     "op8_language": op8_language,
     "op9_pii": op9_pii,
     "op10_quality": op10_quality,
