@@ -5,10 +5,49 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.queries import PIECE_MODEL
+from tidemark.llm.decontamination import decontaminate
+from tidemark.llm.language import UNKNOWN, LanguageIdentifier, training_rows
+from tidemark.llm.pii import pseudonyms
+from tidemark.llm.queries import PIECE_MODEL, PII_KEY
 from tidemark.llm.sentencepieces import encode_documents
+from tidemark.llm.simhash import near_duplicates
 from tidemark.llm.text import staged, table
 
+LEAST_SCORE = 0.5
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is told with a score of at least ``LEAST_SCORE``; ``und`` goes.
+
+    If no row has a language to learn from, nothing can be told and all stay.
+    """
+    known = LanguageIdentifier(training_rows(docs, "doc_id", "text", "lang", folds=5, held_out=0))
+    if not known.model.labels:
+        return docs
+    found = known.predict(F.col("text"))
+    return docs.where(found["score"] >= F.when(found["lang"] != UNKNOWN, LEAST_SCORE).otherwise(2.0))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates, the one with the least doc_id.
+
+    Rows without a doc_id cannot be told apart and stay.
+    """
+    classes = near_duplicates(docs.where(F.col("doc_id").isNotNull()))
+    gone = classes.where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any window of a test item."""
+    return decontaminate(docs, table(spark, sf_dir, "benchmark"), remove="documents")
+
+
+def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, their personal data replaced by pseudonyms."""
+    text = pseudonyms(F.col("text"), PII_KEY)["text"]
+    return docs.withColumn("text", text).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids and decoded text of every document that is left."""
@@ -17,6 +56,10 @@ def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 STAGES = [
+    ("language", language),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("pii", pii),
     ("sentencepiece", sentencepiece),
 ]
 #: Language models, pseudonyms and subword ids cannot be told in SQL.

@@ -8,13 +8,14 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.chat import examples, read_back
 from tidemark.llm.decontamination import contamination
 from tidemark.llm.language import identify
 from tidemark.llm.pii import pseudonymise
 from tidemark.llm.quality import quality
 from tidemark.llm.sentencepieces import encode_documents
 from tidemark.llm.simhash import near_duplicates
-from tidemark.llm.statements import OP2
+from tidemark.llm.statements import OP2, OP5, OP7
 from tidemark.llm.substrings import remove_repeats
 from tidemark.llm.text import table
 from tidemark.llm.toxicity import toxicity
@@ -68,6 +69,13 @@ def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_chat(spark: SparkSession, folder: str) -> DataFrame:
+    schema = "conv_id bigint, turn bigint, role string, text string"
+    own = [(-7, turn, role, "</s>[INST] ok [/INST]") for turn, role in enumerate(("user", "assistant"))]
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    return read_back(examples(turns.unionByName(spark.createDataFrame(own, schema))))
+
+
 def op6_urls(spark: SparkSession, folder: str) -> DataFrame:
     return filter_urls(table(spark, folder, "pages"), table(spark, folder, "labels"), URL_RULES)
 
@@ -95,10 +103,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op3_toxicity": op3_toxicity,
     "op4_sentencepiece": op4_sentencepiece,
+    "op5_chat": op5_chat,
     "op6_urls": op6_urls,
     "op7_substrings": op7_substrings,
     "op8_language": op8_language,
     "op9_pii": op9_pii,
     "op10_quality": op10_quality,
 }
-STATEMENTS: dict[str, str] = {"op2_decontamination": OP2}
+STATEMENTS: dict[str, str] = {"op2_decontamination": OP2, "op5_chat": OP5, "op7_substrings": OP7}

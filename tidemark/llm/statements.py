@@ -35,3 +35,44 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN marked USING (doc_id) LEFT JOIN named USING (doc_id)
 """
+
+OP5 = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+),
+sized AS (
+  SELECT *, regexp_replace(text, '([<\[])(\\*)(s>|/s>|TURN\]|/TURN\]|INST\]|/INST\])', '\1\\\2\3', 'g') AS body FROM turns
+)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       (sum(length('[TURN]') + length(role) + 1 + length(body) + length('[/TURN]'))
+         + length('<s>') + length('</s>'))::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
+_PLAIN_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+OP7 = f"""
+WITH d AS (SELECT doc_id, {_PLAIN_WORDS} AS w FROM documents),
+win AS (
+  SELECT doc_id, i, array_to_string(w[i : i + 12], ' ') AS s
+  FROM d, unnest(range(1, len(w) - 11)) AS t(i) WHERE len(w) >= 13
+),
+firsts AS (SELECT s, min(doc_id) AS first FROM win GROUP BY s),
+gone AS (
+  SELECT DISTINCT doc_id, p FROM win JOIN firsts USING (s), unnest(range(i, i + 13)) AS t(p) WHERE first < doc_id
+),
+kept AS (
+  SELECT a.doc_id, string_agg(word, ' ' ORDER BY a.p) AS text, count(*) AS n
+  FROM (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d) AS a
+  ANTI JOIN gone ON gone.doc_id = a.doc_id AND gone.p = a.p
+  GROUP BY a.doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
