@@ -180,9 +180,9 @@ def _words(text: Column) -> Column:
 
 def fits_broadcast(benchmark: DataFrame, text: str = "text", max_words: int = MAX_WORDS) -> bool:
     total = benchmark.agg(F.sum(F.length(text))).first()[0] or 0
-    return total <= 2 * max_words or (
-        benchmark.agg(F.sum(F.size(_words(F.col(text))).cast("long"))).first()[0] <= max_words
-    )
+    if total <= 2 * max_words:  # a word and what parts it from the next are two characters at least
+        return True
+    return (benchmark.agg(F.sum(F.size(_words(F.col(text))).cast("long"))).first()[0] or 0) <= max_words
 
 
 def joined_hits(docs: DataFrame, benchmark: DataFrame, key: str, item: str, text: str, size: int) -> DataFrame:

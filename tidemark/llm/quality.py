@@ -89,6 +89,11 @@ def measured(docs: DataFrame, key: str, text: str) -> DataFrame:
     )
 
 
+RULES = (
+    "size", "word_length", "symbols", "repeats", "lines", "capitals", "letters", "marks", "sentences", "function_words",
+)
+
+
 def _vote(good: Column, bad: Column) -> Column:
     return F.when(bad, -1).when(good, 1).otherwise(0)
 
@@ -119,8 +124,6 @@ def rules() -> dict[str, Column]:
     }
 
 
-RULES = tuple(rules())
-
 
 @dataclass
 class LabelModel:

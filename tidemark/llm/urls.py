@@ -46,7 +46,7 @@ def given_rule(host: Column, path: Column, given: list[tuple[str, str, str]]) ->
             )
             for v, h, p in given
         ]
-    )
+    ).cast("array<struct<size:int,rule:string,verdict:string,host:string,path:string>>")
     fits = F.filter(
         listed,
         lambda r: ((host == r["host"]) | F.endswith(host, F.concat(F.lit("."), r["host"])))
