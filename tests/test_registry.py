@@ -15,7 +15,7 @@ duckdb = pytest.importorskip("duckdb")
 
 QUERIES = registry.all_queries()
 STATEMENTS = oracle.statements()
-ROWS_ONLY = {"fare_model_metrics", "score_batch", "score_struct", "inference_log_daily"}
+ROWS_ONLY = {"fare_model_metrics", "score_batch", "score_struct", "inference_log_daily"}  # boosted trees
 
 
 @pytest.fixture(scope="module")

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,6 +64,22 @@ def regression_pipeline(
     )
 
 
+def linear_pipeline(feature_columns: Sequence[str], label: str, missing_value: float = MISSING_VALUE) -> Pipeline:
+    """Least squares by normal equations, one pass over the rows; NULLs count as ``missing_value``."""
+    filled = [
+        f"coalesce(cast(`{c}` AS double), {float(missing_value)}D) AS `__x_{c}`" for c in feature_columns
+    ]
+    return Pipeline(
+        stages=[
+            SQLTransformer(statement=f"SELECT *, {', '.join(filled)} FROM __THIS__"),
+            VectorAssembler(inputCols=[f"__x_{c}" for c in feature_columns], outputCol="__features"),
+            LinearRegression(
+                featuresCol="__features", labelCol=label, predictionCol="prediction", solver="normal", regParam=0.0
+            ),
+        ]
+    )
+
+
 def fit_regression(
     train: DataFrame, feature_columns: Sequence[str], label: str, rounds: int = ROUNDS, **options
 ) -> PipelineModel:
@@ -161,5 +177,6 @@ def inference_log(
     )
 
 
-def append_inference_log(log: DataFrame, path: str) -> None:
-    log.write.mode("append").partitionBy("day").parquet(path)
+def append_inference_log(log: DataFrame, path: str, batch_id: str) -> None:
+    """Write one batch of the log in a folder of its own, so a retry replaces it and doubles nothing."""
+    log.write.mode("overwrite").partitionBy("day").parquet(f"{path}/batch_id={batch_id}")

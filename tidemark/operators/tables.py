@@ -1,7 +1,7 @@
 """Keyed feature tables on plain parquet catalog tables.
 
-A table is partitioned by day (``dt``) when it has a time key, else by a hash
-bucket of its key. Writes replace only the partitions they touch, through
+A table is partitioned by day (``dt``, in UTC for zoned times) when it has a
+time key, else by a hash bucket of its key. Writes replace only the partitions they touch, through
 Spark's dynamic partition overwrite: new files are written aside and moved in
 when the job commits, so a table may feed its own update and a failed job
 leaves the old rows. The move is atomic per partition, not across partitions;
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.functions.timefilter import Bound, time_literal, ts_range
+from tidemark.functions.timefilter import Bound, time_literal, ts_range, utc_day
 
 DAY = "dt"
 BUCKET = "key_bucket"
@@ -138,7 +138,7 @@ class FeatureTable:
 
     def _partition_value(self) -> Column:
         if self.ts:
-            return F.to_date(self.ts)
+            return utc_day(F.col(self.ts), self.schema[self.ts].dataType)
         return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
 
     def _shape(self, df: DataFrame) -> DataFrame:
@@ -179,8 +179,9 @@ class FeatureTable:
     ) -> FeatureTable:
         """Make an existing table a feature table once its key holds.
 
-        A table already partitioned as feature tables are is marked in place;
-        any other is copied to ``into``.
+        A table already partitioned as feature tables are is marked in place,
+        if every row lies in the partition that its key asks for; any other is
+        copied to ``into``.
         """
         rows = spark.table(source)
         fields = [f for f in rows.schema.fields if f.name not in (DAY, BUCKET)]
@@ -188,10 +189,13 @@ class FeatureTable:
         if into:
             table.create(spark).overwrite(rows)
             return table
-        table.check(rows)
         parts = [c.name for c in spark.catalog.listColumns(source) if c.isPartition]
         if parts != [table.partition]:
             raise ValueError(f"{source} is not partitioned by {table.partition}; give into=")
+        table.check(rows)
+        astray = rows.filter(~F.col(table.partition).eqNullSafe(table._partition_value()))
+        if not astray.isEmpty():
+            raise ValueError(f"{source} has rows in other partitions than their key asks for; give into=")
         spark.sql(f"ALTER TABLE {source} SET TBLPROPERTIES ({table._properties()})")
         return table
 
@@ -224,9 +228,9 @@ class FeatureTable:
         if self.ts and (start or end):
             ts_type = self.schema[self.ts].dataType
             if start:
-                df = df.filter(F.col(DAY) >= F.to_date(time_literal(start, ts_type)))
+                df = df.filter(F.col(DAY) >= utc_day(time_literal(start, ts_type), ts_type))
             if end:
-                df = df.filter(F.col(DAY) <= F.to_date(time_literal(end, ts_type)))
+                df = df.filter(F.col(DAY) <= utc_day(time_literal(end, ts_type), ts_type))
             df = ts_range(df, self.ts, start, end)
         return df.select(*self.schema.names)
 
@@ -323,6 +327,22 @@ class FeatureTable:
                 spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS {specs}")
             self.analyze(spark)
 
+    def delete(self, keys: DataFrame) -> None:
+        """Remove the rows whose key is in ``keys``; only the partitions they lie in are rewritten."""
+        spark = keys.sparkSession
+        gone = keys.select(*[F.col(k).cast(self.schema[k].dataType).alias(k) for k in self.key_columns])
+        gone = gone.withColumn(self.partition, self._partition_value()).distinct()
+        touched = [r[0] for r in gone.select(self.partition).distinct().collect()]
+        if not touched:
+            return
+        stored = spark.table(self.name).filter(F.col(self.partition).isin(touched))
+        left = stored.join(gone, [*self.key_columns, self.partition], "left_anti")
+        kept = {r[0] for r in left.select(self.partition).distinct().collect()}
+        self._replace_partitions(left)
+        specs = ", ".join(f"PARTITION ({self.partition}='{v}')" for v in touched if v not in kept)
+        if specs:  # nothing is left to be written there
+            spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS {specs}")
+
     def analyze(self, spark: SparkSession) -> None:
         """Record the table size (a file listing, no scan).
 

@@ -5,13 +5,14 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
-from datetime import datetime, timedelta
+from datetime import timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.timefilter import aggregated_times
 from tidemark.operators.lookup import PitOptions, key_lookup, pit_lookup
-from tidemark.operators.tables import FeatureTable
+from tidemark.operators.tables import FeatureTable, latest_snapshot
 from tidemark.operators.windows import duration_micros
 from tidemark.session import estimated_bytes
 
@@ -22,7 +23,8 @@ class FeatureLookup:
 
     ``table_name`` names a feature table, whose key comes from its properties.
     A frame not stored as a table is given as ``frame`` with its key columns.
-    Without ``timestamp_lookup_key`` the lookup is by key alone.
+    Without ``timestamp_lookup_key`` the lookup is by key alone, in a table with
+    a time key by its newest row per key.
     """
 
     feature_names: Sequence[str]
@@ -37,30 +39,44 @@ class FeatureLookup:
     def resolve(self, base: DataFrame) -> tuple[DataFrame, list[str], str | None]:
         """The feature rows this lookup can need, their key and time columns."""
         if self.frame is not None:
-            return self.frame, list(self.frame_keys), self.frame_ts
+            ts = self.frame_ts if self.frame_ts in self.frame.columns else None
+            return self.frame, list(self.frame_keys), ts
         spark = base.sparkSession
         table = FeatureTable.load(spark, self.table_name)
         rows = table.read(spark)
         if self.timestamp_lookup_key and table.ts:
             size = estimated_bytes(rows)
             if size is None or size > self.options.small_input_bytes:
-                rows = table.read(spark, *self._reach(base))
+                rows = self._within_reach(base, table)
         return rows, list(table.keys), table.ts
 
-    def _reach(self, base: DataFrame) -> tuple[datetime | None, datetime | None]:
-        """Times outside of which no feature row can be used (one row to the driver).
+    def _within_reach(self, base: DataFrame, table: FeatureTable) -> DataFrame:
+        """The stored rows that a lookup can use; the same answers as from all rows.
 
-        Nothing after the last lookup matters and, with an age limit, nothing
-        long before the first one. So a day's batch against years of stored
-        features reads only the day folders in between.
+        Nothing after the last lookup matters. Before the first one only the
+        newest row of each key does, so older rows shrink to that by partial
+        aggregates and do not enter the sort; with an age limit, rows long
+        before it are not read at all. The bounds are instants (two values to
+        the driver), never text of the session zone. Where one side has zoned
+        times and the other has not, they cannot be compared before the
+        lookup, and all rows are read.
         """
+        spark = base.sparkSession
+        ts_type = table.schema[table.ts].dataType
+        if base.schema[self.timestamp_lookup_key].dataType != ts_type:
+            return table.read(spark)
         ts = F.col(self.timestamp_lookup_key)
-        first, last = base.agg(F.min(ts).cast("string"), F.max(ts).cast("string")).first()
+        first, last = aggregated_times(base, ts_type, F.min(ts), F.max(ts))
         if first is None:
-            return None, None
+            return table.read(spark)
+        after_last = last + timedelta(microseconds=1)
         age = duration_micros(self.options.max_age) if self.options.max_age else None
-        start = datetime.fromisoformat(first) - timedelta(microseconds=age) if age else None
-        return start, datetime.fromisoformat(last) + timedelta(microseconds=1)
+        if age:
+            return table.read(spark, first - timedelta(microseconds=age), after_last)
+        names = [n for n in self.feature_names if n in table.features]
+        inside = table.read(spark, first, after_last).select(*table.key_columns, *names)
+        before = latest_snapshot(table.read(spark, None, first), table.keys, table.ts, names)
+        return inside.unionByName(before.select(*inside.columns))
 
     def to_dict(self) -> dict:
         if self.table_name is None:
@@ -72,16 +88,20 @@ class FeatureLookup:
             "timestamp_lookup_key": self.timestamp_lookup_key,
             "allow_exact": self.options.allow_exact,
             "max_age": self.options.max_age,
+            "strategy": self.options.strategy,
+            "bucket": self.options.bucket,
+            "max_group_rows": self.options.max_group_rows,
         }
 
     @staticmethod
     def from_dict(spec: dict) -> FeatureLookup:
+        names = ("allow_exact", "max_age", "strategy", "bucket", "max_group_rows")
         return FeatureLookup(
             spec["feature_names"],
             spec["lookup_key"],
             spec["timestamp_lookup_key"],
             spec["table_name"],
-            options=PitOptions(allow_exact=spec["allow_exact"], max_age=spec["max_age"]),
+            options=PitOptions(**{n: spec[n] for n in names if n in spec}),
         )
 
 
@@ -105,7 +125,11 @@ def add_features(base: DataFrame, lookups: Sequence[FeatureLookup], keep_given:
         if not wanted:
             continue
         features, keys, ts = lookup.resolve(base)
+        if lookup.timestamp_lookup_key is not None and ts is None:
+            raise ValueError(f"{lookup.table_name or 'the frame'} has no time key to look up by")
         if lookup.timestamp_lookup_key is None:
+            if ts is not None:  # one row per key, or base rows would multiply
+                features = latest_snapshot(features, keys, ts, wanted)
             out = key_lookup(out, features, lookup.lookup_key, keys, wanted)
         else:
             out = pit_lookup(
@@ -130,7 +154,8 @@ class TrainingSet:
     exclude_columns: tuple[str, ...] = ()
 
     def load_df(self) -> DataFrame:
-        """The training rows, as a plan; nothing runs until it is used."""
+        """The training rows. They stay distributed; lookups that measure sizes or
+        times of their input run small jobs here, the rest runs when used."""
         return add_features(self.base, self.lookups).drop(*self.exclude_columns)
 
     @property

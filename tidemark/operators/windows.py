@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.calendar import is_weekend
 from tidemark.functions.timefilter import Bound, ts_range
@@ -15,6 +16,8 @@ from tidemark.session import estimated_bytes
 
 # Above this optimizer estimate of the input, sliding windows are built from slots.
 SLOT_INPUT_BYTES = 64 * 1024 * 1024
+# Means of decimals with more digits are taken from rows.
+EXACT_DIGITS = 18
 # Microseconds per unit of a window duration.
 UNIT_MICROS = {
     "microsecond": 1,
@@ -60,21 +63,33 @@ class Measure:
         builders = {"sum": F.sum, "mean": F.avg, "min": F.min, "max": F.max}
         return self._cast(builders[self.kind](self.column))
 
-    def partials(self, name: str) -> list[Column]:
+    def needs_rows(self, df: DataFrame) -> bool:
+        """Whether slots cannot give the same digits: a mean of decimals too wide to be divided exactly as Spark does."""
+        kind = df.schema[self.column].dataType if self.kind == "mean" else None
+        return isinstance(kind, T.DecimalType) and kind.precision > EXACT_DIGITS
+
+    def partials(self, name: str, df: DataFrame) -> list[Column]:
         """Aggregates of one slide-wide slot, enough to finish any window of slots."""
         if self.kind == "mean":
             value = F.col(self.column)
+            exact = isinstance(df.schema[self.column].dataType, T.DecimalType)
             return [
-                F.sum(value.cast("double")).alias(f"{name}__sum"),
+                F.sum(value if exact else value.cast("double")).alias(f"{name}__sum"),
                 F.count(value).alias(f"{name}__n"),
             ]
         return [Measure(self.kind, self.column).direct().alias(f"{name}__part")]
 
-    def finish(self, name: str) -> Column:
+    def finish(self, name: str, df: DataFrame) -> Column:
+        """The window's value from its slots, with type and value of the direct form."""
+        plain = Measure(self.kind, self.column)
+        direct = df.agg(plain.direct().alias("x")).schema["x"].dataType
         if self.kind == "mean":
-            return self._cast(F.sum(f"{name}__sum") / F.nullif(F.sum(f"{name}__n"), F.lit(0)))
+            total, n = F.sum(f"{name}__sum"), F.sum(f"{name}__n")
+            if isinstance(direct, T.DecimalType):
+                total, n = total.cast(df.agg(F.sum(self.column).alias("x")).schema["x"].dataType), n.cast("decimal(20,0)")
+            return self._cast((total / F.nullif(n, F.lit(0))).cast(direct))
         combine = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}[self.kind]
-        return self._cast(combine(f"{name}__part"))
+        return self._cast(combine(f"{name}__part").cast(direct))
 
 
 def windowed_features(
@@ -98,7 +113,8 @@ def windowed_features(
     shuffle of slot rows buys ``window / slide`` times less work per input row.
     It pays on large input, where a slot holds many rows, and needs ``window``
     to be a multiple of ``slide``. Left at None it is chosen by the size of the
-    input; streams always use the plain form.
+    input; both forms give the same types and values. Streams, and means of
+    decimals of more than ``EXACT_DIGITS`` digits, always use the plain form.
     """
     if pre_aggregate and not slots_fit(window, slide):
         raise ValueError(f"{window} is not several slots of {slide}")
@@ -108,6 +124,7 @@ def windowed_features(
             and slots_fit(window, slide)
             and (estimated_bytes(df) or 0) > SLOT_INPUT_BYTES
         )
+    pre_aggregate = pre_aggregate and not any(m.needs_rows(df) for m in measures.values())
     names = dict(keys) if isinstance(keys, Mapping) else {k: k for k in keys}
     entity = [F.col(k).alias(v) for k, v in names.items()]
     direct = [m.direct().alias(n) for n, m in measures.items()]
@@ -121,7 +138,7 @@ def windowed_features(
         placed = df.withColumn("__w", F.window(ts, window, slide))
         out = placed.groupBy(*entity, F.col("__w.end").alias(out_ts)).agg(*direct)
         return out.select(*names.values(), out_ts, *measures)
-    partials = [p for n, m in measures.items() for p in m.partials(n)]
+    partials = [p for n, m in measures.items() for p in m.partials(n, df)]
     slots = (
         df.withColumn("__w", F.window(ts, slide))
         .groupBy(*entity, F.col("__w.start").alias("__slot"))
@@ -129,7 +146,7 @@ def windowed_features(
     )
     placed = slots.withColumn("__w", F.window("__slot", window, slide))
     out = placed.groupBy(*names.values(), F.col("__w.end").alias(out_ts)).agg(
-        *[m.finish(n).alias(n) for n, m in measures.items()]
+        *[m.finish(n, df).alias(n) for n, m in measures.items()]
     )
     return out.select(*names.values(), out_ts, *measures)
 

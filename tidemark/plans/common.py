@@ -44,13 +44,14 @@ def in_utc(query: Query) -> Query:
     return run
 
 
+# Fixed values in the two functions below: the table names that jobs and scoring ask for.
 def pickup_table(spark: SparkSession, database: str) -> FeatureTable:
     return FeatureTable.define(
         f"{database}.trip_pickup_time_series_features",
         ["zip"],
         PICKUP_SCHEMA,
         "ts",
-        "Taxi Fares. Pickup Time Series Features",
+        "Fare and trip count of the last hour, per pickup ZIP",
     ).create(spark)
 
 
@@ -60,7 +61,7 @@ def dropoff_table(spark: SparkSession, database: str) -> FeatureTable:
         ["zip"],
         DROPOFF_SCHEMA,
         "ts",
-        "Taxi Fares. Dropoff Time Series Features",
+        "Trip count per half hour and weekend flag, per drop-off ZIP",
     ).create(spark)
 
 

@@ -12,9 +12,10 @@ from tidemark.models.regression import (
     fit_regression,
     grouped_mean_predictor,
     inference_log,
+    linear_pipeline,
     rmse_of,
 )
-from tidemark.operators.training import add_features
+from tidemark.operators.training import FeatureLookup, add_features, create_training_set
 from tidemark.plans.common import fare_training_set, table_lookups, written_tables
 from tidemark.session import scratch_path
 from tidemark.sources.trips import trips
@@ -80,7 +81,7 @@ def fare_model_metrics(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def score_batch(spark: SparkSession, folder: str) -> DataFrame:
-    _, fresh = train_test_split(trips(spark, folder), ["trip_id"])
+    fresh = trips(spark, folder)
     return _package(spark, folder).score_batch(fresh.drop(LABEL)).select("trip_id", *REQUEST, "prediction")
 
 
@@ -99,7 +100,7 @@ def inference_log_daily(spark: SparkSession, folder: str) -> DataFrame:
     package = _package(spark, folder)
     scored = package.score_batch(trips(spark, folder).drop(LABEL))
     path = scratch_path(spark, "inference_log")
-    append_inference_log(inference_log(scored, REQUEST, "1", F.col("pickup_ts")), path)
+    append_inference_log(inference_log(scored, REQUEST, "1", F.col("pickup_ts")), path, "first")
     return (
         spark.read.parquet(path)
         .groupBy("day", "model_version")
@@ -107,7 +108,50 @@ def inference_log_daily(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+COUNT = "count_trips_window_1h_pickup_zip"
+
+
+def _linear_package(spark: SparkSession, folder: str) -> tuple[PackagedModel, DataFrame]:
+    """A line through one looked-up feature, packaged, stored and loaded again, and the trips."""
+    facts = trips(spark, folder)
+    pickups, _ = written_tables(spark, folder)
+    rows = create_training_set(facts, [FeatureLookup([COUNT], ["pickup_zip"], "pickup_ts", pickups.name)], LABEL)
+    model = linear_pipeline([COUNT], LABEL).fit(rows.load_df().select(COUNT, LABEL))
+    path = scratch_path(spark, "line")
+    PackagedModel(model, (COUNT,), rows.lookups).save(spark, path)
+    return PackagedModel.load(spark, path), facts.drop(LABEL)
+
+
+def linear_score_batch(spark: SparkSession, folder: str) -> DataFrame:
+    package, facts = _linear_package(spark, folder)
+    return package.score_batch(facts).select("trip_id", F.round("prediction", 6).alias("prediction"))
+
+
+def linear_score_struct(spark: SparkSession, folder: str) -> DataFrame:
+    """Requests as one struct each, scored through a view for SQL users."""
+    package, facts = _linear_package(spark, folder)
+    requests = add_features(facts, package.lookups).select("trip_id", F.struct(COUNT).alias("request"))
+    requests.createOrReplaceTempView("line_requests")
+    package.create_view(spark, "line_requests", "request", "line_scores")
+    return spark.sql("SELECT trip_id, round(prediction, 6) AS prediction FROM line_scores")
+
+
+def linear_inference_log(spark: SparkSession, folder: str) -> DataFrame:
+    """All trips scored and logged, one batch of them twice as by a retry."""
+    package, facts = _linear_package(spark, folder)
+    path = scratch_path(spark, "line_log")
+    cut = F.col("pickup_ts") < F.lit("2024-01-16").cast("timestamp_ntz")
+    for batch_id, rows in (("a", facts.where(cut)), ("b", facts.where(~cut)), ("a", facts.where(cut))):
+        log = inference_log(package.score_batch(rows), [COUNT], "1", F.col("pickup_ts"))
+        append_inference_log(log, path, batch_id)
+    daily = spark.read.parquet(path).groupBy("day", "model_version")
+    return daily.agg(F.count(F.lit(1)).alias("n_requests"), F.round(F.avg("response"), 6).alias("mean_response"))
+
+
 QUERIES = {
+    "linear_score_batch": linear_score_batch,
+    "linear_score_struct": linear_score_struct,
+    "linear_inference_log": linear_inference_log,
     "baseline_rmse": baseline_rmse,
     "fare_model_metrics": fare_model_metrics,
     "score_batch": score_batch,

@@ -274,6 +274,38 @@ BASELINE = (
 )
 
 
+ORDERS_DECIMAL = """
+  select form, custkey, ts, count(*) as n_orders, round(avg(price), 4) as mean_price,
+         cast(min(price) as double) as min_price, cast(max(price) as double) as max_price,
+         round(cast(sum(price) as double), 4) as sum_price
+  from (
+    select o_custkey as custkey, cast(o_totalprice as decimal(12,2)) as price,
+           time_bucket(interval '10 days', o_orderdate, timestamp '1970-01-01')
+             - k * interval '10 days' + interval '30 days' as ts
+    from orders, generate_series(0, 2) g(k)
+  ) x, (values ('rows'), ('slots')) f(form) group by form, custkey, ts
+"""
+
+NEWEST = (
+    with_(p=newest_sql(pickup_sql()))
+    + f"select t.*, {PICKUP_NAMES} from trips t left join p on t.pickup_zip = p.zip"
+)
+
+NEWEST_DROPOFF = with_(d=DROPOFF) + f"""
+  select zip, ts, {DROPOFF_NAMES} from d
+  qualify row_number() over (partition by zip order by ts desc) = 1
+"""
+
+# A line through the trip count of the last hour, fitted and scored on all trips.
+LINE = with_(
+    p=pickup_sql(),
+    x="select t.*, coalesce(cast(count_trips_window_1h_pickup_zip as double), 0.0) as n from trips t "
+    "asof left join p on t.pickup_zip = p.zip and t.pickup_ts > p.ts",
+    fit="select regr_slope(fare_amount, n) as a, regr_intercept(fare_amount, n) as b from x",
+    scored="select trip_id, pickup_ts, b + a * n as prediction from x, fit",
+)
+
+
 def statements() -> dict[str, str]:
     pickup = with_() + pickup_sql()
     dropoff = with_() + DROPOFF
@@ -331,4 +363,19 @@ def statements() -> dict[str, str]:
         "stream_ingest": BY_DAY,
         "stream_pit_enrich": TRAINING,
         "baseline_rmse": BASELINE,
+        "feature_merge_zoned": MERGE,
+        "pit_lookup_stored_zoned": pit_sql(">"),
+        "pit_lookup_stored": pit_sql(">") + " where t.pickup_ts >= timestamp '2024-01-28'",
+        "key_lookup_latest": NEWEST,
+        "order_features_decimal": ORDERS_DECIMAL,
+        "feature_promote": MERGE,
+        "dropoff_merge": dropoff,
+        "dropoff_refresh": dropoff,
+        "dropoff_publish": NEWEST_DROPOFF,
+        "stream_late_reconcile": pickup,
+        "linear_score_batch": LINE + "select trip_id, round(prediction, 6) as prediction from scored",
+        "linear_score_struct": LINE + "select trip_id, round(prediction, 6) as prediction from scored",
+        "linear_inference_log": LINE
+        + "select cast(pickup_ts as date) as day, '1' as model_version, count(*) as n_requests, "
+        "round(avg(prediction), 6) as mean_response from scored group by 1",
     }

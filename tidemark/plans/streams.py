@@ -13,7 +13,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.timefilter import ts_range
+from tidemark.functions.timefilter import aggregated_times, ts_range
 from tidemark.operators.windows import dropoff_features, pickup_features
 from tidemark.plans.common import dropoff_table, pickup_table, table_lookups, written_tables
 from tidemark.session import scratch_database, scratch_path
@@ -23,15 +23,19 @@ from tidemark.streaming import features as stream
 SLICES = 3
 
 
+def edges_of(facts: DataFrame, ts: str, slices: int) -> list[tuple[datetime, datetime]]:
+    """Half-open time slices of equal length that hold all rows."""
+    low, high = aggregated_times(facts, facts.schema[ts].dataType, F.min(ts), F.max(ts))
+    edges = [low + (high - low) * i / slices for i in range(slices)] + [high + timedelta(seconds=1)]
+    return list(zip(edges, edges[1:]))
+
+
 def run_in_slices(
     spark: SparkSession, facts: DataFrame, ts: str, run: Callable[[str], object], slices: int = SLICES
 ) -> None:
     """Append ``facts`` to a landing folder slice by slice, calling ``run`` after each."""
     landing = scratch_path(spark, "landing")
-    low, high = facts.agg(F.min(ts).cast("string"), F.max(ts).cast("string")).first()
-    start, end = datetime.fromisoformat(low), datetime.fromisoformat(high)
-    edges = [start + (end - start) * i / slices for i in range(slices)] + [end + timedelta(seconds=1)]
-    for low, high in zip(edges, edges[1:]):
+    for low, high in edges_of(facts, ts, slices):
         ts_range(facts, ts, low, high).write.mode("append").parquet(landing)
         run(landing)
 

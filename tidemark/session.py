@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,9 +13,6 @@ SESSION_DEFAULTS = {
     ),
 }
 
-_LOCAL_WORK_DIRS: dict[str, str] = {}
-
-
 def build_session(app_name: str = "tidemark", conf: dict[str, str] | None = None) -> SparkSession:
     """A session pinned to UTC with adaptive execution left on.
 
@@ -33,9 +29,9 @@ def build_session(app_name: str = "tidemark", conf: dict[str, str] | None = None
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir``.
 
-    Only a local-mode session without that setting gets a temporary folder;
-    on a cluster a missing setting is an error, because a machine-local folder
-    would be lost with its executor.
+    Only a local-mode session without that setting gets a folder beside its
+    warehouse; on a cluster a missing setting is an error, because a
+    machine-local folder would be lost with its executor.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -43,9 +39,7 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    if sc.applicationId not in _LOCAL_WORK_DIRS:
-        _LOCAL_WORK_DIRS[sc.applicationId] = tempfile.mkdtemp(prefix="tidemark-")
-    return _LOCAL_WORK_DIRS[sc.applicationId]
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch-{sc.applicationId}"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -60,6 +54,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a scratch folder through the file system it lies in."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(conf).delete(target, True)
+
+
 def scratch_database(spark: SparkSession, label: str) -> str:
     """Create a database whose managed tables live below the shared folder."""
     name = f"{label}_{uuid.uuid4().hex[:12]}"

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from datetime import datetime, timedelta
+from itertools import count
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.timefilter import time_literal
+from tidemark.functions.timefilter import aggregated_times, session_zone, time_literal, time_number, time_value
 from tidemark.sources.scan import append_if_any
 
 
@@ -17,24 +18,27 @@ def ts_bounds(df: DataFrame, ts: str) -> DataFrame:
     return df.agg(F.min(ts).alias("min_ts"), F.max(ts).alias("max_ts"))
 
 
-def _wall_clock(df: DataFrame, aggregate) -> datetime | None:
-    """One aggregated time as it reads in the session zone."""
-    text = df.agg(aggregate.cast("string")).first()[0]
-    return datetime.fromisoformat(text) if text else None
+def _time(df: DataFrame, ts: str, aggregate) -> datetime | None:
+    """One aggregated time, in UTC if the column is zoned."""
+    return aggregated_times(df, df.schema[ts].dataType, aggregate)[0]
 
 
-def _cut(value: datetime, days: int, exact_midnight: bool) -> datetime:
-    """Midnight ``days`` later. The fraction of a second stays unless asked otherwise."""
-    cut = (value + timedelta(days=days)).replace(hour=0, minute=0, second=0)
+def _cut(df: DataFrame, value: datetime, days: int, exact_midnight: bool) -> datetime:
+    """Midnight ``days`` later, of the session zone if the time is zoned.
+
+    The fraction of a second stays unless asked otherwise.
+    """
+    local = value if value.tzinfo is None else value.astimezone(session_zone(df.sparkSession))
+    cut = (local + timedelta(days=days)).replace(hour=0, minute=0, second=0, fold=0)
     return cut.replace(microsecond=0) if exact_midnight else cut
 
 
 def initial_load(source: DataFrame, ts: str, exact_midnight: bool = False) -> DataFrame:
     """The first day: rows up to and including the midnight after the oldest row."""
-    oldest = _wall_clock(source, F.min(ts))
+    oldest = _time(source, ts, F.min(ts))
     if oldest is None:
         return source.filter(F.lit(False))
-    cut = _cut(oldest, 1, exact_midnight)
+    cut = _cut(source, oldest, 1, exact_midnight)
     return source.filter(F.col(ts) <= time_literal(cut, source.schema[ts].dataType))
 
 
@@ -50,19 +54,20 @@ def load_step(
     Without ``skip_gaps`` a gap longer than that yields nothing, now and in
     every later step. With it the step starts at the next row there is.
     Rows at or before ``loaded_until`` are never taken, however late they come.
+    Times of a zoned column are instants: give and get them with a zone.
     """
     data_type = source.schema[ts].dataType
     newer = source.filter(F.col(ts) > time_literal(loaded_until, data_type))
-    cut = _cut(loaded_until, 2, exact_midnight)
+    cut = _cut(source, loaded_until, 2, exact_midnight)
     if skip_gaps:
-        following = _wall_clock(newer, F.min(ts))
+        following = _time(newer, ts, F.min(ts))
         if following is not None and following > cut:
-            cut = _cut(following, 1, exact_midnight)
+            cut = _cut(source, following, 1, exact_midnight)
     return newer.filter(F.col(ts) <= time_literal(cut, data_type))
 
 
 def loaded_until(loaded: DataFrame, ts: str) -> datetime | None:
-    return _wall_clock(loaded, F.max(ts))
+    return _time(loaded, ts, F.max(ts))
 
 
 def incremental_load_step(source: DataFrame, loaded: DataFrame, ts: str, **options) -> DataFrame:
@@ -86,7 +91,6 @@ def drain(
     source: DataFrame,
     ts: str,
     table: str,
-    max_rounds: int = 100_000,
     exact_midnight: bool = False,
     skip_gaps: bool = False,
 ) -> Iterator[LoadRound]:
@@ -99,21 +103,22 @@ def drain(
     """
     source_end = loaded_until(source, ts)
     batch = initial_load(source, ts, exact_midnight)
-    for number in range(max_rounds):
+    data_type = source.schema[ts].dataType
+    for number in count():
         seen = Observation()
         watched = batch.observe(
             seen,
             F.count(F.lit(1)).alias("n"),
-            F.min(ts).cast("string").alias("first"),
-            F.max(ts).cast("string").alias("last"),
+            time_number(F.min(ts), data_type).alias("first"),
+            time_number(F.max(ts), data_type).alias("last"),
         )
         mode = "overwrite" if number == 0 else "append"
         watched.write.format("parquet").mode(mode).saveAsTable(table)
         stats = seen.get
         if not stats["n"]:
             return
-        last = datetime.fromisoformat(stats["last"])
-        yield LoadRound(number, stats["n"], datetime.fromisoformat(stats["first"]), last)
+        last = time_value(stats["last"])
+        yield LoadRound(number, stats["n"], time_value(stats["first"]), last)
         if last >= source_end:
             return
         batch = load_step(source, ts, last, exact_midnight, skip_gaps)

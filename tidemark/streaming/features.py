@@ -7,14 +7,14 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from tidemark.functions.timefilter import Bound
-from tidemark.operators.changes import AFTER, INSERT, change_feed
+from tidemark.functions.timefilter import Bound, time_literal
+from tidemark.operators.changes import AFTER, BEFORE, DELETE, INSERT, change_feed
 from tidemark.operators.refresh import refreshed_features
 from tidemark.operators.tables import FeatureTable
 from tidemark.operators.training import FeatureLookup, add_features
-from tidemark.session import require_utc
+from tidemark.session import delete_path, require_utc, scratch_path
 
 WATERMARK = "2 hours"
 AVAILABLE_NOW = {"availableNow": True}
@@ -57,9 +57,34 @@ def stream_features(
     return table.write(built, checkpoint=checkpoint, trigger=trigger, wait=wait)
 
 
+class DropCounter(StreamingQueryListener):
+    """Counts late (entity, window) partial sums left out, over all batches of each query.
+
+    Above zero means that ``reconcile`` has work to do. Register it with
+    ``spark.streams.addListener`` before the query starts; progress comes
+    asynchronously, a little after each batch.
+    """
+
+    def __init__(self) -> None:
+        self.dropped: dict[str, int] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self.dropped.setdefault(str(event.id), 0)
+
+    def onQueryProgress(self, event) -> None:
+        late = sum(o.numRowsDroppedByWatermark for o in event.progress.stateOperators)
+        query = str(event.progress.id)
+        self.dropped[query] = self.dropped.get(query, 0) + late
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
 def dropped_by_watermark(query: StreamingQuery) -> int:
-    """Late (entity, window) partial sums left out in the batches the query still
-    remembers. Above zero means that ``reconcile`` has work to do."""
+    """The same count from what a query remembers: its last batches only (Spark keeps 100 by default)."""
     return sum(
         operator["numRowsDroppedByWatermark"]
         for progress in query.recentProgress
@@ -76,20 +101,29 @@ def reconcile(
     after: Bound,
     until: Bound,
 ) -> int:
-    """Recompute windows ending in ``(after, until]`` from the stored facts and
-    merge those that differ. Returns how many did."""
+    """Recompute windows ending in ``(after, until]`` from the stored facts, merge
+    those that differ, and delete stored ones that no fact supports. Returns how
+    many there were. The comparison runs once, into the shared folder."""
     rebuilt = refreshed_features(source, build, event_ts, window, after, until, table.ts)
     rebuilt = rebuilt.select(
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema.fields]
     )
-    stored = table.read(source.sparkSession, after)
-    wrong = change_feed(stored, rebuilt, table.key_columns).filter(
-        F.col("change_type").isin(INSERT, AFTER)
-    )
-    n_wrong = wrong.count()
-    if n_wrong:
-        table.merge(wrong.drop("change_type"))
-    return n_wrong
+    spark = source.sparkSession
+    # ends in (after, until]: the read is half-open at the other side
+    ts_type = table.schema[table.ts].dataType
+    stored = table.read(spark, after).filter(F.col(table.ts) > time_literal(after, ts_type))
+    if until:
+        stored = stored.filter(F.col(table.ts) <= time_literal(until, ts_type))
+    path = scratch_path(spark, "reconcile")
+    change_feed(stored, rebuilt, table.key_columns).filter(F.col("change_type") != BEFORE).write.parquet(path)
+    wrong = spark.read.parquet(path)
+    found = {r[0]: r[1] for r in wrong.groupBy("change_type").count().collect()}
+    if found.get(INSERT) or found.get(AFTER):
+        table.merge(wrong.filter(F.col("change_type").isin(INSERT, AFTER)).drop("change_type"))
+    if found.get(DELETE):
+        table.delete(wrong.filter(F.col("change_type") == DELETE))
+    delete_path(spark, path)
+    return sum(found.values())
 
 
 def stream_ingest(
