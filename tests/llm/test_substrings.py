@@ -48,9 +48,11 @@ def made(seed, n=60):
 
 
 @pytest.mark.parametrize("hot", [5_000, 3])
-def test_made_documents(frame, hot):
-    rows = made(1) + [(None, "w1 " * 40), (200, "w1 " * 40), (201, "w1 " * 50), (201, "w1 " * 20)]
-    assert rows_of(substrings.remove_repeats(frame(rows), hot=hot)) == plain(rows)
+@pytest.mark.parametrize("bound", [1_000, 2, -1])
+def test_made_documents(frame, hot, bound):
+    rows = made(1) + [(None, "w1 " * 40), (200, "w1 " * 40), (201, "w1 " * 50), (201, "w1 " * 20), (202, "w1 " * 40)]
+    got = substrings.remove_repeats(frame(rows), hot=hot, hot_anchors=max(bound, 0) * 1000, hot_windows=bound)
+    assert rows_of(got) == plain(rows)
 
 
 def test_many_shards(frame, monkeypatch):
@@ -68,10 +70,10 @@ def _sorted_segments(rows):
 
     out = []
     for key, text in rows:
-        for words, anchors, starts in substrings.anchor_runs([text]):
-            for k, anchor in enumerate(anchors.view(np.int64).tolist()):
-                run = words[starts[k] : starts[k + 1] - 1 + 13]
-                out.append((anchor, b" ".join(run).decode(), key, 0, int(starts[k])))
+        runs = substrings.Runs([text])
+        for anchor, first, end in zip(runs.anchor.tolist(), runs.first.tolist(), runs.end.tolist()):
+            run = runs.split[0][first : end - 1 + 13]
+            out.append((anchor, b" ".join(run).decode(), key, 0, first))
     out.sort()
     for at in range(0, len(out), 7):
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out[at : at + 7])], names=list("abcde"))

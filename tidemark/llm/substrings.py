@@ -4,6 +4,8 @@ A *window* is ``WINDOW`` consecutive words of a document. A word goes if it
 lies in a window whose word sequence also starts in a document with a smaller
 key.
 
+0. Of documents with the same text only the one with the least key goes on;
+   the others lose all their windows to it.
 1. *Anchors.* Of the hashes of all ``GRAM``-word sequences in a window the
    least one is its anchor (winnowing), so equal windows have equal anchors,
    and neighbours mostly share one. Anchors found in a single document end
@@ -11,9 +13,11 @@ key.
    holds costs one row per task.
 2. *Segments.* What is left of a document, the windows with a shared anchor,
    goes to the shard of its anchor as one run of words. Anchors in more than
-   ``HOT`` documents send single windows instead, keyed by the window itself
-   and summed to one row with the least key before and after the shuffle, so
-   that no shard depends on how often a phrase occurs.
+   ``HOT`` documents are taken by single windows instead, keyed by the window
+   itself and summed to one row with the least key before and after the
+   shuffle, so that no shard depends on how often a phrase occurs. While hot
+   anchors and windows are few enough to be broadcast, by a count, they are
+   found by a scan of the texts; else they take the way of the segments.
 3. *Index.* A shard's segments make one compressed FM-index: a suffix array
    of its words, and the Burrows-Wheeler transform in a wavelet matrix of
    packed bits. Backward search streams all segments through it at once and
@@ -41,6 +45,8 @@ WINDOW = 13
 GRAM = 4
 HOT = 5_000
 SHARD_WORDS = 500_000
+HOT_ANCHORS = 200_000
+HOT_WINDOWS = 1_000_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -51,19 +57,19 @@ def words_of(text: str | None) -> list[bytes]:
 # anchors
 
 
-def word_hashes(texts: list[list[bytes]]) -> np.ndarray:
+def word_hashes(split: list[list[bytes]]) -> np.ndarray:
     digest = xxhash.xxh3_64_intdigest
-    return np.array([digest(w) for words in texts for w in words], np.uint64)
+    return np.array([digest(w) for words in split for w in words], np.uint64)
 
 
-def window_anchors(hashes: np.ndarray, window: int = WINDOW, gram: int = GRAM) -> np.ndarray:
-    """The anchor of every window of one run of words."""
-    grams = len(hashes) - gram + 1
+def window_anchors(hashes: np.ndarray) -> np.ndarray:
+    """The anchor of every window of one row of words."""
+    grams = len(hashes) - GRAM + 1
     total = np.zeros(grams, np.uint64)
-    for k in range(gram):
+    for k in range(GRAM):
         total = total * _STEP + hashes[k : k + grams]
     total = splitmix(total)
-    span, width = window - gram + 1, 1
+    span, width = WINDOW - GRAM + 1, 1
     while width < span:  # least of each run of ``span`` grams, by doubling
         step = min(width, span - width)
         total = np.minimum(total[: len(total) - step], total[step:])
@@ -71,20 +77,32 @@ def window_anchors(hashes: np.ndarray, window: int = WINDOW, gram: int = GRAM) -
     return total
 
 
-def anchor_runs(texts: list[str | None], window: int = WINDOW) -> Iterator[tuple[list[bytes], np.ndarray, np.ndarray]]:
-    """Per text: its words, the anchors of its runs of windows, and where each run starts and the last ends."""
-    split = [words_of(t) for t in texts]
-    hashes = word_hashes(split)
-    at = 0
-    for words in split:
-        own = hashes[at : at + len(words)]
-        at += len(words)
-        if len(words) < window:
-            yield words, np.zeros(0, np.uint64), np.zeros(1, np.int64)
-            continue
-        anchors = window_anchors(own, window)
-        starts = np.flatnonzero(np.append(True, anchors[1:] != anchors[:-1]))
-        yield words, anchors[starts], np.append(starts, len(anchors))
+class Runs:
+    """Runs of windows with the same anchor in a list of texts.
+
+    ``owner``: the text of a run; ``anchor``; ``first`` and ``end``: its first
+    window, and one after its last, counted in words from the text's start.
+    """
+
+    def __init__(self, texts: list[str | None]):
+        self.split = [words_of(t) for t in texts]
+        sizes = np.fromiter(map(len, self.split), np.int64, len(texts))
+        if sizes.sum() < WINDOW:
+            self.owner = self.first = self.end = np.zeros(0, np.int64)
+            self.anchor = np.zeros(0, np.int64)
+            return
+        anchors = window_anchors(word_hashes(self.split)).view(np.int64)
+        starts = np.cumsum(sizes) - sizes
+        owner = np.repeat(np.arange(len(texts)), sizes)[: len(anchors)]
+        place = np.arange(len(anchors)) - starts[owner]
+        inside = np.flatnonzero(place + WINDOW <= sizes[owner])
+        owner, place, anchors = owner[inside], place[inside], anchors[inside]
+        begins = np.ones(len(inside), bool)
+        begins[1:] = (anchors[1:] != anchors[:-1]) | (owner[1:] != owner[:-1])
+        at = np.flatnonzero(begins)
+        self.owner, self.anchor, self.first = owner[at], anchors[at], place[at]
+        last = np.append(at[1:], len(inside)) - 1
+        self.end = place[last] + 1 if len(at) else place[:0]
 
 
 def _anchor_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,47 +110,91 @@ def _anchor_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     for batch in batches:
         ids, done = batch.column(0).to_numpy(), 0
         for piece in pieces(batch.column(1)):
-            found = [np.unique(anchors) for _, anchors, _ in anchor_runs(piece)]
-            owner = np.repeat(ids[done : done + len(piece)], [len(f) for f in found])
+            runs = Runs(piece)
+            order = np.lexsort((runs.anchor, runs.owner))
+            owner, anchor = runs.owner[order], runs.anchor[order]
+            fresh = np.ones(len(order), bool)
+            fresh[1:] = (owner[1:] != owner[:-1]) | (anchor[1:] != anchor[:-1])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids[done + owner[fresh]]), pa.array(anchor[fresh])], names=["id", "anchor"]
+            )
             done += len(piece)
-            flat = np.concatenate(found).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(owner), pa.array(flat)], names=["id", "anchor"])
 
 
 # segments
 
-SEGMENT = "id bigint, row bigint, start int, shard bigint, hot boolean, words string"
-
-
-def _segment_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The runs of windows with shared anchors of each (id, row, text, shared, hot)."""
-    for batch in batches:
-        ids, rows = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        shared, hot = batch.column(3), batch.column(4)
-        at = 0
-        for piece in pieces(batch.column(2)):
-            out: list[tuple] = []
-            for words, anchors, starts in anchor_runs(piece):
-                own = anchors.view(np.int64)
-                here = np.flatnonzero(np.isin(own, np.array(shared[at].as_py(), np.int64)))
-                busy = np.isin(own[here], np.array(hot[at].as_py(), np.int64))
-                for k, single in zip(here.tolist(), busy.tolist()):
-                    first, end = int(starts[k]), int(starts[k + 1])
-                    if single:
-                        for start in range(first, end):
-                            text = b" ".join(words[start : start + WINDOW])
-                            shard = int(np.uint64(xxhash.xxh3_64_intdigest(text, 1)).view(np.int64))
-                            out.append((ids[at], rows[at], start, shard, True, text))
-                    else:
-                        text = b" ".join(words[first : end - 1 + WINDOW])
-                        out.append((ids[at], rows[at], first, int(own[k]), False, text))
-                at += 1
-            columns = list(zip(*out)) or [()] * 6
-            types = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.string())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types)],
-                names=["id", "row", "start", "shard", "hot", "words"],
-            )
+SEGMENT = "id bigint, row int, start int, shard bigint, hot boolean, words string"
+_SEGMENT = pa.schema(
+    [("id", pa.int64()), ("row", pa.int32()), ("start", pa.int32()), ("shard", pa.int64()), ("hot", pa.bool_()), ("words", pa.string())]
+)
+
+
+def window_shard(text: bytes) -> int:
+    return int(np.uint64(xxhash.xxh3_64_intdigest(text, 1)).view(np.int64))
+
+
+def _segment_batches(with_hot: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The runs of windows with shared anchors of each (id, row, text, shared, hot)."""
+        for batch in batches:
+            ids, rows = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            shared, hot = batch.column(3), batch.column(4)
+            done = 0
+            for piece in pieces(batch.column(2)):
+                runs = Runs(piece)
+                cuts = np.searchsorted(runs.owner, np.arange(len(piece) + 1))
+                out: tuple[list, ...] = ([], [], [], [], [], [])
+                for k, words in enumerate(runs.split):
+                    own = slice(cuts[k], cuts[k + 1])
+                    if shared[done + k].as_py() is None or own.start == own.stop:
+                        continue
+                    at = cuts[k] + np.flatnonzero(np.isin(runs.anchor[own], shared[done + k].values.to_numpy()))
+                    busy = np.isin(runs.anchor[at], hot[done + k].values.to_numpy())
+                    _plain(out, ids[done + k], rows[done + k], words, runs, at[~busy])
+                    if with_hot:
+                        _single(out, ids[done + k], rows[done + k], words, runs, at[busy])
+                done += len(piece)
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, _SEGMENT)], schema=_SEGMENT)
+
+    return run
+
+
+def _plain(out: tuple[list, ...], id_: int, row: int, words: list[bytes], runs: Runs, at: np.ndarray) -> None:
+    first, end = runs.first[at].tolist(), runs.end[at].tolist()
+    out[0].extend([id_] * len(first))
+    out[1].extend([row] * len(first))
+    out[2].extend(first)
+    out[3].extend(runs.anchor[at].tolist())
+    out[4].extend([False] * len(first))
+    out[5].extend([b" ".join(words[a : z - 1 + WINDOW]) for a, z in zip(first, end)])
+
+
+def _single(out: tuple[list, ...], id_: int, row: int, words: list[bytes], runs: Runs, at: np.ndarray) -> None:
+    for first, end in zip(runs.first[at].tolist(), runs.end[at].tolist()):
+        for start in range(first, end):
+            text = b" ".join(words[start : start + WINDOW])
+            for column, value in zip(out, (id_, row, start, window_shard(text), True, text)):
+                column.append(value)
+
+
+def _hot_batches(anchors):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """id, shard, words: single windows with one of the broadcast anchors."""
+        for batch in batches:
+            ids, done = batch.column(0).to_pylist(), 0
+            for piece in pieces(batch.column(1)):
+                runs = Runs(piece)
+                out: tuple[list, ...] = ([], [], [], [], [], [])
+                for at in np.flatnonzero(np.isin(runs.anchor, anchors.value)):
+                    k = int(runs.owner[at])
+                    _single(out, ids[done + k], 0, runs.split[k], runs, np.array([at]))
+                done += len(piece)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(out[0], pa.int64()), pa.array(out[3], pa.int64()), pa.array(out[5], pa.string())],
+                    names=["id", "shard", "words"],
+                )
+
+    return run
 
 
 # the index of one shard
@@ -278,31 +340,32 @@ def _indexed(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[li
 def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """id, row, begin, end: runs of window starts that a smaller key has, from (shard, words, id, row, start)."""
     for rows, least in _indexed(batches, 5):
-        out = []
+        out, last, low, high = [], None, 0, 0
         for (_, _, key, row, start), found in zip(rows, least):
-            held = np.flatnonzero(np.diff(np.concatenate([[0], found < key, [0]])))
-            out.extend((key, row, start + a, start + z) for a, z in held.reshape(-1, 2).tolist())
+            if found is not last:
+                last, low, high = found, int(found.min()), int(found.max())
+            if high < key:
+                out.append((key, row, start, start + len(found)))
+            elif low < key:
+                held = np.flatnonzero(np.diff(np.concatenate([[0], found < key, [0]])))
+                out.extend((key, row, start + a, start + z) for a, z in held.reshape(-1, 2).tolist())
         yield _ranges(out)
 
 
 def _ranges(out: list[tuple[int, int, int, int]]) -> pa.RecordBatch:
     columns = list(zip(*out)) or [()] * 4
-    types = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
+    types = (pa.int64(), pa.int32(), pa.int32(), pa.int32())
     return pa.RecordBatch.from_arrays(
         [pa.array(c, t) for c, t in zip(columns, types)], names=["id", "row", "begin", "end"]
     )
 
 
 def _window_least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """shard, seg, least of single windows, from (shard, words, id, seg)."""
-    for rows, least in _indexed(batches, 4):
+    """shard and least key of single windows, from (shard, words, id)."""
+    for rows, least in _indexed(batches, 3):
         yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([r[0] for r in rows], pa.int64()),
-                pa.array([r[3] for r in rows], pa.int64()),
-                pa.array([int(f[0]) for f in least], pa.int64()),
-            ],
-            names=["shard", "seg", "least"],
+            [pa.array([r[0] for r in rows], pa.int64()), pa.array([int(f[0]) for f in least], pa.int64())],
+            names=["shard", "least"],
         )
 
 
@@ -312,32 +375,66 @@ def _window_least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 KEPT = "struct<n_words:bigint,n_removed:bigint,kept:string>"
 
 
-def keep_words(text: Column, runs: Column) -> Column:
-    """``n_words``, ``n_removed`` and ``kept`` (words joined by one space) of a text and its runs of window starts."""
+def keep_words(id_: Column, text: Column, runs: Column, copy: Column, hot: Column, least) -> Column:
+    """``n_words``, ``n_removed`` and ``kept`` (words joined by one space) of a text.
 
-    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for texts, lists in batches:
+    ``runs`` are runs of window starts that go, ``copy`` tells that all of them
+    do, and ``hot`` are the anchors whose windows are looked up in ``least``, a
+    broadcast table of window hashes and keys.
+    """
+
+    def run(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        for batch in batches:
             total, gone, kept = [], [], []
-            for text_, list_ in zip(texts, lists):
-                words = words_of(text_.as_py())
-                hit = np.zeros(len(words) + 1, np.int64)
-                for one in list_.as_py() or ():
-                    hit[one["begin"]] += 1
-                    hit[one["end"] - 1 + WINDOW] -= 1
-                stay = np.cumsum(hit)[:-1] == 0
+            for one in zip(*batch):
+                key, text_, lists, copied, busy = (x.as_py() for x in one)
+                words = words_of(text_)
+                spans = [(r["begin"], r["end"]) for r in lists or ()]
+                if copied and len(words) >= WINDOW:
+                    spans = [(0, len(words) - WINDOW + 1)]
+                elif busy and least is not None:
+                    spans += _held(text_, busy, key, least.value)
                 total.append(len(words))
-                gone.append(int(len(words) - stay.sum()))
-                kept.append(b" ".join([w for w, s in zip(words, stay) if s] if gone[-1] else words).decode())
+                if not spans:
+                    gone.append(0)
+                    kept.append(b" ".join(words).decode())
+                    continue
+                hit = np.zeros(len(words) + 1, np.int64)
+                for begin, end in spans:
+                    hit[begin] += 1
+                    hit[end - 1 + WINDOW] -= 1
+                stay = (np.cumsum(hit)[:-1] == 0).tolist()
+                left = [w for w, s in zip(words, stay) if s]
+                gone.append(len(words) - len(left))
+                kept.append(b" ".join(left).decode())
             yield pa.StructArray.from_arrays(
                 [pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())],
                 names=["n_words", "n_removed", "kept"],
             )
 
-    run.__annotations__ = {"batches": Iterator[tuple[pa.Array, pa.Array]], "return": Iterator[pa.Array]}
-    return F.arrow_udf(run, KEPT)(text, runs)
-
-
-def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", hot: int = HOT) -> DataFrame:
+    run.__annotations__ = {"batches": Iterator[tuple[pa.Array, ...]], "return": Iterator[pa.Array]}
+    return F.arrow_udf(run, KEPT)(id_, text, runs, copy, hot)
+
+
+def _held(text: str, busy: list[int], key: int, least: dict[int, int]) -> list[tuple[int, int]]:
+    """Single windows with a hot anchor that a smaller key has."""
+    runs = Runs([text])
+    spans = []
+    for at in np.flatnonzero(np.isin(runs.anchor, np.array(busy, np.int64))):
+        for start in range(int(runs.first[at]), int(runs.end[at])):
+            if least.get(window_shard(b" ".join(runs.split[0][start : start + WINDOW])), key) < key:
+                spans.append((start, start + 1))
+    return spans
+
+
+def remove_repeats(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    hot: int = HOT,
+    hot_anchors: int = HOT_ANCHORS,
+    hot_windows: int = HOT_WINDOWS,
+) -> DataFrame:
     """Per row: key, ``n_words``, ``n_removed`` and ``kept``, the words that stay, joined by one space.
 
     Windows are judged on the given texts, not on what is left of them. NULL
@@ -346,44 +443,80 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", hot
     columns are not read.
     """
     body = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("t"))
-    anchors = body.where(F.col("id").isNotNull()).mapInArrow(_anchor_batches, "id bigint, anchor bigint")
-    seen = anchors.groupBy("anchor").agg(
-        F.min("id").alias("least"), F.max("id").alias("most"), F.count("*").alias("n")
-    )
-    shared = staged(seen.where("least < most").select("anchor", (F.col("n") > hot).alias("hot")), "anchors")
-    of_doc = staged(
+    known = body.where(F.col("id").isNotNull())
+    copies = staged(_copies(known), "copies")
+    anchors = known.mapInArrow(_anchor_batches, "id bigint, anchor bigint")
+    seen = anchors.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
+    shared = staged(seen.select("anchor", (F.col("n") > hot).alias("hot")), "anchors")
+    of_doc = (
         anchors.join(shared, "anchor")
         .groupBy("id")
-        .agg(F.collect_set("anchor").alias("shared"), F.collect_set(F.when(F.col("hot"), F.col("anchor"))).alias("hot")),
-        "shared",
+        .agg(F.collect_set("anchor").alias("shared"), F.collect_set(F.when(F.col("hot"), F.col("anchor"))).alias("busy"))
     )
-    # both joins with the texts are by id and from the left, so the texts are shuffled once
-    marked = body.join(of_doc, "id", "left").where(F.col("shared").isNotNull())
-    segments = marked.select("id", F.xxhash64("t").alias("row"), "t", "shared", "hot").mapInArrow(
-        _segment_batches, SEGMENT
+    of_doc = staged(of_doc.join(copies.select("id").distinct(), "id", "left_anti"), "shared")
+    least = _broadcast_least(known, shared, hot_anchors, hot_windows)
+    # Both joins with the texts are by id and from the left, with nothing asked
+    # of the texts before, so the texts are shuffled once for the two.
+    given = F.when(F.col("shared").isNotNull(), F.col("t"))
+    segments = (
+        body.join(of_doc, "id", "left")
+        .select("id", _row(F.col("t")).alias("row"), given.alias("t"), "shared", "busy")
+        .mapInArrow(_segment_batches(with_hot=least is None), SEGMENT)
     )
     order = ["shard", "words", "id", "row", "start"]
     plain = segments.where(~F.col("hot")).select(*order).repartition("shard").sortWithinPartitions(*order)
-    ranges = plain.mapInArrow(_repeats, "id bigint, row bigint, begin int, end int")
-    if not shared.where("hot").isEmpty():
+    ranges = plain.mapInArrow(_repeats, "id bigint, row int, begin int, end int")
+    if least is None:
         ranges = ranges.unionByName(_hot_ranges(segments.where("hot")))
     runs = ranges.groupBy("id").agg(F.collect_list(F.struct("row", "begin", "end")).alias("runs"))
-    own = F.filter("runs", lambda r: r["row"] == F.xxhash64("t"))
-    return body.join(runs, "id", "left").select(F.col("id").alias(key), keep_words(F.col("t"), own).alias("x")).select(
-        key, "x.*"
+    told = runs.join(copies.groupBy("id").agg(F.collect_set("row").alias("copies")), "id", "full_outer").join(
+        of_doc.where(F.size("busy") > 0).select("id", "busy"), "id", "full_outer"
     )
+    own = F.filter("runs", lambda r: r["row"] == _row(F.col("t")))
+    copied = F.coalesce(F.array_contains("copies", _row(F.col("t"))), F.lit(False))
+    kept = keep_words(F.col("id"), F.col("t"), own, copied, F.col("busy"), least)
+    return body.join(told, "id", "left").select(F.col("id").alias(key), kept.alias("x")).select(key, "x.*")
+
+
+def _row(text: Column) -> Column:
+    """Tells rows with the same key apart by their texts."""
+    return F.hash(text)
+
+
+def _copies(known: DataFrame) -> DataFrame:
+    """id, row: documents whose text a smaller id has too, by 128 bits of hash."""
+    named = known.where(F.col("t").isNotNull()).select(
+        "id", _row(F.col("t")).alias("row"), F.xxhash64("t").alias("a"), F.xxhash64(F.lit(7), "t").alias("b")
+    )
+    first = named.groupBy("a", "b").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1")
+    return named.join(first, ["a", "b"]).where("first < id").select("id", "row").distinct()
+
+
+def _broadcast_least(known: DataFrame, shared: DataFrame, hot_anchors: int, hot_windows: int):
+    """Least key by hash of every window with a hot anchor, broadcast; None if there are too many."""
+    hot = shared.where("hot").select("anchor")
+    spark = known.sparkSession
+    if hot.count() > hot_anchors:
+        return None
+    listed = np.array(sorted(r[0] for r in hot.collect()), np.int64)
+    if not len(listed):
+        return spark.sparkContext.broadcast({})
+    windows = known.mapInArrow(_hot_batches(spark.sparkContext.broadcast(listed)), "id bigint, shard bigint, words string")
+    found = staged(_least(windows), "windows")
+    if found.count() > hot_windows:
+        return None
+    return spark.sparkContext.broadcast(dict(found.groupBy("shard").agg(F.min("least")).collect()))
+
+
+def _least(windows: DataFrame) -> DataFrame:
+    """Least key of each single window, through the index of its shard."""
+    order = ["shard", "words", "id"]
+    each = windows.groupBy("shard", "words").agg(F.min("id").alias("id")).select(*order)
+    return each.repartition("shard").sortWithinPartitions(*order).mapInArrow(_window_least, "shard bigint, least bigint")
 
 
 def _hot_ranges(windows: DataFrame) -> DataFrame:
     """Runs from single windows, summed to one row each before they meet an index."""
-    named = windows.select("id", "row", "start", "shard", F.xxhash64("words").alias("seg"), "words")
-    least = named.groupBy("shard", "words", "seg").agg(F.min("id").alias("id"))
-    order = ["shard", "words", "id", "seg"]
-    found = staged(
-        least.select(*order).repartition("shard").sortWithinPartitions(*order).mapInArrow(
-            _window_least, "shard bigint, seg bigint, least bigint"
-        ),
-        "windows",
-    )
-    met = named.drop("words").join(found, ["shard", "seg"]).where("least < id")
+    found = staged(_least(windows.select("shard", "words", "id")), "windows")
+    met = windows.select("id", "row", "start", "shard").join(found, "shard").where("least < id")
     return met.select("id", "row", F.col("start").alias("begin"), (F.col("start") + 1).alias("end"))
