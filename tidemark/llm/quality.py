@@ -32,65 +32,73 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(text, _SPLIT), lambda w: w != "")
 
 
+def _count_of(text: Column, characters: str) -> Column:
+    """How many characters of ``text`` are among a few ASCII ones."""
+    left = text
+    for c in characters:
+        left = F.replace(left, F.lit(c), F.lit(""))
+    return (F.length(text) - F.length(left)).cast("long")
+
+
 def _share(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part / whole).otherwise(0.0)
 
 
 def measured(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Key and the counts of each text; a NULL text has none of anything."""
+    """Key and the counts of each text; a NULL text has none of anything.
+
+    Windows are hashed, and only texts with a repeated hash sort them, so that
+    equal windows become neighbours and are compared word by word.
+    """
     body = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
     body = body.select("id", "t", words_of(F.col("t")).alias("w"))
-    hashes = F.transform("w", lambda w: F.xxhash64(w))
-    body = body.select("id", "t", "w", hashes.alias("h"), F.size("w").alias("n"))
-    # windows as (hash, start), sorted, so that equal ones are neighbours
-    windows = F.when(
+    body = body.select("id", "t", "w", F.transform("w", lambda w: F.xxhash64(w)).alias("h"), F.size("w").alias("n"))
+    hashes = F.when(
         F.col("n") >= WINDOW,
-        F.sort_array(
-            F.transform(
-                F.sequence(F.lit(0), F.col("n") - WINDOW),
-                lambda i: F.struct(
-                    F.xxhash64(*[F.get(F.col("h"), i + k) for k in range(WINDOW)]).alias("x"), i.alias("i")
-                ),
-            )
+        F.transform(
+            F.sequence(F.lit(1), F.col("n") - WINDOW + 1), lambda i: F.xxhash64(F.slice(F.col("h"), i, WINDOW))
         ),
+    ).otherwise(F.array().cast("array<bigint>"))
+    body = body.select("id", "t", "w", "n", hashes.alias("x"))
+    twice = F.size(F.array_distinct("x")) < F.size("x")
+    windows = F.when(
+        twice, F.sort_array(F.transform("x", lambda x, i: F.struct(x.alias("x"), i.alias("i"))))
     ).otherwise(F.array().cast("array<struct<x:bigint,i:int>>"))
     body = body.select("id", "t", "w", "n", windows.alias("s"))
 
     def same(one: Column, other: Column) -> Column:
-        """Equal hashes, and then equal words."""
-        return (one["x"] == other["x"]) & (
+        """Equal hashes, and then equal words; false beyond the ends."""
+        equal = (one["x"] == other["x"]) & (
             F.slice(F.col("w"), one["i"] + 1, WINDOW) == F.slice(F.col("w"), other["i"] + 1, WINDOW)
         )
+        return F.coalesce(equal, F.lit(False))
 
     repeated = F.filter(
-        "s",
-        lambda x, k: F.coalesce(same(x, F.get(F.col("s"), k - 1)), F.lit(False))
-        | F.coalesce(same(x, F.get(F.col("s"), k + 1)), F.lit(False)),
+        "s", lambda x, k: same(x, F.get(F.col("s"), k - 1)) | same(x, F.get(F.col("s"), k + 1))
     )
     starts = F.sort_array(F.transform(repeated, lambda x: x["i"]))
-    lines = F.filter(F.split("t", "\n", -1), lambda x: F.translate(x, SPACES, "") != "")
+    lines = F.filter(F.split("t", "\n", -1), lambda x: F.ltrim(x, F.lit(SPACES)) != "")
     body = body.select("id", "t", "w", "n", starts.alias("p"), lines.alias("l"))
     gaps = F.transform("p", lambda at, k: F.least(F.lit(WINDOW), F.coalesce(F.get(F.col("p"), k + 1) - at, F.lit(WINDOW))))
-    whole = F.length("t")
-    letters = F.length(F.regexp_replace("t", "[^\\p{L}]+", ""))
+    t = F.col("t")
     return body.select(
         "id",
         F.col("n").cast("long").alias("n_words"),
-        F.length(F.translate("t", SPACES, "")).cast("long").alias("word_chars"),
-        (whole - F.length(F.translate("t", SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        (F.length("t") - _count_of(t, SPACES)).alias("word_chars"),
+        _count_of(t, SYMBOLS).alias("n_symbols"),
         (F.size("l") - F.size(F.array_distinct("l"))).cast("long").alias("n_dup_lines"),
         F.aggregate(gaps, F.lit(0), lambda a, x: a + x).cast("long").alias("n_repeat_words"),
         F.size("l").cast("long").alias("n_lines"),
-        letters.cast("long").alias("n_letters"),
-        (letters - F.length(F.regexp_replace("t", "[^\\p{L}]+|\\p{Lu}+", ""))).cast("long").alias("n_upper"),
-        (whole - F.length(F.translate("t", "!?", ""))).cast("long").alias("n_marks"),
-        (whole - F.length(F.translate("t", ".", ""))).cast("long").alias("n_stops"),
-        F.size(F.filter("w", lambda w: F.lower(w).isin(FUNCTION_WORDS))).cast("long").alias("n_function"),
+        (F.length("t") - F.length(F.regexp_replace("t", "\\p{Lu}+", ""))).cast("long").alias("n_upper"),
+        _count_of(t, "0123456789").alias("n_digits"),
+        _count_of(t, "!?").alias("n_marks"),
+        _count_of(t, ".").alias("n_stops"),
+        F.size(F.filter("w", lambda w: w.isin(FUNCTION_WORDS))).cast("long").alias("n_function"),
     )
 
 
 RULES = (
-    "size", "word_length", "symbols", "repeats", "lines", "capitals", "letters", "marks", "sentences", "function_words",
+    "size", "word_length", "symbols", "repeats", "lines", "capitals", "digits", "marks", "sentences", "function_words",
 )
 
 
@@ -105,8 +113,8 @@ def rules() -> dict[str, Column]:
     symbols = _share(F.col("n_symbols"), n)
     repeats = _share(F.col("n_repeat_words"), n)
     doubled = _share(F.col("n_dup_lines"), F.col("n_lines"))
-    upper = _share(F.col("n_upper"), F.col("n_letters"))
-    letters = _share(F.col("n_letters"), F.col("word_chars"))
+    upper = _share(F.col("n_upper"), F.col("word_chars"))
+    digits = _share(F.col("n_digits"), F.col("word_chars"))
     marks = _share(F.col("n_marks"), n)
     stops = _share(F.col("n_stops"), n)
     function = _share(F.col("n_function"), n)
@@ -117,7 +125,7 @@ def rules() -> dict[str, Column]:
         "repeats": _vote(repeats <= 0.02, repeats > 0.2),
         "lines": _vote((doubled == 0) & (F.col("n_lines") > 1), doubled > 0.3),
         "capitals": _vote(upper <= 0.1, upper > 0.3),
-        "letters": _vote(letters >= 0.9, letters < 0.7),
+        "digits": _vote(digits <= 0.02, digits > 0.2),
         "marks": _vote(marks <= 0.05, marks > 0.2),
         "sentences": _vote((stops >= 0.005) & (stops <= 0.2), (n >= 50) & ((stops < 0.001) | (stops > 0.4))),
         "function_words": _vote(function >= 0.08, (n >= 20) & (function < 0.02)),
