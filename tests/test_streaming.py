@@ -90,6 +90,20 @@ def test_rows_past_the_watermark_come_in_by_reconcile(spark, database, tmp_path)
     assert again == 0
 
 
+def test_reconcile_removes_windows_that_no_fact_supports_and_stays_in_its_range(spark, database, tmp_path):
+    table = pickup_table(spark, database)
+    facts = spark.createDataFrame([(1, at("01:00"), 2.0)], TRIP)
+    table.merge(pickup_features(facts))
+    phantom = [(9, at("2024-01-01 05:00:00"), 1.0, 1), (9, at("2024-01-05 05:00:00"), 1.0, 1)]
+    table.merge(spark.createDataFrame(phantom, table.schema))
+    fixed = stream.reconcile(
+        table, facts, pickup_features, "pickup_ts", PICKUP_WINDOW, "2023-12-31", "2024-01-02"
+    )
+    assert fixed == 1
+    kept = table.read(spark).filter("zip = 9").select("ts").collect()
+    assert [r[0] for r in kept] == [at("2024-01-05 05:00:00")]
+
+
 def test_write_accepts_a_stream_in_merge_mode_only(spark, database, tmp_path):
     table = FeatureTable.define(f"{database}.raw", ["pickup_zip"], TRIP, "pickup_ts").create(spark)
     path = str(tmp_path / "in")

@@ -268,10 +268,12 @@ def feature_table_describe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def feature_overwrite(spark: SparkSession, folder: str) -> DataFrame:
-    """A table of the first half month, replaced by the features from day 11 on."""
+    """A table of all trips but those of the last days, replaced by all but those of the first ten.
+
+    The days that only the first one had must go."""
     facts = trips(spark, folder)
     table = pickup_table(spark, scratch_database(spark, "overwrite"))
-    table.write(pickup_features(facts, "pickup_ts", None, "2024-01-16"), "overwrite")
+    table.write(pickup_features(facts, "pickup_ts", None, "2024-01-27"), "overwrite")
     table.write(pickup_features(facts, "pickup_ts", "2024-01-11"), "overwrite")
     return table.read(spark)
 
@@ -313,6 +315,8 @@ def latest_snapshot_merge(spark: SparkSession, folder: str) -> DataFrame:
     table.publish(spark, online)
     table.write(pickup_features(facts, "pickup_ts", "2024-01-16"), "overwrite")
     table.publish(spark, online)
+    table.write(pickup_features(facts, "pickup_ts", None, "2024-01-16"), "overwrite")
+    table.publish(spark, online)  # older rows change nothing
     return online.read(spark)
 
 

@@ -50,9 +50,11 @@ def stream_features(
     Update mode sends each window again when it changes and the merge replaces
     it, so no window waits for the watermark (append mode would hold the last
     ones back). The watermark only bounds the state. Rows later than it are
-    left out; ``dropped_by_watermark`` tells that it happened and
-    ``reconcile`` brings them in.
+    left out; a ``DropCounter`` tells how many sums that were and ``reconcile``
+    brings them in.
     """
+    if table.ts and isinstance(table.schema[table.ts].dataType, T.TimestampNTZType):
+        require_utc(stream.sparkSession)  # else instants would be stored as another zone's wall clock
     built = build(zoned(stream).withWatermark(event_ts, watermark))
     return table.write(built, checkpoint=checkpoint, trigger=trigger, wait=wait)
 
