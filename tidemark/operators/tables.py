@@ -375,6 +375,8 @@ class FeatureTable:
             query = writer.start()
         if wait:
             query.awaitTermination()
+            # micro-batches write in a session of their own; this one's file listing is old by now
+            df.sparkSession.catalog.refreshTable(self.name)
         return query
 
     def publish(
