@@ -35,6 +35,11 @@ HEADLINE = [
     "region_join",
     "training_matrix",
     "stream_pickup_features",
+    "stream_pit_enrich",
+    "pit_lookup_stored",
+    "linear_score_batch",
+    "score_batch",
+    "fare_model_metrics",
 ]
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from helpers import SMALL, at, plan_of, rows_of
 from tidemark.operators import windows
 from tidemark.operators.windows import Measure, dropoff_features, pickup_features, slots_fit, windowed_features
+from tidemark.sources.scan import preview
 from tidemark.sources.trips import trips
 
 TRIP = "pickup_zip int, pickup_ts timestamp_ntz, fare_amount double"
@@ -135,3 +136,16 @@ def test_slots_are_used_for_large_input_and_only_where_they_fit(spark, monkeypat
     assert plan_of(pickup_features(facts)).count("Exchange") == 2
     uneven = windowed_features(facts, ["pickup_zip"], "pickup_ts", "1 hour", {"n": Measure("count")}, "25 minutes")
     assert plan_of(uneven).count("Exchange") == 1
+
+
+def test_builders_take_other_column_names(spark):
+    facts = trips(spark, SMALL)
+    named = facts.withColumnsRenamed({"fare_amount": "paid", "pickup_zip": "from_zip", "dropoff_zip": "to_zip"})
+    assert rows_of(pickup_features(named, fare="paid", zip_column="from_zip")) == rows_of(pickup_features(facts))
+    assert rows_of(dropoff_features(named, zip_column="to_zip")) == rows_of(dropoff_features(facts))
+
+
+def test_preview_prints_the_first_rows(spark, capsys):
+    preview(spark.range(5).coalesce(1), 2)
+    shown = capsys.readouterr().out
+    assert "|0 " in shown and "|1 " in shown and "|2 " not in shown

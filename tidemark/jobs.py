@@ -81,7 +81,7 @@ def ingest(
 
 def _groups(columns: Columns):
     return (
-        (PICKUPS, partial(pickup_features, event_ts=columns.pickup_ts), columns.pickup_ts, PICKUP_WINDOW),
+        (PICKUPS, partial(pickup_features, event_ts=columns.pickup_ts, fare=columns.label), columns.pickup_ts, PICKUP_WINDOW),
         (DROPOFFS, partial(dropoff_features, event_ts=columns.dropoff_ts), columns.dropoff_ts, DROPOFF_WINDOW),
     )
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -168,14 +168,17 @@ def pickup_features(
     end: Bound = None,
     event_ts: str = "pickup_ts",
     pre_aggregate: bool | None = None,
+    fare: str = "fare_amount",
+    zip_column: str = "pickup_zip",
 ) -> DataFrame:
     """Mean fare and trip count of the last hour per pickup ZIP, every 15 minutes."""
+    measures = {n: replace(m, column=fare) if m.kind == "mean" else m for n, m in PICKUP_MEASURES.items()}
     return windowed_features(
         ts_range(df, ts_column, start, end),
-        {"pickup_zip": "zip"},
+        {zip_column: "zip"},
         event_ts,
         PICKUP_WINDOW,
-        PICKUP_MEASURES,
+        measures,
         slide=PICKUP_SLIDE,
         pre_aggregate=pre_aggregate,
     )
@@ -187,11 +190,12 @@ def dropoff_features(
     start: Bound = None,
     end: Bound = None,
     event_ts: str = "dropoff_ts",
+    zip_column: str = "dropoff_zip",
 ) -> DataFrame:
     """Trip count per drop-off ZIP and half hour, with the weekend flag of the window end."""
     out = windowed_features(
         ts_range(df, ts_column, start, end),
-        {"dropoff_zip": "zip"},
+        {zip_column: "zip"},
         event_ts,
         DROPOFF_WINDOW,
         DROPOFF_MEASURES,
