@@ -7,7 +7,7 @@ import sentencepiece
 from cases import ODD
 
 from tidemark.llm.queries import PIECE_MODEL
-from tidemark.llm.sentencepieces import PieceModel, PrefixTable, encode_documents, merge
+from tidemark.llm.sentencepieces import PieceCodec, PieceModel, PrefixTable, encode_documents, merge
 
 
 @pytest.fixture(scope="module")
@@ -59,6 +59,10 @@ def test_odd_texts(frame, library):
     ids = [(k, library.encode(t or "")) for k, t in ODD]
     assert got == sorted([(k, i, library.decode(i)) for k, i in ids], key=repr)
     assert encode_documents(frame([]), PIECE_MODEL).collect() == []
+    codec = PieceCodec(docs.sparkSession, PIECE_MODEL)
+    apart = docs.select("doc_id", codec.encode(docs["text"]).alias("i"))
+    apart = apart.select("doc_id", "i", codec.decode(apart["i"]).alias("d")).collect()
+    assert sorted(map(tuple, apart), key=repr) == got
 
 
 def test_models_that_need_more_are_refused():

@@ -315,6 +315,27 @@ class PieceCodec:
         run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
         return F.arrow_udf(run, "array<int>")(text.cast("string"))
 
+    def round_trip(self, text: Column) -> Column:
+        """Struct of ``ids`` and the text ``decoded`` from them, in one worker instead of one for each."""
+        shared = self._shared
+
+        def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            table = shared.value.encoder()
+            for texts in batches:
+                offsets, flat, decoded = np.zeros(len(texts) + 1, np.int32), array("i"), []
+                for k, value in enumerate(texts, 1):
+                    ids = table.encode(value.as_py() or "")
+                    flat.extend(ids)
+                    offsets[k] = len(flat)
+                    decoded.append(table.decode(ids))
+                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(flat, np.int32)))
+                yield pa.StructArray.from_arrays([lists, pa.array(decoded, pa.string())], names=["ids", "decoded"])
+                del texts, lists, decoded, flat
+                pa.default_memory_pool().release_unused()
+
+        run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+        return F.arrow_udf(run, "struct<ids:array<int>,decoded:string>")(text.cast("string"))
+
     def decode(self, ids: Column) -> Column:
         shared = self._shared
 
@@ -337,5 +358,5 @@ def encode_documents(docs: DataFrame, path: str, key: str = "doc_id", text: str
     row is repeated in the result; an empty table gives an empty result.
     """
     codec = PieceCodec(docs.sparkSession, path)
-    encoded = docs.select(F.col(key), codec.encode(F.col(text)).alias("ids"))
-    return encoded.select(key, "ids", codec.decode(F.col("ids")).alias("decoded"))
+    rows = docs.select(F.col(key), codec.round_trip(F.col(text)).alias("coded"))
+    return rows.select(key, "coded.ids", "coded.decoded")
