@@ -53,10 +53,11 @@ def measured(docs: DataFrame, key: str, text: str) -> DataFrame:
     body = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
     body = body.select("id", "t", words_of(F.col("t")).alias("w"))
     body = body.select("id", "t", "w", F.transform("w", lambda w: F.xxhash64(w)).alias("h"), F.size("w").alias("n"))
+    # "h" is named more than once, so the optimizer keeps it a column and does not hash all words per window
     hashes = F.when(
-        F.col("n") >= WINDOW,
+        F.size("h") >= WINDOW,
         F.transform(
-            F.sequence(F.lit(1), F.col("n") - WINDOW + 1), lambda i: F.xxhash64(F.slice(F.col("h"), i, WINDOW))
+            F.sequence(F.lit(1), F.size("h") - WINDOW + 1), lambda i: F.xxhash64(F.slice(F.col("h"), i, WINDOW))
         ),
     ).otherwise(F.array().cast("array<bigint>"))
     body = body.select("id", "t", "w", "n", hashes.alias("x"))
