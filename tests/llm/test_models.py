@@ -62,6 +62,30 @@ def test_word_ratios_are_kneser_ney():
     assert model.words(["zz", "ab", "ac"])[0] == 0.0
 
 
+def test_toxicity_reads_runs_to_their_end(spark, frame):
+    """Texts of one run each, unlike at the beginning, told apart only by what follows."""
+    rng = np.random.default_rng(5)
+
+    def glued(k):
+        start = "".join(chr(0x4E00 + c) for c in rng.integers(0, 3000, 40))
+        return start + ("你这个卑鄙的蛤蟆滚出去吧" if k % 3 == 0 else "今天花园里的天气非常好啊") + start[:20]
+
+    rows = [(k, glued(k)) for k in range(240)]
+    labels = spark.createDataFrame([(k, None, int(k % 3 == 0)) for k, _ in rows], "doc_id bigint, quality int, toxic int")
+    got = toxicity.toxicity(frame(rows), labels).toPandas()
+    held = got[got.held_out]
+    assert len(held) > 20 and (held.predicted == (held.doc_id % 3 == 0)).all()
+
+
+def test_long_runs_are_told_by_windows():
+    word = "abcdefghij" * 3
+    windows = {word[k - 4 : k + 1] for k in range(4, 30)} | {word[-4:] + toxicity.EDGE}
+    grams = sorted(toxicity.MARK + w for w in windows)
+    model = toxicity.ToxicModel(*(x[np.argsort(toxicity._hashes(grams))] for x in (toxicity._hashes(grams), np.ones(len(grams)))))
+    total, most = model.told([word, word[:23], word[:24]])
+    assert total.tolist() == [27.0, 0.0, 20.0] and most.tolist() == [24.0, 0.0, 20.0]
+
+
 def test_language_on_rows_kept_out(spark):
     docs = spark.read.parquet(f"{MIDDLE}/documents.parquet")
     got = language.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").toPandas()

@@ -4,7 +4,10 @@ An expression is a word, read letter by letter after all letters before it.
 The counts of these longest contexts belong to a class, toxic or ordinary; all
 shorter contexts, of ``ORDER - 1`` letters at most, have continuation counts of
 both classes together, so rare expressions are smoothed through what they
-share. Words with the same beginning share its counts. The difference of the two
+share. Words with the same beginning share its counts. Letters of runs longer
+than ``LETTERS``, such as text without spaces, are told by their beginning
+where it is known, and else by their window, the letter after the ``ORDER - 1``
+letters before it, counted in all runs and by class as well. The difference of the two
 log-likelihoods, normalised by length, is a property of the text and of its
 most telling words, and a logistic calibration on rows kept out of the counts
 turns it into a probability.
@@ -33,30 +36,40 @@ CALIBRATION_ROWS = 20_000
 THRESHOLD = 0.3
 KEPT_WORDS = 200_000
 EDGE = "\x02"
+MARK = "\ufdd0"
 NEUTRAL = 0.0
 LETTERS = 24
 _BASE = 0x9E3779B97F4A7C15
 _BACK = pow(_BASE, -1, 1 << 64)
 
 
-def _beginnings(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, str]:
-    """Hash, first and last place of every beginning of every word, and the text they lie in.
+def _read(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, str]:
+    """For every letter of every word: hash of the beginning that it ends, hash of its window, first and own place; the text.
 
-    A word ends with an edge, which is told like a letter. Letters after the
-    first ``LETTERS`` are not told.
+    A word ends with an edge, which is told like a letter. A window, the last
+    ``ORDER`` letters, is hashed as the text ``MARK`` and window; it holds from
+    the letter on that has so many in its word.
     """
     text = EDGE.join(words) + EDGE
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1)
     sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
     starts = np.cumsum(sizes) - sizes
     first = np.repeat(starts, sizes)
-    with np.errstate(over="ignore"):
-        sums = np.cumsum(points * _powers(_BASE, len(points)))
-        before = np.concatenate([np.zeros(1, np.uint64), sums])[first]
-        hashes = splitmix((sums - before) * _powers(_BACK, len(points))[first])
     last = np.arange(len(points))
-    told = last - first < LETTERS
-    return hashes[told], first[told], last[told], text
+    with np.errstate(over="ignore"):
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(points * _powers(_BASE, len(points)))])
+        back = _powers(_BACK, len(points))
+        hashes = splitmix((sums[1:] - sums[first]) * back[first])
+        begin = np.maximum(last - ORDER + 1, 0)
+        own = (sums[1:] - sums[begin]) * back[begin]
+        windows = splitmix(np.uint64(ord(MARK) + 1) + own * np.uint64(_BASE))
+    return hashes, windows, first, last, text
+
+
+def _hashes(grams: list[str]) -> np.ndarray:
+    """Hash of each whole gram, as ``_read`` gives it."""
+    hashes, _, first, _, _ = _read([g.removesuffix(EDGE) for g in grams])
+    return hashes[np.unique(first) + np.array([len(g) - 1 for g in grams])]
 
 
 def _powers(base: int, count: int) -> np.ndarray:
@@ -70,13 +83,19 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         toxic = batch.column(1).to_numpy(zero_copy_only=False)
         for label in (0, 1):
             texts = batch.column(0).filter(pa.array(toxic == label))
-            for piece in pieces(texts, 1 << 21):
+            for piece in pieces(texts):
                 words = [w for text in piece for w in (text or "").lower().split()]
                 if not words:
                     continue
-                hashes, first, last, text = _beginnings(words)
-                _, one, counts = np.unique(hashes, return_index=True, return_counts=True)
+                hashes, windows, first, last, text = _read(words)
+                told = np.flatnonzero(last - first < LETTERS)
+                _, one, counts = np.unique(hashes[told], return_index=True, return_counts=True)
+                one = told[one]
                 grams = [text[a : b + 1] for a, b in zip(first[one].tolist(), last[one].tolist())]
+                told = np.flatnonzero(last - first >= ORDER - 1)
+                _, one, more = np.unique(windows[told], return_index=True, return_counts=True)
+                grams += [MARK + text[b - ORDER + 1 : b + 1] for b in last[told[one]].tolist()]
+                counts = np.concatenate([counts, more])
                 zero = np.zeros(len(counts), np.int64)
                 pair = (counts, zero) if label else (zero, counts)
                 yield pa.RecordBatch.from_arrays(
@@ -86,7 +105,7 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def gram_counts(rows: DataFrame) -> DataFrame:
-    """``gram`` (a word's beginning), ``toxic``, ``ordinary``: counts over all texts of ``rows`` (text, toxic)."""
+    """``gram`` (a word's beginning, or ``MARK`` and a window), ``toxic``, ``ordinary``: counts over all texts of ``rows``."""
     found = rows.select("text", F.col("toxic").cast("int")).mapInArrow(
         _count_batches, "gram string, toxic bigint, ordinary bigint"
     )
@@ -112,7 +131,7 @@ class ToxicModel:
 
     hashes: np.ndarray
     ratios: np.ndarray
-    known: dict[str, float] = field(default_factory=dict)
+    known: dict[str, tuple[float, float]] = field(default_factory=dict)
 
     @classmethod
     def fit(cls, grams: list[str], toxic: np.ndarray, ordinary: np.ndarray) -> ToxicModel:
@@ -131,11 +150,16 @@ class ToxicModel:
             own = np.divide(np.maximum(counts - cut, 0), total, out=np.zeros(len(grams)), where=seen)
             rest = np.divide(cut * kinds, total, out=np.ones(len(grams)), where=seen)
             ratio += sign * np.log(own + rest * shared)
-        hashes, first, last, _ = _beginnings([g.removesuffix(EDGE) for g in grams])
-        at = np.searchsorted(first, np.unique(first))
-        at += np.array([len(g) - 1 for g in grams])
-        order = np.argsort(hashes[at])
-        return cls(hashes[at][order], ratio[order])
+        hashes = _hashes(grams)
+        order = np.argsort(hashes)
+        return cls(hashes[order], ratio[order])
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The ratio of each hash, NaN if it is not held."""
+        if not len(self.hashes):
+            return np.full(len(hashes), np.nan)
+        where = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.where(self.hashes[where] == hashes, self.ratios[where], np.nan)
 
     def words(self, words: list[str]) -> np.ndarray:
         """Log-likelihood ratio of each word.
@@ -144,10 +168,27 @@ class ToxicModel:
         both models back off to one shared count there, and their weights tell
         no more than how much text each was trained on.
         """
-        hashes, first, _, _ = _beginnings(words)
-        where = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        ratio = np.where(self.hashes[where] == hashes, self.ratios[where], NEUTRAL)
-        return np.add.reduceat(ratio, np.searchsorted(first, np.unique(first)))
+        return self.told(words)[0]
+
+    def told(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Log-likelihood ratio of each word, and the highest of any ``LETTERS`` letters in a row of it.
+
+        In a run of more than ``LETTERS`` letters, a letter whose beginning
+        is not known or not counted is told by its window.
+        """
+        hashes, windows, first, last, _ = _read(words)
+        at, starts = last - first, np.unique(first)
+        sizes = np.diff(np.append(starts, len(first)))
+        ratio = np.full(len(first), np.nan)
+        near = at < LETTERS
+        ratio[near] = self.find(hashes[near])
+        far = np.repeat(sizes > LETTERS, sizes) & (at >= ORDER - 1) & np.isnan(ratio)
+        ratio[far] = self.find(windows[far])
+        ratio = np.nan_to_num(ratio, nan=NEUTRAL)
+        total = np.add.reduceat(ratio, starts)
+        sums = np.concatenate([[0.0], np.cumsum(ratio)])
+        stretch = sums[1:] - sums[np.maximum(first, last - LETTERS + 1)]
+        return total, np.where(sizes > LETTERS, np.maximum.reduceat(stretch, starts), total)
 
 
 def _rows(points: np.ndarray) -> np.ndarray:
@@ -200,11 +241,11 @@ def measures(text: Column, shared) -> Column:
                     cache.clear()
                     fresh = list({w for words in split for w in words})
                 if fresh:
-                    cache.update(zip(fresh, model.words(fresh).tolist()))
+                    cache.update(zip(fresh, zip(*(x.tolist() for x in model.told(fresh)))))
                 for words in split:
-                    found = [cache[w] for w in words]
+                    found = [cache[w][0] for w in words]
                     letters = sum(map(len, words)) + len(words)
-                    top = sorted({w: cache[w] for w in words}.values())[-2:] if words else []
+                    top = sorted({w: cache[w][1] for w in words}.values())[-2:] if words else []
                     most = max(top[-1], 0.0) if top else 0.0
                     second = max(top[0], 0.0) if len(top) > 1 else 0.0
                     rows.append((len(words), sum(found) / letters if words else 0.0, most, second))
