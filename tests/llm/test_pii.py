@@ -57,6 +57,45 @@ def test_formats_hold_and_invalid_values_stay():
     date.fromisoformat(re.search(r"\d{4}-\d\d-\d\d", new[7])[0])
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        "4111 1111 1111 1111 12/26",
+        "4111 1111 1111 1111 123",
+        "12 4111 1111 1111 1111",
+        "no 7 of 2024-4111-1111-1111-1111-99 9",
+        "4111 1111 1111 1111 2024-05-06",
+        "1 4111111111111111 5500-0000-0000-0004 378282246310005 3782 822463 10005 22",
+    ],
+)
+def test_cards_beside_other_numbers(text):
+    cards = ("4111111111111111", "5500000000000004", "378282246310005")
+    for key in range(60):
+        secret = b"%d" % key
+        new, spans = pii.Pseudonymiser(secret).replace(text)
+        found = [re.sub("[ -]", "", text[a:z]) for kind, a, z in spans if kind == "card"]
+        assert found and set(found) <= set(cards) and len(found) == (4 if text[:3] == "1 4" else 1)
+        assert not any(c in re.sub("[ -]", "", new) for c in cards) and len(new) == len(text)
+        assert pii.Pseudonymiser(secret, back=True).replace(new)[0] == text
+
+
+def test_number_runs_return():
+    rng = random.Random(7)
+    for key in range(300):
+        sizes = [rng.choice((1, 2, 4, 5, 6)) for _ in range(rng.randrange(4, 40))]  # no form of a phone
+        text = " ".join(str(rng.randrange(10**n)).zfill(n) for n in sizes)
+        new, _ = pii.Pseudonymiser(b"%d" % key).replace(text)
+        assert pii.Pseudonymiser(b"%d" % key, back=True).replace(new)[0] == text
+
+
+@pytest.mark.parametrize("rest", ["T10:00:00Z", "T10:00", "t1000", "Z", "", " 10:00"])
+def test_dates_of_timestamps(rest):
+    new, spans = pii.Pseudonymiser(KEY).replace(f"at 2024-05-06{rest}")
+    assert spans == [("date", 3, 13)] and new.endswith(rest) and "2024-05-06" not in new
+    assert pii.Pseudonymiser(KEY, back=True).replace(new)[0] == f"at 2024-05-06{rest}"
+    assert pii.Pseudonymiser(KEY).replace("not 2024-05-06Tea nor 2024-05-06-1")[1] == []
+
+
 def test_random_dates_return():
     rng, there, back = random.Random(3), pii.Pseudonymiser(KEY), pii.Pseudonymiser(KEY, back=True)
     for _ in range(300):

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hmac
 import re
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from datetime import date, timedelta
@@ -134,13 +135,78 @@ def _only(text: str) -> str:
     return "".join(c for c in text if c in DIGITS)
 
 
-def _card(p: Permuter, m: re.Match) -> str | None:
-    text = _only(m[0])
-    if not 13 <= len(text) <= 19 or not luhn(text):
-        return None
+def _valid_card(shape: str) -> bool:
+    text = _only(shape)
+    return 13 <= len(text) <= 19 and luhn(text)
+
+
+def _card(p: Permuter, shape: str) -> str:
+    text = _only(shape)
     body = text[0] + p.digits("card" + text[0], text[1:-1])
     check = next(c for c in DIGITS if luhn(body + c))
-    return _refill(m[0], body + check)
+    return _refill(shape, body + check)
+
+
+def _card_parts(groups: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """First and last of neighbouring digit groups that have as many digits as a card, in the order they are tried.
+
+    Undivided numbers and the usual 4-4-4-4 and 4-6-5 come first, then the
+    rest from the left, the longer before the shorter.
+    """
+    found = []
+    for first in range(len(groups)):
+        sizes: list[int] = []
+        for last in range(first, min(first + 19, len(groups))):
+            sizes.append(groups[last][1] - groups[last][0])
+            if sum(sizes) > 19:
+                break
+            if sum(sizes) >= 13:
+                usual = len(sizes) == 1 or sizes in ([4, 4, 4, 4], [4, 6, 5])
+                found.append((not usual, first, -last))
+    return [(first, -last) for _, first, last in sorted(found)]
+
+
+def _cards(p: Permuter, text: str, groups: list[tuple[int, int]]) -> list[tuple[int, int, str]]:
+    """Cards among the digit groups of a run, by every group boundary: start, end and what replaces them.
+
+    A part tried in vain must not become valid beside the new number, or the
+    way back would read other parts; in that case the number is permuted again.
+    """
+    parts = _card_parts(groups)
+    if not parts:
+        return []
+    now = [text[a:z] for a, z in zip([g[0] for g in groups], [*(g[0] for g in groups[1:]), groups[-1][1]])]
+    around: dict[int, list[int]] = {}  # tries by group, in order
+    for rank, (first, last) in enumerate(parts):
+        for g in range(first, last + 1):
+            around.setdefault(g, []).append(rank)
+    owner: dict[int, int] = {}
+    taken: list[tuple[int, list[int]]] = []
+
+    def shape(rank: int) -> str:
+        return "".join(now[parts[rank][0] : parts[rank][1] + 1])
+
+    def free(rank: int) -> bool:
+        return not any(owner.get(g, rank) < rank for g in range(parts[rank][0], parts[rank][1] + 1))
+
+    for rank, (first, last) in enumerate(parts):
+        if free(rank) and _valid_card(shape(rank)):
+            own = range(first, last + 1)
+            taken.append((rank, [r for r in {r for g in own for r in around[g]} if r < rank and free(r)]))
+            owner.update(dict.fromkeys(own, rank))
+    for rank, before in reversed(taken) if p.reverse else taken:
+        first, last = parts[rank]
+        while True:
+            new = iter(_card(p, shape(rank)))
+            for g in range(first, last + 1):
+                now[g] = "".join(next(new) for _ in now[g])
+            if not any(_valid_card(shape(r)) for r in before):
+                break
+    out = []
+    for rank, _ in taken:
+        start, end = groups[parts[rank][0]][0], groups[parts[rank][1]][1]
+        out.append((start, end, shape(rank)[: end - start]))
+    return out
 
 
 def _iban(p: Permuter, m: re.Match) -> str | None:
@@ -240,10 +306,11 @@ def _access_key(p: Permuter, m: re.Match) -> str | None:
 
 
 _DIGIT = re.compile(r"\d")
+_GROUP = re.compile(r"\d+", re.A)
 _WORDS = ("password", "passwd", "token", "secret", "api")
 #: Kind, what a text must hold to be searched, form, and how a match is permuted if it validates.
 #: At a place that several forms match, the first in this order wins.
-FORMS: list[tuple[str, Callable[[str], object], re.Pattern, Callable[[Permuter, re.Match], str | None]]] = [
+FORMS: list[tuple[str, Callable[[str], object], re.Pattern, Callable]] = [
     (
         "email",
         lambda t: "@" in t,
@@ -265,7 +332,7 @@ FORMS: list[tuple[str, Callable[[str], object], re.Pattern, Callable[[Permuter,
     (
         "date",
         _DIGIT.search,
-        re.compile(r"(?<![\w-])(?P<y>\d{4})(?P<s>[-/])(?P<m>\d{2})(?P=s)(?P<d>\d{2})(?![\w-])", re.A),
+        re.compile(r"(?<![\w-])(?P<y>\d{4})(?P<s>[-/])(?P<m>\d{2})(?P=s)(?P<d>\d{2})(?=[Tt]\d\d|Z\b|[^\w-]|$)", re.A),
         _iso_date,
     ),
     (
@@ -280,7 +347,7 @@ FORMS: list[tuple[str, Callable[[str], object], re.Pattern, Callable[[Permuter,
         re.compile(r"(?<![\w-])(?P<ssn1>\d{3})-(?P<ssn2>\d{2})-(?P<ssn3>\d{4})(?![\w-])", re.A),
         _ssn,
     ),
-    ("card", _DIGIT.search, re.compile(r"(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-])", re.A), _card),
+    ("card", _DIGIT.search, re.compile(r"(?<![\w-])\d(?:[ -]?\d){12,}(?![\w-])", re.A), _cards),
     (
         "phone",
         lambda t: "+" in t,
@@ -296,6 +363,20 @@ FORMS: list[tuple[str, Callable[[str], object], re.Pattern, Callable[[Permuter,
 ]
 
 
+def _free_groups(text: str, run: re.Match, taken: list[tuple]) -> Iterator[list[tuple[int, int]]]:
+    """Digit groups of a run, parted where something else was found."""
+    inside = sorted((a, z) for a, z, *_ in taken if a < run.end() and run.start() < z)
+    groups: list[tuple[int, int]] = []
+    for match in _GROUP.finditer(text, *run.span()):
+        at = bisect_left(inside, (match.end(),))  # found spans do not overlap
+        if at and inside[at - 1][1] > match.start():
+            yield groups
+            groups = []
+        else:
+            groups.append(match.span())
+    yield groups
+
+
 class Pseudonymiser:
     """Forward pseudonyms under a key, or with ``back`` the way from pseudonyms to what they stand for."""
 
@@ -309,7 +390,10 @@ class Pseudonymiser:
             if not likely(text):
                 continue
             for match in pattern.finditer(text):
-                if not any(a < match.end() and match.start() < z for a, z, _, _ in taken):
+                if permuted is _cards:
+                    for groups in _free_groups(text, match, taken):
+                        taken += [(a, z, kind, new) for a, z, new in _cards(self._permuter, text, groups)]
+                elif not any(a < match.end() and match.start() < z for a, z, _, _ in taken):
                     new = permuted(self._permuter, match)
                     if new is not None:
                         taken.append((match.start(), match.end(), kind, new))
