@@ -64,6 +64,18 @@ def test_removal(frame, items):
     assert kept.columns == frame([]).columns
 
 
+@pytest.mark.parametrize("remove", ["documents", "spans"])
+def test_removal_from_many_items(frame, items, remove):
+    """Above the bound, with NULL keys, repeated keys of unlike texts and repeated texts."""
+    rows = DOCS + ODD + [(10, "clean"), (None, DOCS[0][1]), (11, DOCS[0][1]), (10, DOCS[0][1])]
+    given = frame(rows)
+    small = rows_of(decontaminate(given, items, remove))
+    large = decontaminate(given, items, remove, max_words=1)
+    assert rows_of(large) == small and large.columns == given.columns and large.schema["text"] == given.schema["text"]
+    assert len(small) == (len(ODD) + 2 if remove == "documents" else len(rows))
+    assert rows_of(decontaminate(given, items.limit(0), remove, max_words=-1)) == rows_of(given)
+
+
 @pytest.mark.parametrize("bound", [2_000_000, -1])
 def test_empty(frame, items, bound):
     assert contamination(frame([]), items, max_words=bound).collect() == []

@@ -200,17 +200,64 @@ def joined_hits(docs: DataFrame, benchmark: DataFrame, key: str, item: str, text
         .agg(F.collect_set("item").alias("names"))
     )
     lengths = [r[0] for r in wanted.select("n").distinct().collect()]  # at most ``size`` values
-    have = docs.select(F.col(key).alias("key"), _words(F.col(text)).alias("w")).withColumn(
+    return _met(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), wanted, lengths, size).groupBy("key").agg(
+        _positions().alias("hit"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("names")))).alias("items"),
+    )
+
+
+def _positions() -> Column:
+    return F.array_distinct(F.flatten(F.collect_list(F.sequence(F.col("at"), F.col("at") + F.col("n") - 1))))
+
+
+def _met(docs: DataFrame, wanted: DataFrame, lengths: list[int], size: int) -> DataFrame:
+    """Windows of ``docs`` (key, text) that are wanted: key, ``n``, ``at`` and the columns of ``wanted``."""
+    have = docs.select("key", _words(F.col("text")).alias("w")).withColumn(
         "n", F.explode(F.array(*[F.lit(n) for n in lengths] or [F.lit(size)]))
     )
     have = have.where(F.size("w") >= F.col("n")).select("key", "n", F.explode(_windows("w", "n")).alias("x"))
-    met = have.select("key", "n", "x.at", "x.window").join(wanted, ["n", "window"])
-    return met.groupBy("key").agg(
-        F.array_distinct(
-            F.flatten(F.collect_list(F.sequence(F.col("at"), F.col("at") + F.col("n") - 1)))
-        ).alias("hit"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("names")))).alias("items"),
-    )
+    return have.select("key", "n", "x.at", "x.window").join(wanted, ["n", "window"])
+
+
+def _joined_removal(docs: DataFrame, benchmark: DataFrame, remove: str, text: str, size: int) -> DataFrame:
+    """``decontaminate`` by a join. Hits belong to a text, told by 128 bits of hash, so keys are not asked for."""
+    words = benchmark.select(_words(F.col(text)).alias("w")).where(F.size("w") > 0)
+    words = words.withColumn("n", F.least(F.size("w"), F.lit(size)))
+    wanted = words.select("n", F.explode(_windows("w", "n")).alias("x")).select("n", "x.window").distinct()
+    lengths = [r[0] for r in wanted.select("n").distinct().collect()]  # at most ``size`` values
+    body = F.col(text).cast("string")
+    key = F.struct(F.xxhash64(body).alias("a"), F.xxhash64(F.lit(7), body).alias("b"))
+    met = _met(docs.where(F.col(text).isNotNull()).select(key.alias("key"), body.alias("text")), wanted, lengths, size)
+    if remove == "documents":
+        found = met.select("key.a", "key.b").distinct()
+    else:
+        found = met.select("key", "n", "at").distinct().groupBy("key").agg(_positions().alias("hit"))
+        found = found.select("key.a", "key.b", "hit")
+    own = docs[text].cast("string")
+    same = (F.xxhash64(own) == found["a"]) & (F.xxhash64(F.lit(7), own) == found["b"])
+    if remove == "documents":
+        return docs.join(found, same, "left_anti")
+    new = F.when(found["hit"].isNull(), docs[text]).otherwise(_cut(own, found["hit"]))
+    return docs.join(found, same, "left").select(*[(new if c == text else docs[c]).alias(c) for c in docs.columns])
+
+
+def _cut(text: Column, hit: Column) -> Column:
+    """The text without its words at the positions ``hit``, counted from one; NULL without positions."""
+
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, hits in batches:
+            out = []
+            for value, at in zip(texts, hits):
+                value, at = value.as_py(), at.as_py()
+                if value is not None and at:
+                    where = np.zeros(len(words_of(value)), bool)
+                    where[np.array(at) - 1] = True
+                    value = without(value, spans_of(value, where))
+                out.append(value if at else None)
+            yield pa.array(out, pa.string())
+
+    run.__annotations__ = {"batches": Iterator[tuple[pa.Array, pa.Array]], "return": Iterator[pa.Array]}
+    return F.arrow_udf(run, "string")(text, hit)
 
 
 def _windows(words: str, length: str) -> Column:
@@ -264,13 +311,15 @@ def decontaminate(
 ) -> DataFrame:
     """Documents without contaminated ones, or with the hit spans cut out of their texts.
 
-    Returns the columns of ``docs``. Clean documents are unchanged.
+    Returns the columns of ``docs``. Clean documents are unchanged. Keys are
+    not read, so they may be NULL or repeated. Above ``max_words`` the windows
+    are joined, with the same result.
     """
+    if remove not in ("documents", "spans"):
+        raise ValueError(f"remove is documents or spans, not {remove!r}")
     if not fits_broadcast(benchmark, text, max_words):
-        raise ValueError("too many test words for a scan; join contamination() with the documents by key")
+        return _joined_removal(docs, benchmark, remove, text, size)
     held = Decontaminator(benchmark, item, text, size)
     if remove == "documents":
         return docs.where(held.scan(F.col(text))["n_hit"] == 0)
-    if remove == "spans":
-        return docs.withColumn(text, held.clean(F.col(text)))
-    raise ValueError(f"remove is documents or spans, not {remove!r}")
+    return docs.withColumn(text, held.clean(F.col(text)))
