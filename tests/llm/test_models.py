@@ -77,6 +77,24 @@ def test_toxicity_reads_runs_to_their_end(spark, frame):
     assert len(held) > 20 and (held.predicted == (held.doc_id % 3 == 0)).all()
 
 
+def test_toxicity_with_more_counts_than_are_broadcast(spark, frame):
+    """The scores are those of all counts: rare words, long runs, repeated rows and NULL keys."""
+    rng = np.random.default_rng(6)
+    said = ["".join(chr(97 + c) for c in rng.integers(0, 6, rng.integers(2, 7))) for _ in range(400)]
+
+    def text(k):
+        words = [said[i] for i in rng.integers(0, 400, 20)] + (["vile" + said[k]] if k % 3 == 0 else [])
+        return (" " if k % 5 else "-").join(words)
+
+    rows = [(100 + k, text(k)) for k in range(150)]
+    docs = frame(ODD + rows + rows[:3])
+    labels = spark.createDataFrame([(k, None, int((k - 100) % 3 == 0)) for k, _ in rows], "doc_id bigint, quality int, toxic int")
+    whole = toxicity.toxicity(docs, labels).toPandas().sort_values(["doc_id", "score"])
+    for limit in (40, 0):
+        got = toxicity.toxicity(docs, labels, max_grams=limit).toPandas().sort_values(["doc_id", "score"])
+        assert np.allclose(got.score, whole.score, rtol=0, atol=1e-9) and len(got) == len(whole) == len(ODD) + 153
+
+
 def test_long_runs_are_told_by_windows():
     word = "abcdefghij" * 3
     windows = {word[k - 4 : k + 1] for k in range(4, 30)} | {word[-4:] + toxicity.EDGE}

@@ -12,19 +12,24 @@ log-likelihoods, normalised by length, is a property of the text and of its
 most telling words, and a logistic calibration on rows kept out of the counts
 turns it into a probability.
 
-Counts cover every labelled training text and are summed in Spark. The
-broadcast holds at most ``max_grams`` of them: those with the highest counts,
-by a threshold taken from the histogram of counts.
+Counts cover every labelled training text and are summed in Spark. Up to
+``max_grams`` of them are fitted at the driver and broadcast. More are fitted
+in Spark, with the same result, and only those with the highest counts are
+broadcast, by a threshold taken from the histogram of counts; the letters of
+distinct words that these do not tell are joined with the rest. Likewise the
+most frequent words are broadcast to the texts, and the rest is joined.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.text import id_crc, pieces, splitmix, staged
@@ -112,17 +117,17 @@ def gram_counts(rows: DataFrame) -> DataFrame:
     return found.groupBy("gram").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
 
 
-def most_counted(counts: DataFrame, limit: int) -> DataFrame:
-    """The entries above the least count that leaves at most ``limit``."""
-    level = F.least(F.col("toxic") + F.col("ordinary"), F.lit(1_000_000))
-    histogram = counts.groupBy(level.alias("n")).agg(F.count("*").alias("grams")).orderBy(F.desc("n"))
-    total, least = 0, 1 << 62
-    for n, grams in histogram.collect():
-        total += grams
+def least_count(rows: DataFrame, count: str, limit: int) -> int:
+    """The least value of ``count`` that leaves at most ``limit`` rows."""
+    level = F.least(F.col(count), F.lit(1_000_000))
+    histogram = rows.groupBy(level.alias("n")).agg(F.count("*").alias("rows")).orderBy(F.desc("n"))
+    total, least = 0, 1_000_001
+    for n, held in histogram.collect():
+        total += held
         if total > limit:
             break
         least = n
-    return counts.where(level >= least)
+    return least if least <= 1_000_000 else 1 << 62
 
 
 @dataclass
@@ -198,7 +203,10 @@ def _rows(points: np.ndarray) -> np.ndarray:
 
 
 def _discount(counts: np.ndarray) -> float:
-    once, twice = int((counts == 1).sum()), int((counts == 2).sum())
+    return _cut(int((counts == 1).sum()), int((counts == 2).sum()))
+
+
+def _cut(once: int, twice: int) -> float:
     return min(0.95, max(0.1, once / (once + 2 * twice))) if once and twice else 0.75
 
 
@@ -220,6 +228,226 @@ def _shared(points: np.ndarray) -> np.ndarray:
     return probability
 
 
+def _discounts(rows: DataFrame, columns: list[str]) -> list[float]:
+    seen = rows.agg(*[F.count_if(F.col(c) == k) for c in columns for k in (1, 2)]).first()
+    return [_cut(seen[2 * k], seen[2 * k + 1]) for k in range(len(columns))]
+
+
+def _shared_table(ends: DataFrame) -> DataFrame:
+    """``_shared`` over distinct ends: ``suffix`` of ``ORDER - 1`` letters, ``shared``."""
+    below = None
+    alphabet = ends.select(F.right("end", F.lit(1))).distinct().count() + 1
+    for size in range(1, ORDER):
+        longer = ends.select(F.right("end", F.lit(size + 1)).alias("longer")).distinct()
+        rows = staged(
+            longer.groupBy(F.right("longer", F.lit(size)).alias("suffix")).agg(F.count("*").alias("continued")),
+            "suffixes",
+        )
+        cut = _discounts(rows, ["continued"])[0]
+        rows = rows.withColumn("context", F.left("suffix", F.lit(size - 1)))
+        totals = rows.groupBy("context").agg(F.sum("continued").alias("total"), F.count("*").alias("kinds"))
+        rows = rows.join(totals, "context")
+        if below is None:
+            rows = rows.withColumn("below", F.lit(1 / alphabet))
+        else:
+            lower = below.select(F.col("suffix").alias("lower"), F.col("shared").alias("below"))
+            rows = rows.join(lower, F.right("suffix", F.lit(size - 1)) == F.col("lower"))
+        own = F.greatest(F.col("continued") - F.lit(cut), F.lit(0.0)) / F.col("total")
+        shared = own + F.lit(cut) * F.col("kinds") / F.col("total") * F.col("below")
+        below = staged(rows.select("suffix", shared.alias("shared")), "shared")
+    return below
+
+
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if batch.num_rows:
+            hashes = pa.array(_hashes(batch.column(0).to_pylist()).view(np.int64))
+            yield pa.RecordBatch.from_arrays([hashes, batch.column(1), batch.column(2)], names=["gram", "n", "ratio"])
+
+
+def ratios(counts: DataFrame) -> DataFrame:
+    """``ToxicModel.fit`` in Spark, for counts of any number: ``gram`` (its hash), ``n`` (its count), ``ratio``."""
+    rows = counts.withColumn("end", F.right(F.concat(F.lit(EDGE * (ORDER - 1)), "gram"), F.lit(ORDER)))
+    shared = _shared_table(staged(rows.select("end").distinct(), "ends"))
+    cuts = dict(zip(("toxic", "ordinary"), _discounts(counts, ["toxic", "ordinary"])))
+    rows = rows.withColumn("suffix", F.right("end", F.lit(ORDER - 1))).join(shared, "suffix")
+    rows = rows.withColumn("context", F.left("gram", F.length("gram") - 1))
+    totals = rows.groupBy("context").agg(
+        *[F.sum(c).alias(f"{c}_total") for c in cuts], *[F.count_if(F.col(c) > 0).alias(f"{c}_kinds") for c in cuts]
+    )
+    rows, ratio = rows.join(totals, "context"), F.lit(0.0)
+    for name, sign in (("toxic", 1.0), ("ordinary", -1.0)):
+        total, cut = F.col(f"{name}_total"), F.lit(cuts[name])
+        told = F.greatest(F.col(name) - cut, F.lit(0.0)) / total + cut * F.col(f"{name}_kinds") / total * F.col("shared")
+        ratio = ratio + F.lit(sign) * F.log(F.when(total > 0, told).otherwise(F.col("shared")))
+    found = rows.select("gram", (F.col("toxic") + F.col("ordinary")).alias("n"), ratio.alias("ratio"))
+    return staged(found.mapInArrow(_hashed, "gram bigint, n bigint, ratio double"), "ratios")
+
+
+def _word_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for piece in pieces(batch.column(0)):
+            found = Counter(w for text in piece for w in (text or "").lower().split())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], names=["word", "n"]
+            )
+
+
+PARTS = "word bigint, n bigint, long boolean, at int, kind int, gram bigint, ratio double"
+_PLACE = 2  # kind of a row that stands for a letter of a long run, after beginnings (0) and windows (1)
+
+
+def _part_batches(shared):
+    """Per word what the broadcast tells of it, and a row for each letter that it does not.
+
+    A word's known letters are one sum. A long run gives each letter's
+    beginning and window, told or not, and a place for the letter itself.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for batch in batches:
+            counts = batch.column(1).to_numpy()
+            done = 0
+            for words in pieces(batch.column(0)):
+                hashes, windows, first, last, _ = _read(words)
+                at, starts = last - first, np.unique(first)
+                sizes = np.diff(np.append(starts, len(first)))
+                of = np.repeat(np.arange(len(words)), sizes)
+                long = sizes[of] > LETTERS
+                near, far = np.flatnonzero(at < LETTERS), np.flatnonzero(long & (at >= ORDER - 1))
+                place = np.flatnonzero(long)
+                ratio = np.full(len(first), np.nan)
+                ratio[near] = model.find(hashes[near])
+                known = np.add.reduceat(np.nan_to_num(ratio), starts)
+                head = np.flatnonzero(sizes <= LETTERS)
+                open_ = near[long[near] | np.isnan(ratio[near])]
+                rows = [  # letter, kind, gram, ratio
+                    (starts[head], -1, None, known[head]),
+                    (place, _PLACE, None, np.full(len(place), NEUTRAL)),
+                    (open_, 0, hashes[open_], ratio[open_]),
+                    (far, 1, windows[far], model.find(windows[far])),
+                ]
+                names = hashes[np.append(starts[1:], len(first)) - 1].view(np.int64)
+                for where, kind, gram, told in rows:
+                    grams = np.zeros(len(where), np.int64) if gram is None else gram.view(np.int64)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(names[of[where]]),
+                            pa.array(counts[done + of[where]]),
+                            pa.array(long[where]),
+                            pa.array(at[where].astype(np.int32)),
+                            pa.array(np.full(len(where), kind, np.int32)),
+                            pa.array(grams, mask=~np.isnan(told)),
+                            pa.array(told, mask=np.isnan(told)),
+                        ],
+                        names=[c.split()[0] for c in PARTS.split(", ")],
+                    )
+                done += len(words)
+
+    return run
+
+
+def word_ratios(texts: DataFrame, found: DataFrame, limit: int) -> DataFrame:
+    """Per distinct word of ``texts``: its hash, ``n``, ``total`` and ``top``, as ``ToxicModel.told`` has them."""
+    least = least_count(found, "n", limit)
+    common = found.where(F.col("n") >= least).select("gram", "ratio").toArrow().sort_by("gram")
+    model = ToxicModel(*_sorted(common))
+    shared = texts.sparkSession.sparkContext.broadcast(model)
+    words = texts.mapInArrow(_word_batches, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    parts = staged(words.mapInArrow(_part_batches(shared), PARTS), "parts")
+    rest = found.where(F.col("n") < least).select("gram", F.col("ratio").alias("rare"))
+    joined = parts.where(F.col("gram").isNotNull()).drop("ratio").join(rest, "gram")
+    joined = joined.select("word", "n", "long", "at", "kind", F.col("rare").alias("ratio"))
+    told = parts.where(F.col("gram").isNull()).drop("gram").unionByName(joined)
+    short = told.where(~F.col("long")).groupBy("word").agg(F.max("n").alias("n"), F.sum("ratio").alias("total"))
+    letters = told.where("long").groupBy("word", "at").agg(F.max("n").alias("n"), F.min_by("ratio", "kind").alias("ratio"))
+    stretch = Window.partitionBy("word").orderBy("at").rowsBetween(1 - LETTERS, 0)
+    long = letters.withColumn("stretch", F.sum("ratio").over(stretch)).groupBy("word").agg(
+        F.max("n").alias("n"), F.sum("ratio").alias("total"), F.max("stretch").alias("top")
+    )
+    return staged(short.withColumn("top", F.col("total")).unionByName(long), "words")
+
+
+def _sorted(table: pa.Table) -> tuple[np.ndarray, ...]:
+    """Columns by the first one as unsigned hash."""
+    columns = [c.to_numpy() for c in table.columns]
+    order = np.argsort(columns[0].view(np.uint64))
+    return (columns[0].view(np.uint64)[order], *(c[order] for c in columns[1:]))
+
+
+TOLD = "id {id}, row bigint, words bigint, letters bigint, total double, most double, second double, rare array<struct<word:bigint,n:bigint>>"
+_RARE = pa.list_(pa.struct([("word", pa.int64()), ("n", pa.int64())]))
+
+
+def _text_batches(shared):
+    """Per text what the broadcast words tell of it, and its other words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, totals, tops = shared.value
+        row = TaskContext.get().partitionId() << 40
+        for batch in batches:
+            done = 0
+            for piece in pieces(batch.column(1)):
+                split = [Counter((t or "").lower().split()) for t in piece]
+                distinct = list({w for found in split for w in found})
+                at = {w: k for k, w in enumerate(distinct)}
+                own = np.zeros(0, np.uint64)
+                if distinct:
+                    every, _, first, _, _ = _read(distinct)
+                    own = every[np.append(np.unique(first)[1:], len(first)) - 1]
+                where = np.minimum(np.searchsorted(hashes, own), max(0, len(hashes) - 1))
+                known = hashes[where] == own if len(hashes) else np.zeros(len(own), bool)
+                rows = []
+                for found in split:
+                    ids = np.fromiter((at[w] for w in found), np.int64, len(found))
+                    n = np.fromiter(found.values(), np.int64, len(found))
+                    held = known[ids]
+                    told = where[ids[held]]
+                    best = np.sort(np.maximum(tops[told], 0.0))[-2:].tolist()[::-1] + [0.0, 0.0]
+                    rare = zip(own[ids[~held]].view(np.int64).tolist(), n[~held].tolist())
+                    rows.append((
+                        row, int(n.sum()), sum(len(w) * k for w, k in found.items()) + int(n.sum()),
+                        float((totals[told] * n[held]).sum()), best[0], best[1],
+                        [{"word": w, "n": k} for w, k in rare],
+                    ))
+                    row += 1
+                types = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), _RARE)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0)[done : done + len(piece)], *(pa.array(c, t) for c, t in zip(zip(*rows), types))],
+                    names=["id", "row", "words", "letters", "total", "most", "second", "rare"],
+                )
+                done += len(piece)
+
+    return run
+
+
+def joined_measures(body: DataFrame, counts: DataFrame, limit: int) -> DataFrame:
+    """``id`` and the ``measures`` of every row of ``body`` (id, text), for counts of any number."""
+    body = body.select("id", F.col("text").cast("string").alias("text"))
+    words = word_ratios(body.select("text"), ratios(counts), limit)
+    least = least_count(words, "n", limit)
+    common = words.where(F.col("n") >= least).select("word", "total", "top").toArrow()
+    shared = body.sparkSession.sparkContext.broadcast(_sorted(common))
+    told = body.mapInArrow(_text_batches(shared), TOLD.format(id=body.schema["id"].dataType.simpleString()))
+    told = staged(told, "told")
+    rest = words.where(F.col("n") < least).select("word", F.col("total").alias("one"), "top")
+    rare = told.select("row", F.explode("rare").alias("x")).select("row", "x.word", "x.n").join(rest, "word")
+    rare = rare.groupBy("row").agg(
+        F.sum(F.col("n") * F.col("one")).alias("more"),
+        F.slice(F.sort_array(F.collect_list(F.when(F.col("top") > 0, F.col("top"))), False), 1, 2).alias("tops"),
+    )
+    best = F.sort_array(F.concat(F.array("most", "second"), F.coalesce("tops", F.array().cast("array<double>"))), False)
+    total = F.col("total") + F.coalesce("more", F.lit(0.0))
+    return told.drop("rare").join(rare, "row", "left").select(
+        "id",
+        "words",
+        F.when(F.col("letters") > 0, total / F.col("letters")).otherwise(0.0).alias("average"),
+        best[0].alias("most"),
+        best[1].alias("second"),
+    )
+
+
 MEASURES = "struct<words:bigint,average:double,most:double,second:double>"
 _MEASURES = pa.struct(
     [("words", pa.int64()), ("average", pa.float64()), ("most", pa.float64()), ("second", pa.float64())]
@@ -311,15 +539,17 @@ def toxicity(
     if counted.count() <= BROADCAST_LABELS:  # else the texts are shuffled by key
         counted = F.broadcast(counted)
     counts = staged(gram_counts(body.join(counted, "id").select("text", "toxic")), "grams")
-    table = most_counted(counts, max_grams).toArrow().sort_by("gram")
-    grams = table["gram"].to_pylist()
-    toxic, ordinary = (table[n].to_numpy() for n in ("toxic", "ordinary"))
-    shared = spark.sparkContext.broadcast(ToxicModel.fit(grams, toxic, ordinary))
-
-    told = body.select("id", measures(F.col("text"), shared).alias("m")) if grams else None
-    if told is None:
-        told = body.select("id", F.struct(*[F.lit(0.0).alias(f) for f in FEATURES]).alias("m"))
-    told = staged(told.select("id", "m.*"), "measures")
+    if counts.count() > max_grams:
+        told = staged(joined_measures(body, counts, max_grams), "measures")
+    else:
+        table = counts.toArrow().sort_by("gram")
+        grams = table["gram"].to_pylist()
+        toxic, ordinary = (table[n].to_numpy() for n in ("toxic", "ordinary"))
+        shared = spark.sparkContext.broadcast(ToxicModel.fit(grams, toxic, ordinary))
+        told = body.select("id", measures(F.col("text"), shared).alias("m")) if grams else None
+        if told is None:
+            told = body.select("id", F.struct(*[F.lit(0.0).alias(f) for f in FEATURES]).alias("m"))
+        told = staged(told.select("id", "m.*"), "measures")
     checked = told.join(known.where(apart), "id").select("id", *FEATURES, "toxic")
     share = calibration_rows / max(1, known.where(apart).count())
     chosen = F.pmod(F.xxhash64(F.lit("calibration"), F.col("id")), F.lit(1_000_000)) < int(share * 1_000_000)
