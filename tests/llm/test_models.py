@@ -128,6 +128,16 @@ def test_language_of_odd_texts(frame, spark):
     assert language.identify(frame([])).collect() == []
 
 
+def test_language_sample_of_a_hot_language(spark):
+    """However many rows a language has, the share does not round to nothing."""
+    for rows in (10, 5_000, 10**9 + 1, 10**12):
+        below = language.drawn_below(1000, rows)
+        assert math.isclose(below / language.DRAWS, min(1.0, 1000 / rows), rel_tol=1e-6)
+    known = spark.range(40_000).selectExpr("id", "'a b' text", "if(id < 39000, 'x', 'y') lang")
+    model = language.train(known, sample=200)
+    assert model.labels == ["x", "y"]
+
+
 def test_ftrl_is_sparse_and_calibrated():
     rng = np.random.default_rng(1)
     rows, labels = [], []

@@ -26,6 +26,7 @@ from tidemark.llm.text import id_crc, pieces, splitmix
 ORDERS = 3
 BUCKETS = 1 << 15
 SAMPLE = 1_000
+DRAWS = 1 << 62
 MAX_LANGUAGES = 1_000
 UNKNOWN = "und"
 SCALE = 100.0
@@ -199,6 +200,11 @@ def _trainer(labels: list[str], idf: np.ndarray):
     return run
 
 
+def drawn_below(sample: int, rows: int) -> int:
+    """The draws, of ``DRAWS``, that take about ``sample`` of ``rows``; never none for a sample of any rows."""
+    return min(DRAWS, DRAWS * sample // rows)
+
+
 def train(known: DataFrame, sample: int = SAMPLE) -> LanguageModel:
     """A model from rows (id, text, lang) without NULLs."""
     counts = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy("lang").limit(MAX_LANGUAGES + 1).collect()
@@ -209,8 +215,8 @@ def train(known: DataFrame, sample: int = SAMPLE) -> LanguageModel:
         return LanguageModel([], np.zeros((BUCKETS, 0)), np.zeros(0), 1.0)
     found = dict(document_frequencies(known.select("text")).collect())
     idf = np.log((1 + found.get(-1, 0)) / (1 + np.array([found.get(b, 0) for b in range(BUCKETS)]))) + 1
-    share = F.create_map(*[F.lit(x) for name, n in counts for x in (name, int(min(1.0, sample / n) * 1_000_000))])
-    draw = F.pmod(F.xxhash64(F.lit("language"), F.col("id")), F.lit(1_000_000))
+    share = F.create_map(*[F.lit(x) for name, n in counts for x in (name, drawn_below(sample, n))])
+    draw = F.pmod(F.xxhash64(F.lit("language"), F.col("id")), F.lit(DRAWS))
     rows = known.where(draw < share[F.col("lang")]).select("text", "lang", F.xxhash64("id", "text").alias("h"))
     one = rows.repartition(1).sortWithinPartitions("h", "lang").select("text", "lang")
     fitted = dict(one.mapInArrow(_trainer(labels, idf), "bucket bigint, w array<double>").collect())
