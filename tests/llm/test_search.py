@@ -1,0 +1,115 @@
+from __future__ import annotations
+
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from cases import ODD
+from helpers import SMALL, rows_of
+
+from tidemark.llm import search as module
+from tidemark.llm import statements
+from tidemark.llm.queries import op12_search
+from tidemark.llm.search import search
+
+ITEMS = "item_id bigint, text string"
+
+
+def terms(text):
+    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", lowered)
+
+
+def plain(docs, items, k=10):
+    counts = [(key, Counter(terms(text))) for key, text in docs]
+    n_docs = sum(1 for _, c in counts if c)
+    total = sum(c.total() for _, c in counts)
+    held = Counter(t for _, c in counts for t in c)
+    weight = {t: math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df + 1))) for t, df in held.items()}
+    out = []
+    for item, text in items:
+        scores = []
+        for key, c in counts:
+            share = 100 - 75 + (75 * c.total() * n_docs) // max(total, 1)
+            score = sum(weight[t] * ((1000000000 * c[t]) // (1000 * c[t] + 8 * share)) for t in terms(text) if c[t])
+            if score > 0:
+                scores.append((-score, key is None, key or 0, key))
+        for rank, (score, _, _, key) in enumerate(sorted(scores, key=lambda s: s[:3])[:k], 1):
+            out.append((item, rank, key, -score))
+    return sorted(out, key=repr)
+
+
+def made(seed, n, words=40, length=30):
+    random.seed(seed)
+    vocabulary = [f"w{i}" for i in range(words)]
+    rarity = [1 / (i + 1) for i in range(words)]
+    return [(i, " ".join(random.choices(vocabulary, rarity, k=random.randint(0, length)))) for i in range(n)]
+
+
+@pytest.mark.parametrize("shard", [1, 50, 1 << 20])
+def test_equals_plain_scores(spark, frame, monkeypatch, shard):
+    """Shards of any size, many equal scores and copies."""
+    docs = made(1, 400) + [(1000 + i, "w1 w2 w3") for i in range(40)] + [(7, "W1 w39"), (7, "w1 w39")]
+    items = made(2, 12, length=12) + [(3, "w1 w1 w1 w30"), (3, "w1 w1 w1 w30"), (None, "w2"), (5, None), (6, "unheard")]
+    monkeypatch.setattr(module, "SHARD_POSTINGS", shard)
+    monkeypatch.setattr(module, "FIRST_READ", 2)
+    got = search(frame(docs), spark.createDataFrame(items, ITEMS))
+    assert rows_of(got) == plain(docs, items)
+
+
+def test_blocks_of_queries_give_the_same(spark, frame):
+    docs, items = made(3, 100), made(4, 30, length=8)
+    asked = spark.createDataFrame(items, ITEMS)
+    assert rows_of(search(frame(docs), asked, block_bytes=60)) == plain(docs, items)
+    assert rows_of(search(frame(docs), asked, k=3)) == plain(docs, items, 3)
+
+
+def test_odd_texts_and_other_columns(spark, frame):
+    items = ODD + [(40, "x key a word ünï"), (41, "CØDÉ cødé 漢字")]
+    docs = frame(ODD).withColumnRenamed("source", "score").withColumnRenamed("lang", "rank")
+    asked = spark.createDataFrame([(*i, 1, 2) for i in items], ITEMS + ", query long, doc long")
+    assert rows_of(search(docs, asked)) == plain(ODD, items)
+
+
+def test_empty(spark, frame):
+    none = spark.createDataFrame([], ITEMS)
+    assert search(frame([]), none).collect() == search(frame(made(1, 3)), none).collect() == []
+    assert search(frame([]), spark.createDataFrame([(1, "w1")], ITEMS)).collect() == []
+    assert search(frame([(1, None), (2, "")]), spark.createDataFrame([(1, "w1")], ITEMS)).collect() == []
+
+
+def test_reading_stops_early():
+    """A list is not read to its end once the members and their scores are certain."""
+    size = 100_000
+    read = []
+
+    class Watched(np.ndarray):
+        def __getitem__(self, at):
+            if isinstance(at, slice):
+                read.append(at.stop - at.start)
+            return super().__getitem__(at)
+
+    docs = np.arange(size)
+    shard = module.Shard(size, np.zeros(size, dtype=np.int64), docs, np.arange(size, 0, -1))
+    shard.docs = shard.docs.view(Watched)
+    at, scores = shard.best([(0, 2)], 10, 0)
+    assert sorted(zip(scores.tolist(), at.tolist()), reverse=True)[:10] == [(2 * (size - i), i) for i in range(10)]
+    assert sum(read) == module.FIRST_READ
+
+
+def test_table_equals_plain_and_statement(spark):
+    duckdb = pytest.importorskip("duckdb")
+    got = rows_of(op12_search(spark, SMALL).select("item_id", "rank", "doc_id", "score"))
+    connection = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SMALL}/{name}.parquet'")
+    told = connection.execute(f"SELECT item_id, rank, doc_id, score FROM ({statements.OP12})").fetchall()
+    assert got == sorted(told, key=repr)
+    docs, items = (
+        [tuple(r) for r in spark.read.parquet(f"{SMALL}/{n}.parquet").select(k, "text").collect()]
+        for n, k in (("documents", "doc_id"), ("benchmark", "item_id"))
+    )
+    assert got == plain(docs, items)

@@ -11,17 +11,21 @@ from pyspark.sql import functions as F
 from tidemark.llm.chat import examples, read_back
 from tidemark.llm.decontamination import contamination
 from tidemark.llm.language import identify
+from tidemark.llm.merkle import manifest
+from tidemark.llm.packing import pack_documents
 from tidemark.llm.pii import pseudonymise
 from tidemark.llm.quality import quality
+from tidemark.llm.search import search
 from tidemark.llm.sentencepieces import encode_documents
 from tidemark.llm.simhash import near_duplicates
-from tidemark.llm.statements import OP2, OP5, OP7
+from tidemark.llm.statements import OP2, OP5, OP7, OP11, OP12
 from tidemark.llm.substrings import remove_repeats
-from tidemark.llm.text import table
+from tidemark.llm.text import ascii_lower, id_crc, table
 from tidemark.llm.toxicity import toxicity
 from tidemark.llm.urls import filter_urls
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+WORD_MODEL = public_tokenizers.path("word_bpe_49k.json")
 
 #: Verdict, host and path of the given URL rules.
 URL_RULES = [
@@ -98,6 +102,26 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality(table(spark, folder, "documents"))
 
 
+def op11_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    lowered = F.when(id_crc("doc_id", 5) == 0, ascii_lower(F.col("text"))).otherwise(F.col("text"))
+    rows = manifest(
+        table(spark, folder, "documents"),
+        ["doc_id", "source", "lang", "n_chars", "text"],
+        presented={"text": lowered},
+        with_path=False,
+    )
+    return rows.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def op12_search(spark: SparkSession, folder: str) -> DataFrame:
+    return search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op13_packing(spark: SparkSession, folder: str) -> DataFrame:
+    rows = pack_documents(table(spark, folder, "documents"), WORD_MODEL, with_ids=False)
+    return rows.drop("loss_tokens")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_decontamination": op2_decontamination,
@@ -109,5 +133,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_pii": op9_pii,
     "op10_quality": op10_quality,
+    "op11_merkle": op11_merkle,
+    "op12_search": op12_search,
+    "op13_packing": op13_packing,
+}
+STATEMENTS: dict[str, str] = {
+    "op2_decontamination": OP2,
+    "op5_chat": OP5,
+    "op7_substrings": OP7,
+    "op11_merkle": OP11,
+    "op12_search": OP12,
 }
-STATEMENTS: dict[str, str] = {"op2_decontamination": OP2, "op5_chat": OP5, "op7_substrings": OP7}

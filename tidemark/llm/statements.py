@@ -76,3 +76,112 @@ SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n
        sha256(coalesce(kept.text, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)
 """
+
+
+def _encoded(*columns: str) -> str:
+    parts = [f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')" for c in columns]
+    return "sha256(" + " || ".join(parts) + ")"
+
+
+# The first CTEs make the table of CRC-32 and apply it to the decimal digits of an id.
+OP11 = f"""
+WITH RECURSIVE bits AS (
+  SELECT i AS entry, i::BIGINT AS c, 0 AS step FROM range(256) t(i)
+  UNION ALL
+  SELECT entry, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, step + 1 FROM bits WHERE step < 8
+),
+crc_table AS (SELECT list(c ORDER BY entry) AS t FROM bits WHERE step = 8),
+shown AS (
+  SELECT d.*,
+         coalesce(xor(list_reduce(
+           list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+           lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 5 = 0, false) AS tampered
+  FROM documents d, crc_table
+),
+leaves AS (
+  SELECT doc_id, source, {_encoded("doc_id", "source", "lang", "n_chars", "text")} AS leaf,
+         CASE WHEN tampered THEN {_encoded("doc_id", "source", "lang", "n_chars", "low")}
+              ELSE {_encoded("doc_id", "source", "lang", "n_chars", "text")} END AS copy
+  FROM (SELECT *, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM shown)
+),
+placed AS (
+  SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS grp,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos
+  FROM leaves
+),
+nodes AS (
+  SELECT 0 AS level, grp, pos, leaf AS hash, count(*) OVER (PARTITION BY grp) AS width FROM placed
+  UNION ALL
+  SELECT level + 1, grp, pos // 16, sha256(string_agg(hash, '' ORDER BY pos)), (max(width) + 15) // 16
+  FROM nodes WHERE width > 1 GROUP BY level, grp, pos // 16
+),
+tops AS (
+  SELECT 0 AS level, grp AS pos, hash, count(*) OVER () AS width FROM nodes WHERE width = 1
+  UNION ALL
+  SELECT level + 1, pos // 16, sha256(string_agg(hash, '' ORDER BY pos)), (max(width) + 15) // 16
+  FROM tops WHERE width > 1 GROUP BY level, pos // 16
+),
+lower_steps AS (
+  SELECT a.level, a.grp, a.pos, coalesce(string_agg(b.hash, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS l,
+         coalesce(string_agg(b.hash, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS r
+  FROM nodes a JOIN nodes b ON a.level = b.level AND a.grp = b.grp AND a.pos // 16 = b.pos // 16
+  WHERE a.width > 1 GROUP BY a.level, a.grp, a.pos
+),
+upper_steps AS (
+  SELECT a.level, a.pos, coalesce(string_agg(b.hash, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS l,
+         coalesce(string_agg(b.hash, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS r
+  FROM tops a JOIN tops b ON a.level = b.level AND a.pos // 16 = b.pos // 16
+  WHERE a.width > 1 GROUP BY a.level, a.pos
+),
+climb AS (
+  SELECT grp, pos AS leaf_pos, 0 AS level, pos, false AS above, copy AS node, '' AS proof FROM placed
+  UNION ALL
+  SELECT c.grp, c.leaf_pos,
+         CASE WHEN s.l IS NULL AND u.l IS NULL THEN 0 ELSE c.level + 1 END,
+         CASE WHEN c.above THEN c.pos // 16 WHEN s.l IS NULL THEN c.grp ELSE c.pos // 16 END,
+         c.above OR s.l IS NULL,
+         CASE WHEN s.l IS NOT NULL THEN sha256(s.l || c.node || s.r)
+              WHEN u.l IS NOT NULL THEN sha256(u.l || c.node || u.r) ELSE c.node END,
+         c.proof || coalesce(s.l || s.r, u.l || u.r, '')
+  FROM climb c
+  LEFT JOIN lower_steps s ON NOT c.above AND s.grp = c.grp AND s.level = c.level AND s.pos = c.pos
+  LEFT JOIN upper_steps u ON c.above AND u.level = c.level AND u.pos = c.pos
+  WHERE NOT c.above OR u.l IS NOT NULL
+),
+ends AS (
+  SELECT c.* FROM climb c WHERE c.above AND NOT EXISTS (SELECT 1 FROM upper_steps u WHERE u.level = c.level AND u.pos = c.pos)
+)
+SELECT p.doc_id, p.leaf, n.hash AS subroot, t.hash AS root, sha256(e.proof) AS proof_sha256,
+       e.node AS folded_root, e.node = t.hash AS verified
+FROM placed p
+JOIN ends e ON e.grp = p.grp AND e.leaf_pos = p.pos
+JOIN (SELECT grp, hash FROM nodes WHERE width = 1) n ON n.grp = p.grp
+CROSS JOIN (SELECT hash FROM tops WHERE width = 1) t
+"""
+
+_TERMS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    "'[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+)
+
+OP12 = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS w FROM documents),
+q AS (SELECT row_number() OVER () AS q, item_id, {_TERMS} AS w FROM benchmark),
+asked AS (SELECT q, term, count(*) AS times FROM (SELECT q, unnest(w) AS term FROM q) GROUP BY q, term),
+totals AS (SELECT count(*) FILTER (len(w) > 0) AS n_docs, sum(len(w))::BIGINT AS n_terms FROM d),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM d) SEMI JOIN asked USING (term) GROUP BY r, term),
+weight AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM tf, totals GROUP BY term, n_docs
+),
+impact AS (
+  SELECT d.r, d.doc_id, term, weight.w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * len(d.w) * n_docs) // n_terms))) AS i
+  FROM tf JOIN d USING (r) JOIN weight USING (term), totals
+),
+scores AS (SELECT q, r, doc_id, sum(times * i)::BIGINT AS score FROM asked JOIN impact USING (term) GROUP BY q, r, doc_id)
+SELECT item_id, rank, doc_id, score
+FROM (
+  SELECT q, doc_id, score, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank
+  FROM scores WHERE score > 0
+) JOIN q USING (q) WHERE rank <= 10
+"""
