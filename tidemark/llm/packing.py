@@ -40,6 +40,8 @@ WINDOW = 1024
 END_ID = 2
 #: Words whose ids a worker remembers; then it starts anew.
 REMEMBERED = 600_000
+#: Characters that are encoded together; common words are looked up once for each piece.
+PIECE = 4 << 20
 _MARKS = frozenset(".,;:!?")
 _SHIFT = 33
 
@@ -127,7 +129,8 @@ class WordIds:
         order = np.insert(order, bounds[1:], len(self.starts))  # the end id, after each text
         lengths = sizes[order]
         ends = np.cumsum(lengths)
-        flat = ids[np.arange(ends[-1]) + np.repeat(starts[order] - ends + lengths, lengths)]
+        small = np.int32 if max(ends[-1], len(ids)) < 1 << 31 else np.int64
+        flat = ids[np.arange(ends[-1], dtype=small) + np.repeat((starts[order] - ends + lengths).astype(small), lengths)]
         return np.split(flat, ends[bounds[1:] + np.arange(len(texts))][:-1])
 
 
@@ -350,7 +353,7 @@ def pack_documents(
         coder = _word_ids(tokenizer)
         for batch in batches:
             keys = iter(batch.column(0).to_pylist())
-            for texts in pieces(batch.column(1)):
+            for texts in pieces(batch.column(1), PIECE):
                 for ids in coder.encode(texts, end):
                     yield Example([next(keys)], ids, 0, len(ids), 0)
 
