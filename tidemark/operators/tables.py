@@ -11,9 +11,10 @@ one writer per table is assumed.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,6 +64,29 @@ def latest_snapshot(df: DataFrame, keys: Sequence[str], ts: str, features: Seque
     )
 
 
+def properties(spark: SparkSession, name: str) -> dict[str, str]:
+    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+
+
+def set_properties(spark: SparkSession, name: str, values: dict[str, str]) -> None:
+    listed = ", ".join(f"'{k}'='{v}'" for k, v in values.items())
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({listed})")
+
+
+def replace_partitions(rows: DataFrame, name: str, *partitions: str) -> None:
+    """Write the partitions that ``rows`` have, and leave the others of the table.
+
+    Rebalancing gives each partition value files of even size: small days are
+    joined up and a hot day is split over tasks by adaptive execution. The mode
+    is a session setting, as an option of the write would not let a table feed
+    its own update.
+    """
+    spark = rows.sparkSession
+    shaped = rows.select(*spark.table(name).columns).hint("rebalance", *partitions)
+    with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        shaped.write.mode("overwrite").insertInto(name)
+
+
 @contextmanager
 def _setting(spark: SparkSession, option: str, value: str) -> Iterator[None]:
     before = spark.conf.get(option)
@@ -111,8 +135,7 @@ class FeatureTable:
     @staticmethod
     def load(spark: SparkSession, name: str) -> FeatureTable:
         """The spec of a table made by ``create`` or ``promote``."""
-        rows = spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
-        props = {r["key"]: r["value"] for r in rows}
+        props = properties(spark, name)
         if KEYS_PROPERTY not in props:
             raise ValueError(f"{name} is not a feature table")
         fields = [f for f in spark.table(name).schema.fields if f.name not in (DAY, BUCKET)]
@@ -224,7 +247,10 @@ class FeatureTable:
 
     def read(self, spark: SparkSession, start: Bound = None, end: Bound = None) -> DataFrame:
         """Rows with ``start <= ts < end``; the bounds also prune day folders."""
-        df = spark.table(self.name)
+        return self.between(spark.table(self.name), start, end).select(*self.schema.names)
+
+    def between(self, df: DataFrame, start: Bound = None, end: Bound = None) -> DataFrame:
+        """Stored rows of a range of times; needs the day column."""
         if self.ts and (start or end):
             ts_type = self.schema[self.ts].dataType
             if start:
@@ -232,7 +258,7 @@ class FeatureTable:
             if end:
                 df = df.filter(F.col(DAY) <= utc_day(time_literal(end, ts_type), ts_type))
             df = ts_range(df, self.ts, start, end)
-        return df.select(*self.schema.names)
+        return df
 
     # -- writing ------------------------------------------------------------
 
@@ -255,6 +281,18 @@ class FeatureTable:
             raise ValueError("mode must be merge or overwrite")
         return None
 
+    def stage(self, df: DataFrame) -> str:
+        """Rows in table order, written to a table of their own beside this one; its name."""
+        database = self.name.rsplit(".", 1)[0] + "." if "." in self.name else ""
+        name = f"{database}stage_{uuid.uuid4().hex}"
+        self._shape(df).write.format("parquet").saveAsTable(name)
+        return name
+
+    def key_rows(self, keys: DataFrame) -> DataFrame:
+        """Distinct keys with the partition that each lies in."""
+        typed = keys.select(*[F.col(k).cast(self.schema[k].dataType).alias(k) for k in self.key_columns])
+        return typed.withColumn(self.partition, self._partition_value()).distinct()
+
     @contextmanager
     def _staged(self, df: DataFrame, validate: bool) -> Iterator[tuple[DataFrame, list]]:
         """The incoming rows, written once beside the table, and their partition values.
@@ -263,9 +301,7 @@ class FeatureTable:
         this copy, so an expensive feature plan is not run once for each.
         """
         spark = df.sparkSession
-        database = self.name.rsplit(".", 1)[0] + "." if "." in self.name else ""
-        stage = f"{database}stage_{uuid.uuid4().hex}"
-        self._shape(df).write.format("parquet").saveAsTable(stage)
+        stage = self.stage(df)
         try:
             rows = spark.table(stage)
             yield rows, self._touched(rows, validate)
@@ -290,12 +326,20 @@ class FeatureTable:
         return [r[self.partition] for r in found]
 
     def _replace_partitions(self, rows: DataFrame) -> None:
-        spark = rows.sparkSession
-        # Rebalancing gives each partition value files of even size: small days
-        # are joined up and a hot day is split over tasks by adaptive execution.
-        shaped = rows.select(*self.schema.names, self.partition).hint("rebalance", self.partition)
-        with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
-            shaped.write.mode("overwrite").insertInto(self.name)
+        replace_partitions(rows.select(*self.schema.names, self.partition), self.name, self.partition)
+
+    @contextmanager
+    def _carried(self, spark: SparkSession, touched: Sequence) -> Iterator[None]:
+        """Keeps the carry folders of a table that has them, see ``operators/carry.py``."""
+        from tidemark.operators import carry
+
+        days = [d for d in touched if d is not None]
+        if not self.ts or not days or not carry.is_kept(spark, self):
+            yield
+            return
+        carry.lower(spark, self, min(days))
+        yield
+        carry.refresh_from(spark, self, min(days))
 
     def merge(self, df: DataFrame, newest_by: str | None = None, validate: bool = True) -> None:
         """Insert new keys and replace existing ones as whole rows, NULLs included.
@@ -307,41 +351,44 @@ class FeatureTable:
             if not touched:
                 return
             stored = df.sparkSession.table(self.name).filter(F.col(self.partition).isin(touched))
-            self._replace_partitions(
-                merge_rows(stored, incoming, self.key_columns, newest_by, self.partition)
-            )
+            with self._carried(df.sparkSession, touched):
+                self._replace_partitions(
+                    merge_rows(stored, incoming, self.key_columns, newest_by, self.partition)
+                )
         if not self.ts:
             self.analyze(df.sparkSession)
 
     def overwrite(self, df: DataFrame, validate: bool = True) -> None:
         """Replace the table. New partitions are committed before stale ones go."""
+        spark = df.sparkSession
         with self._staged(df, validate) as (incoming, values):
             touched = {str(v) for v in values}
-            if touched:
-                self._replace_partitions(incoming)
-            spark = df.sparkSession
             listed = [r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {self.name}").collect()]
-            stale = [v for v in listed if v not in touched]
-            if stale:
-                specs = ", ".join(f"PARTITION ({self.partition}='{v}')" for v in stale)
-                spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS {specs}")
+            changed = [date.fromisoformat(v) for v in touched.union(listed)] if self.ts else []
+            with self._carried(spark, changed):
+                if touched:
+                    self._replace_partitions(incoming)
+                stale = [v for v in listed if v not in touched]
+                if stale:
+                    specs = ", ".join(f"PARTITION ({self.partition}='{v}')" for v in stale)
+                    spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS {specs}")
             self.analyze(spark)
 
     def delete(self, keys: DataFrame) -> None:
         """Remove the rows whose key is in ``keys``; only the partitions they lie in are rewritten."""
         spark = keys.sparkSession
-        gone = keys.select(*[F.col(k).cast(self.schema[k].dataType).alias(k) for k in self.key_columns])
-        gone = gone.withColumn(self.partition, self._partition_value()).distinct()
+        gone = self.key_rows(keys)
         touched = [r[0] for r in gone.select(self.partition).distinct().collect()]
         if not touched:
             return
         stored = spark.table(self.name).filter(F.col(self.partition).isin(touched))
         left = stored.join(gone, [*self.key_columns, self.partition], "left_anti")
         kept = {r[0] for r in left.select(self.partition).distinct().collect()}
-        self._replace_partitions(left)
-        specs = ", ".join(f"PARTITION ({self.partition}='{v}')" for v in touched if v not in kept)
-        if specs:  # nothing is left to be written there
-            spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS {specs}")
+        with self._carried(spark, touched):
+            self._replace_partitions(left)
+            specs = ", ".join(f"PARTITION ({self.partition}='{v}')" for v in touched if v not in kept)
+            if specs:  # nothing is left to be written there
+                spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS {specs}")
 
     def analyze(self, spark: SparkSession) -> None:
         """Record the table size (a file listing, no scan).
@@ -354,16 +401,21 @@ class FeatureTable:
         spark.sql(f"ANALYZE TABLE {self.name} COMPUTE STATISTICS NOSCAN")
 
     def merge_stream(
-        self, df: DataFrame, checkpoint: str, wait: bool = True, trigger: dict | None = None
+        self,
+        df: DataFrame,
+        checkpoint: str,
+        wait: bool = True,
+        trigger: dict | None = None,
+        merge: Callable[[DataFrame], object] | None = None,
     ) -> StreamingQuery:
-        """Merge each micro-batch. Replayed batches are harmless: merge is idempotent.
+        """Merge each micro-batch, here or by ``merge``. Replayed batches are harmless: merge is idempotent.
 
         Micro-batches without input are left out. In update mode they give no
         rows; old state is then cleared by the next batch that has some.
         """
 
         def merge_batch(batch: DataFrame, batch_id: int) -> None:
-            self.merge(batch)
+            (merge or self.merge)(batch)
 
         writer = (
             df.writeStream.outputMode("update")

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.timefilter import aggregated_times
+from tidemark.operators import carry
 from tidemark.operators.lookup import PitOptions, key_lookup, pit_lookup
 from tidemark.operators.tables import FeatureTable, latest_snapshot
 from tidemark.operators.windows import duration_micros
@@ -56,7 +57,8 @@ class FeatureLookup:
         Nothing after the last lookup matters. Before the first one only the
         newest row of each key does, so older rows shrink to that by partial
         aggregates and do not enter the sort; with an age limit, rows long
-        before it are not read at all. The bounds are instants (two values to
+        before it are not read at all. A table with carry folders has that
+        row in one of them, and older days are not listed. The bounds are instants (two values to
         the driver), never text of the session zone. Where one side has zoned
         times and the other has not, they cannot be compared before the
         lookup, and all rows are read.
@@ -74,6 +76,13 @@ class FeatureLookup:
         if age:
             return table.read(spark, first - timedelta(microseconds=age), after_last)
         names = [n for n in self.feature_names if n in table.features]
+        if carry.is_kept(spark, table):
+            rows = carry.reachable(spark, table, first, after_last)
+            rows = table.read(spark, None, after_last) if rows is None else rows
+            # the batch's keys alone; a small batch's keys are broadcast by their own size
+            wanted = base.select(*[F.col(c).alias(k) for c, k in zip(self.lookup_key, table.keys)]).distinct()
+            rows = rows.select(*table.key_columns, *names)
+            return rows.join(wanted, list(table.keys), "left_semi").select(*table.key_columns, *names)
         inside = table.read(spark, first, after_last).select(*table.key_columns, *names)
         before = latest_snapshot(table.read(spark, None, first), table.keys, table.ts, names)
         return inside.unionByName(before.select(*inside.columns))

@@ -305,6 +305,53 @@ LINE = with_(
     scored="select trip_id, pickup_ts, b + a * n as prediction from x, fit",
 )
 
+# States of a table after three merges and an overwrite, and the change rows between them.
+VERSIONS = {
+    "s1": OLD_HALF,
+    "b2": NEW_HALF,
+    "b3": pickup_sql("pickup_ts >= timestamp '2024-01-21 10:07:00'"),
+    "s2": "select * from b2 union all select * from s1 anti join b2 using (zip, ts)",
+    "s3": "select * from b3 union all select * from s2 anti join b3 using (zip, ts)",
+    "s4": pickup_sql("pickup_ts >= timestamp '2024-01-13 10:07:00'"),
+}
+SAME = (
+    "o.mean_fare_window_1h_pickup_zip is not distinct from n.mean_fare_window_1h_pickup_zip "
+    "and o.count_trips_window_1h_pickup_zip is not distinct from n.count_trips_window_1h_pickup_zip"
+)
+
+
+def changes_sql(old: str, new: str, version: int) -> str:
+    def images(side: str, kind: str, source: str) -> str:
+        return (
+            f"select {side}.zip, {side}.ts, {side}.mean_fare_window_1h_pickup_zip, "
+            f"{side}.count_trips_window_1h_pickup_zip, '{kind}' as change_type, cast({version} as bigint) as version {source}"
+        )
+
+    both = f"from {old} o join {new} n on o.zip = n.zip and o.ts = n.ts where not ({SAME})"
+    return " union all ".join(
+        [
+            images("o", "delete", f"from {old} o anti join {new} n on o.zip = n.zip and o.ts = n.ts"),
+            images("n", "insert", f"from {new} n anti join {old} o on o.zip = n.zip and o.ts = n.ts"),
+            images("o", "update_preimage", both),
+            images("n", "update_postimage", both),
+        ]
+    )
+
+
+CHANGES_BY_VERSION = with_(**VERSIONS) + " union all ".join(
+    changes_sql(f"s{v - 1}", f"s{v}", v) for v in (2, 3, 4)
+)
+READ_BY_VERSION = (
+    with_(**VERSIONS)
+    + "select *, cast(1 as bigint) as version from s1 union all select *, 2 from s4 union all "
+    "select *, 3 from (select * from b3 union all select * from s4 anti join b3 using (zip, ts))"
+)
+PUBLISHED_SINCE = (
+    with_(p=pickup_sql())
+    + f"select zip, ts, {PICKUP_NAMES} from p where not (zip % 3 = 0 and ts >= timestamp '2024-01-25') "
+    "qualify row_number() over (partition by zip order by ts desc) = 1"
+)
+
 
 def statements() -> dict[str, str]:
     pickup = with_() + pickup_sql()
@@ -373,6 +420,12 @@ def statements() -> dict[str, str]:
         "dropoff_refresh": dropoff,
         "dropoff_publish": NEWEST_DROPOFF,
         "stream_late_reconcile": pickup,
+        "pit_lookup_carry": pit_sql(">") + " where t.pickup_ts >= timestamp '2024-01-28'",
+        "feature_merge_delta": f"select m.*, form from ({MERGE}) m, (values ('changes'), ('base')) f(form)",
+        "change_feed_versions": CHANGES_BY_VERSION,
+        "feature_overwrite_versioned": READ_BY_VERSION,
+        "latest_snapshot_since_version": PUBLISHED_SINCE,
+        "stream_features_delta": pickup,
         "linear_score_batch": LINE + "select trip_id, round(prediction, 6) as prediction from scored",
         "linear_score_struct": LINE + "select trip_id, round(prediction, 6) as prediction from scored",
         "linear_inference_log": LINE
