@@ -224,8 +224,9 @@ def _resolve_and_join(
         cuts = hot_key_cuts(times, group, "__t", sizes, options.max_group_rows)
     piece = F.lit(0)
     if cuts is not None:
-        # At most MAX_GROUPS cut points in all, see hot_key_cuts.
-        rows = rows.join(F.broadcast(cuts), group, "left")
+        # A row per hot key, without a hint: Spark broadcasts the table while its files are
+        # small, else adaptive execution splits the hot keys' rows of this join.
+        rows = rows.join(cuts, group, "left")
         piece = piece_of("__t")
     if strategy == "bucketed":
         rows = rows.withColumn("__piece", F.struct("__bucket", piece.alias("cut")))

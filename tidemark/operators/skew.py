@@ -2,21 +2,20 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import scratch_path
+
 # Rows of one key that a single task may sort.
 MAX_GROUP_ROWS = 2_000_000
-# Upper bound on hot keys, and on cut points over all of them.
-MAX_GROUPS = 10_000
 # Cut points are searched in blocks of this many.
 BLOCK = 64
 # Rows looked at per piece when placing cuts.
-SAMPLES_PER_PIECE = 50
+SAMPLES_PER_PIECE = 100
 
 
 @dataclass(frozen=True)
@@ -43,41 +42,35 @@ def hot_key_cuts(
     sizes: GroupSizes,
     max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame | None:
-    """(keys, cuts): ascending times that cut each hot key into even pieces.
+    """(keys, cuts): ascending times that cut each key of more than ``max_group_rows`` rows into pieces.
 
-    A key is hot above ``limit`` rows, and ``limit`` grows with the total so that
-    at most ``MAX_GROUPS`` keys can pass it. The same arithmetic bounds the cut
-    points over all keys: a key of n rows gets about n / limit of them. That is
-    why the result may be held on the driver and broadcast. It has to be fixed
+    The number of such keys, and of cuts, grows with the input, so the table is
+    written to the shared folder and nothing is collected. It has to be fixed
     there: both sides of a lookup must be cut at the same times.
 
-    Only the position of the cuts comes from a sample (of a bounded size, as for
-    a range partitioning); every row is then assigned to a piece, so an uneven
-    cut costs balance and never a row.
+    Only the position of the cuts comes from a sample of about
+    ``SAMPLES_PER_PIECE`` rows for each piece: every so many of a key's sampled
+    times is a cut. Pieces aim at half of ``max_group_rows``, so that an unlucky
+    sample still stays below it. Every row is then assigned to a piece, so an
+    uneven cut costs balance and never a row.
     """
-    limit = max(max_group_rows, math.ceil(sizes.total / MAX_GROUPS))
-    if sizes.largest <= limit:
+    if sizes.largest <= max_group_rows:
         return None
-    hot = F.broadcast(key_counts(rows, keys).filter(F.col("n") > limit))
-    pieces = math.ceil(sizes.largest / limit)
-    shares = [i / pieces for i in range(1, pieces)]
-    step = F.greatest(F.lit(1), F.floor(F.lit(pieces) * limit / F.col("n"))).cast("int")
-    fraction = min(1.0, SAMPLES_PER_PIECE / limit)
+    hot = key_counts(rows, keys).filter(F.col("n") > max_group_rows)
+    fraction = min(1.0, SAMPLES_PER_PIECE / max_group_rows)
     looked_at = rows if fraction == 1.0 else rows.sample(fraction, seed=0)
+    step = max(1, int(max_group_rows * fraction / 2))
+    at = F.row_number().over(Window.partitionBy(*keys).orderBy(ts))
     cuts = (
-        looked_at.join(hot, list(keys))
+        looked_at.join(hot.select(*keys), list(keys), "left_semi")
+        .withColumn("__at", at)
+        .filter(F.col("__at") % step == 0)
         .groupBy(*keys)
-        .agg(
-            F.percentile_approx(ts, shares, 20 * pieces).alias("all_cuts"),
-            F.first("n").alias("n"),
-        )
-        .withColumn("step", step)
-        .select(
-            *keys,
-            F.expr("array_distinct(filter(all_cuts, (x, i) -> (i + 1) % step = 0))").alias("cuts"),
-        )
+        .agg(F.sort_array(F.collect_set(ts)).alias("cuts"))
     )
-    return rows.sparkSession.createDataFrame(cuts.collect(), cuts.schema)
+    path = scratch_path(rows.sparkSession, "cuts")
+    cuts.write.parquet(path)
+    return rows.sparkSession.read.schema(cuts.schema).parquet(path)
 
 
 def piece_of(ts: str, cuts: str = "cuts") -> Column:
