@@ -34,7 +34,7 @@ from tidemark.plans.common import (
     with_lookup_time,
 )
 from tidemark.session import scratch_database
-from tidemark.sources import ingest
+from tidemark.sources import ingest, manifest
 from tidemark.sources.scan import read_table
 from tidemark.sources.trips import trips
 
@@ -94,6 +94,22 @@ def incremental_load_drain(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def incremental_load_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Two scheduled runs and a drain of the rest, each starting where the manifest ends."""
+    table = f"{scratch_database(spark, 'manifest')}.raw_data"
+    facts = trips(spark, folder)
+    for _ in range(2):
+        manifest.scheduled_run(spark, facts, "pickup_ts", table)
+    manifest.drain(spark, facts, "pickup_ts", table)
+    by_day = manifest.loads(spark, table).groupBy(F.col("dt").alias("day")).agg(
+        F.sum("n_rows").alias("n_rows"), F.min("first_ts").alias("min_ts"), F.max("last_ts").alias("max_ts")
+    )
+    rows = manifest.loaded(spark, table).groupBy(F.to_date("pickup_ts").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    n_rounds = manifest.loads(spark, table).select("load").distinct().count()
+    checked = by_day.join(rows, "day").where(F.col("n") == F.col("n_rows")).drop("n")
+    return checked.withColumn("n_rounds", F.lit(n_rounds).cast("bigint"))
+
+
 # -- windowed features --------------------------------------------------------
 
 
@@ -341,6 +357,7 @@ QUERIES = {
     "initial_load": initial_load,
     "incremental_load_step": incremental_load_step,
     "incremental_load_drain": incremental_load_drain,
+    "incremental_load_manifest": incremental_load_manifest,
     "pickup_features": pickup,
     "pickup_features_preaggregated": pickup_preaggregated,
     "pickup_features_range": pickup_in_range,

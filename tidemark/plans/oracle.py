@@ -376,6 +376,7 @@ def statements() -> dict[str, str]:
         "initial_load": with_() + f"select * from trips where pickup_ts <= {FIRST_CUT}",
         "incremental_load_step": STEP,
         "incremental_load_drain": DRAIN,
+        "incremental_load_manifest": DRAIN,
         "pickup_features": pickup,
         "pickup_features_preaggregated": pickup,
         "pickup_features_range": with_()
