@@ -7,7 +7,7 @@ from helpers import SMALL, at, rows_of
 from tidemark.functions.timefilter import ts_range
 from tidemark.operators.tables import FeatureTable
 from tidemark.operators.training import FeatureLookup, add_features
-from tidemark.operators.windows import PICKUP_WINDOW, dropoff_features, pickup_features
+from tidemark.operators.windows import PICKUP_MEASURES, PICKUP_SLIDE, PICKUP_WINDOW, dropoff_features, pickup_features
 from tidemark.plans.common import dropoff_table, pickup_table
 from tidemark.plans.streams import run_in_slices
 from tidemark.session import scratch_path
@@ -151,3 +151,29 @@ def test_zoneless_streams_need_a_utc_session(spark):
         spark.conf.set("spark.sql.session.timeZone", before)
     assert dict(stream.zoned(spark.createDataFrame([], TRIP)).dtypes)["pickup_ts"] == "timestamp"
     assert stream.zoned(spark.range(1).select(F.current_timestamp().alias("t"))).dtypes == [("t", "timestamp")]
+
+
+def test_late_windows_are_listed_and_repaired_alone(spark, database, tmp_path):
+    """Micro-batches in wrong order: the sums of the last one are dropped by the watermark."""
+    schema = "trip_id int, pickup_zip int, pickup_ts timestamp_ntz, fare_amount double"
+    early = [(i, i % 4, at(f"2024-01-02 {i % 5:02d}:10:00"), float(i)) for i in range(20)]
+    recent = [(100 + i, i % 4, at(f"2024-01-05 {i % 5:02d}:10:00"), float(i)) for i in range(20)]
+    last = [(200, 1, at("2024-01-05 04:40:00"), 3.0)]
+    table = pickup_table(spark, database)
+    late = stream.LateWindows(str(tmp_path / "late"), {"pickup_zip": "zip"}, PICKUP_WINDOW, PICKUP_SLIDE)
+    landing, checkpoint = str(tmp_path / "in"), str(tmp_path / "checkpoint")
+    listed = []
+    for rows in (recent, last, early):
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(landing)
+        source = stream.file_stream(spark, landing, schema)
+        stream.stream_features(source, pickup_features, "pickup_ts", table, checkpoint, late=late)
+        listed.append(late.listed(spark, table).count())
+    expected = pickup_features(spark.createDataFrame(early + recent + last, schema))
+    lost = pickup_features(spark.createDataFrame(early, schema))
+    assert listed == [0, 0, lost.count()]
+    names = ["zip", "ts", *PICKUP_MEASURES]
+    assert rows_of(table.read(spark).select(*names)) == rows_of(expected.join(lost, ["zip", "ts"], "left_anti").select(*names))
+    facts = spark.createDataFrame(early + recent + last, schema)
+    assert late.repair(table, facts, pickup_features, "pickup_ts") == lost.count()
+    assert rows_of(table.read(spark).select(*names)) == rows_of(expected.select(*names))
+    assert late.repair(table, facts, pickup_features, "pickup_ts") == 0

@@ -406,16 +406,19 @@ class FeatureTable:
         checkpoint: str,
         wait: bool = True,
         trigger: dict | None = None,
-        merge: Callable[[DataFrame], object] | None = None,
+        merge: Callable[[DataFrame, int], object] | None = None,
     ) -> StreamingQuery:
-        """Merge each micro-batch, here or by ``merge``. Replayed batches are harmless: merge is idempotent.
+        """Merge each micro-batch, here or by ``merge`` (given its number too). Replayed batches are harmless: merge is idempotent.
 
         Micro-batches without input are left out. In update mode they give no
         rows; old state is then cleared by the next batch that has some.
         """
 
         def merge_batch(batch: DataFrame, batch_id: int) -> None:
-            (merge or self.merge)(batch)
+            if merge is None:
+                self.merge(batch)
+            else:
+                merge(batch, batch_id)
 
         writer = (
             df.writeStream.outputMode("update")

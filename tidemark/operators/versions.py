@@ -236,7 +236,7 @@ class LoggedTable:
         if df.isStreaming:
             if mode != "merge":
                 raise ValueError("streams can only be merged")
-            return self.spec.merge_stream(df, merge=self.merge, **stream_options)
+            return self.spec.merge_stream(df, **({"merge": lambda batch, _: self.merge(batch)} | stream_options))
         if mode not in ("merge", "overwrite"):
             raise ValueError("mode must be merge or overwrite")
         return self.merge(df) if mode == "merge" else self.overwrite(df)

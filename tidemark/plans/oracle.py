@@ -421,6 +421,7 @@ def statements() -> dict[str, str]:
         "dropoff_refresh": dropoff,
         "dropoff_publish": NEWEST_DROPOFF,
         "stream_late_reconcile": pickup,
+        "stream_late_windows": pickup,
         "pit_lookup_carry": pit_sql(">") + " where t.pickup_ts >= timestamp '2024-01-28'",
         "feature_merge_delta": f"select m.*, form from ({MERGE}) m, (values ('changes'), ('base')) f(form)",
         "change_feed_versions": CHANGES_BY_VERSION,

@@ -61,6 +61,12 @@ def delete_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(conf).delete(target, True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(conf).exists(target)
+
+
 def scratch_database(spark: SparkSession, label: str) -> str:
     """Create a database whose managed tables live below the shared folder."""
     name = f"{label}_{uuid.uuid4().hex[:12]}"
