@@ -11,6 +11,7 @@ from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.training import (
     FeatureLookup,
@@ -147,6 +148,12 @@ class PackagedModel:
     def score_struct(self, df: DataFrame, request: str, output: str = "prediction") -> DataFrame:
         return score_struct(self.model, df, request, output)
 
+    def create_function(self, spark: SparkSession, name: str, schema: T.StructType) -> None:
+        """A persistent SQL function over a struct of the features, for any table; see ``models/expressions.py``."""
+        from tidemark.models.expressions import create_function
+
+        create_function(spark, name, self.model, self.feature_columns, schema)
+
     def create_view(self, spark: SparkSession, source: str, request: str, view: str) -> None:
         """For SQL users: ``view`` is ``source`` (table or view) plus ``prediction``.
 

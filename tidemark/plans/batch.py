@@ -13,6 +13,7 @@ from tidemark.operators.lookup import PitOptions
 from tidemark.operators.lookup import key_lookup as lookup_by_key
 from tidemark.operators.lookup import pit_lookup as lookup_at_time
 from tidemark.operators.refresh import refresh
+from tidemark.operators.outlines import outline_join
 from tidemark.operators.regions import region_join as join_regions
 from tidemark.operators.tables import key_violations
 from tidemark.operators.tables import latest_snapshot as newest_rows
@@ -262,6 +263,25 @@ def training_set_split(spark: SparkSession, folder: str) -> DataFrame:
     return fare_training_set(facts, frame_lookups(facts, options)).load_df()
 
 
+#: Corners of a concave outline inside a square of side 0.2.
+ARROW = [(0.01, 0.01), (0.19, 0.02), (0.12, 0.1), (0.18, 0.19), (0.02, 0.17), (0.07, 0.09)]
+
+
+def region_join_polygons(spark: SparkSession, folder: str) -> DataFrame:
+    """Events as points in one outline for each nation."""
+    points = read_table(spark, folder, "events").select(
+        "event_id",
+        (F.lit(40.0) + (F.col("event_id") % 1000).cast("double") / 1000).alias("lat"),
+        (F.lit(-74.0) + (F.col("event_id") * 7 % 997).cast("double") / 997).alias("lon"),
+    )
+    key = F.col("n_nationkey")
+    left = F.lit(-74.0) + (key % 5).cast("double") * F.lit(0.2)
+    low = F.lit(40.0) + F.floor(key / 5).cast("double") * F.lit(0.2)
+    corners = [F.struct((left + F.lit(x)).alias("x"), (low + F.lit(y)).alias("y")) for x, y in ARROW]
+    outlines = read_table(spark, folder, "nation").select(key.alias("nation"), F.array(*corners).alias("ring"))
+    return outline_join(points, outlines, cell=0.03).select("event_id", "nation")
+
+
 def train_test_split(spark: SparkSession, folder: str) -> DataFrame:
     return with_split(trips(spark, folder), ["trip_id"]).select("trip_id", "split")
 
@@ -375,6 +395,7 @@ QUERIES = {
     "pit_lookup_ties_split": pit_lookup_ties_split,
     "key_lookup": key_lookup,
     "region_join": region_join,
+    "region_join_polygons": region_join_polygons,
     "train_test_split": train_test_split,
     "training_matrix": training_matrix,
     "feature_table_describe": feature_table_describe,

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.hashing import train_test_split
+from tidemark.models.expressions import create_function, trees_of
 from tidemark.models.regression import (
     PackagedModel,
     append_inference_log,
@@ -17,7 +19,7 @@ from tidemark.models.regression import (
 )
 from tidemark.operators.training import FeatureLookup, add_features, create_training_set
 from tidemark.plans.common import fare_training_set, table_lookups, written_tables
-from tidemark.session import scratch_path
+from tidemark.session import scratch_database, scratch_path
 from tidemark.sources.trips import trips
 
 LABEL = "fare_amount"
@@ -148,7 +150,40 @@ def linear_inference_log(spark: SparkSession, folder: str) -> DataFrame:
     return daily.agg(F.count(F.lit(1)).alias("n_requests"), F.round(F.avg("response"), 6).alias("mean_response"))
 
 
+#: Inputs of few values, all of which become thresholds, so that SQL can try every split.
+STUMP = {"zip_group": "pickup_zip % 16", "dropoff_group": "dropoff_zip % 8", "whole_miles": "cast(floor(trip_distance) AS int)"}
+
+
+def _stump(spark: SparkSession, folder: str) -> tuple[PipelineModel, DataFrame]:
+    """One round of boosting, one split deep."""
+    rows = trips(spark, folder).selectExpr("trip_id", LABEL, *[f"{e} AS {n}" for n, e in STUMP.items()])
+    return fit_regression(rows, list(STUMP), LABEL, rounds=1, depth=1), rows
+
+
+def boosted_stump(spark: SparkSession, folder: str) -> DataFrame:
+    """The split that training found, and the mean label on both sides of it."""
+    model, _ = _stump(spark, folder)
+    ((weight, tree),) = trees_of(model)
+    feature = list(STUMP)[tree.feature // 2]  # every second input tells whether the value is missing
+    found = [(feature, tree.threshold, weight * tree.low, weight * tree.high)]
+    rows = spark.createDataFrame(found, "feature string, threshold double, low double, high double")
+    return rows.withColumns({c: F.round(c, 6) for c in ("low", "high")})
+
+
+def sql_function_score(spark: SparkSession, folder: str) -> DataFrame:
+    """Trips scored by a function in SQL, on a view it was not made for."""
+    model, rows = _stump(spark, folder)
+    name = f"{scratch_database(spark, 'scores')}.fare_score"
+    create_function(spark, name, model, list(STUMP), rows.schema)
+    rows.createOrReplaceTempView("stump_rows")
+    return spark.sql(
+        f"SELECT trip_id, round({name}(struct({', '.join(STUMP)})), 6) AS prediction FROM stump_rows"
+    )
+
+
 QUERIES = {
+    "boosted_stump": boosted_stump,
+    "sql_function_score": sql_function_score,
     "linear_score_batch": linear_score_batch,
     "linear_score_struct": linear_score_struct,
     "linear_inference_log": linear_inference_log,

@@ -260,6 +260,27 @@ REGIONS = """
     on lat >= lat_lo and lat < lat_hi and lon >= lon_lo and lon < lon_hi
 """
 
+ARROW = [(0.01, 0.01), (0.19, 0.02), (0.12, 0.1), (0.18, 0.19), (0.02, 0.17), (0.07, 0.09)]
+_EDGES = ", ".join(
+    f"({a[0]}::double, {a[1]}::double, {b[0]}::double, {b[1]}::double)" for a, b in zip(ARROW, ARROW[1:] + ARROW[:1])
+)
+POLYGONS = f"""
+  with points as (
+    select event_id, cast(40.0 as double) + cast(event_id % 1000 as double) / 1000 as lat,
+           cast(-74.0 as double) + cast(event_id * 7 % 997 as double) / 997 as lon
+    from events),
+  placed as (
+    select n_nationkey as nation, -74.0::double + (n_nationkey % 5)::double * 0.2::double as x,
+           40.0::double + (n_nationkey // 5)::double * 0.2::double as y from nation),
+  edges as (
+    select nation, x + a as x1, y + b as y1, x + c as x2, y + d as y2 from placed, (values {_EDGES}) v(a, b, c, d)),
+  hit as (
+    select event_id, nation from points, edges
+    where (y1 > lat) <> (y2 > lat) and lon < (x2 - x1) * (lat - y1) / (y2 - y1) + x1
+    group by event_id, nation having count(*) % 2 = 1)
+  select event_id, nation from points left join hit using (event_id)
+"""
+
 BASELINE = (
     with_(
         s=f"select trips.*, {SPLIT} as split from trips",
@@ -352,6 +373,26 @@ PUBLISHED_SINCE = (
     "qualify row_number() over (partition by zip order by ts desc) = 1"
 )
 
+# Every split of three inputs at every midpoint of two neighbouring values; the one that explains most.
+STUMP_SPLIT = with_(
+    x="select trip_id, fare_amount as y, pickup_zip % 16 as zip_group, dropoff_zip % 8 as dropoff_group, "
+    "cast(floor(trip_distance) as int) as whole_miles from trips",
+    long="select trip_id, y, 'zip_group' as feature, zip_group as v from x union all "
+    "select trip_id, y, 'dropoff_group', dropoff_group from x union all select trip_id, y, 'whole_miles', whole_miles from x",
+    sums="select feature, v, count(*) as n, sum(y) as s, (v + lead(v) over (partition by feature order by v)) / 2.0::double "
+    "as threshold from long group by feature, v",
+    sides="select feature, threshold, sum(n) over below as nl, sum(s) over below as sl, "
+    "sum(n) over every - sum(n) over below as nh, sum(s) over every - sum(s) over below as sh from sums "
+    "window below as (partition by feature order by v), every as (partition by feature)",
+    best="select feature, threshold, round(sl / nl, 6) as low, round(sh / nh, 6) as high from sides "
+    "where threshold is not null order by sl * sl / nl + sh * sh / nh desc limit 1",
+)
+STUMP_SCORE = (
+    STUMP_SPLIT
+    + "select trip_id, case when case feature when 'zip_group' then zip_group when 'dropoff_group' then dropoff_group "
+    "else whole_miles end <= threshold then low else high end as prediction from x, best"
+)
+
 
 def statements() -> dict[str, str]:
     pickup = with_() + pickup_sql()
@@ -396,6 +437,7 @@ def statements() -> dict[str, str]:
         "key_lookup": "select c_custkey, c_nationkey, n_name, n_regionkey from customer "
         "left join nation on c_nationkey = n_nationkey",
         "region_join": REGIONS,
+        "region_join_polygons": POLYGONS,
         "train_test_split": with_() + f"select trip_id, {SPLIT} as split from trips",
         "training_matrix": MATRIX,
         "feature_table_describe": DESCRIBE,
@@ -428,6 +470,8 @@ def statements() -> dict[str, str]:
         "feature_overwrite_versioned": READ_BY_VERSION,
         "latest_snapshot_since_version": PUBLISHED_SINCE,
         "stream_features_delta": pickup,
+        "boosted_stump": STUMP_SPLIT + "select * from best",
+        "sql_function_score": STUMP_SCORE,
         "linear_score_batch": LINE + "select trip_id, round(prediction, 6) as prediction from scored",
         "linear_score_struct": LINE + "select trip_id, round(prediction, 6) as prediction from scored",
         "linear_inference_log": LINE
