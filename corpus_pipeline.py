@@ -29,13 +29,25 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates, the one with the least doc_id.
+    """One document of each class of near-duplicates: of those with the least doc_id, the one with the least text hash.
 
-    Rows without a doc_id cannot be told apart and stay.
+    A row is told by its doc_id and 128 bits of its text's hash, so another text
+    under the same doc_id is judged by itself. Of rows equal in both one
+    stays. Rows without a doc_id cannot be told apart and stay.
     """
-    classes = near_duplicates(docs.where(F.col("doc_id").isNotNull()))
-    gone = classes.where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    body = F.col("text")
+    row = F.struct("doc_id", F.xxhash64(body).alias("__a"), F.xxhash64(F.lit(7), body).alias("__b"))
+    known = docs.where(F.col("doc_id").isNotNull())
+    found = near_duplicates(known.select(row.alias("row"), "text"), key="row")
+    found = staged(found.select("row", (F.col("row") == F.col("component_id")).alias("least")), "near")
+    rows = found.groupBy("row").agg(F.first("least").alias("least"), F.count(F.lit(1)).alias("n"))
+    gone = rows.where(~F.col("least")).select("row.*")
+    twice = rows.where(F.col("least") & (F.col("n") > 1)).select("row.*")
+    on = ["doc_id", "__a", "__b"]
+    told = docs.withColumns({c: row[c] for c in on[1:]})
+    once = told.join(gone.unionByName(twice), on, "left_anti")
+    one_of = told.join(twice, on, "left_semi").dropDuplicates(on)
+    return once.unionByName(one_of).select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
