@@ -50,12 +50,21 @@ DOCS = [
 
 @pytest.mark.parametrize("bound", [2_000_000, 1])
 def test_both_ways(frame, items, bound):
-    rows = [r for r in ODD if r[0] != 5] + DOCS  # the join asks for unique keys
+    rows = ODD + DOCS + [(10, "clean"), (None, DOCS[0][1]), (11, DOCS[0][1]), (10, DOCS[0][1])]
     docs = frame(rows).withColumnRenamed("lang", "items").withColumnRenamed("source", "found")
     got = contamination(docs, items, max_words=bound).select("doc_id", "n_words", "n_hit", "items")
     assert rows_of(got) == plain(rows, ITEMS)
 
 
+def test_both_ways_give_the_same_columns(frame, items):
+    """Two texts under one id are judged each by itself, spans included, on both sides of the bound."""
+    rows = DOCS + [(10, "one clean text of five words"), (10, DOCS[1][1])]
+    scanned, joined = (contamination(frame(rows), items, max_words=m) for m in (2_000_000, -1))
+    assert scanned.dtypes == joined.dtypes
+    assert rows_of(scanned) == rows_of(joined)
+    assert all(r["n_hit"] <= r["n_words"] for r in joined.collect())
+
+
 def test_removal(frame, items):
     kept = decontaminate(frame(DOCS + ODD), items)
     assert {r["doc_id"] for r in kept.collect()} == {11} | {k for k, _ in ODD}

@@ -21,7 +21,7 @@ ROOT = Path(__file__).resolve().parents[2]
 
 def test_names():
     own = [n for n in contract.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in own) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in own) == list(range(1, 14))
     assert contract.queries()["pipeline"] is corpus_pipeline.run
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "near_dedup", "decontamination", "pii", "sentencepiece"]
 
@@ -63,6 +63,16 @@ def test_each_stage_against_brute_force(spark, steps):
     }
 
 
+def test_near_dedup_judges_rows_of_one_id_by_their_texts(spark, frame):
+    """A clean text survives a copy under its id; of equal rows one stays; a class keeps one row."""
+    long = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, long), (1, long), (5, long), (5, "another text altogether"), (7, "seven"), (7, "seven too"), (None, long)]
+    docs = corpus_pipeline.near_dedup(spark, frame(rows), SMALL)
+    assert docs.columns == frame([]).columns
+    kept = sorted([(r["doc_id"], r["text"]) for r in docs.collect()], key=repr)
+    assert kept == sorted([rows[0], *rows[3:]], key=repr)
+
+
 def test_odd_documents(spark, frame):
     docs = frame(ODD)
     for _, stage in corpus_pipeline.STAGES[:-1]:

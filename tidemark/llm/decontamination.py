@@ -185,9 +185,15 @@ def fits_broadcast(benchmark: DataFrame, text: str = "text", max_words: int = MA
     return (benchmark.agg(F.sum(F.size(_words(F.col(text))).cast("long"))).first()[0] or 0) <= max_words
 
 
-def joined_hits(docs: DataFrame, benchmark: DataFrame, key: str, item: str, text: str, size: int) -> DataFrame:
-    """Hits by a join on window texts, for items of any number: row key, hit word positions, items.
+def _text_key(body: Column) -> Column:
+    """Tells texts apart by 128 bits of hash."""
+    return F.struct(F.xxhash64(body).alias("a"), F.xxhash64(F.lit(7), body).alias("b"))
 
+
+def joined_hits(docs: DataFrame, benchmark: DataFrame, item: str, text: str, size: int) -> DataFrame:
+    """Hits by a join on window texts, for items of any number: text key ``a``, ``b``, hit word positions, items.
+
+    Hits belong to a text and not to a row key, so keys may be NULL or repeated.
     Only windows of documents that meet a window of an item leave the join.
     A hot window costs rows in proportion to the documents that hold it.
     """
@@ -200,10 +206,13 @@ def joined_hits(docs: DataFrame, benchmark: DataFrame, key: str, item: str, text
         .agg(F.collect_set("item").alias("names"))
     )
     lengths = [r[0] for r in wanted.select("n").distinct().collect()]  # at most ``size`` values
-    return _met(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), wanted, lengths, size).groupBy("key").agg(
+    body = docs.select(F.col(text).cast("string").alias("text")).where(F.col("text").isNotNull())
+    met = _met(body.select(_text_key(F.col("text")).alias("key"), "text"), wanted, lengths, size)
+    found = met.groupBy("key").agg(
         _positions().alias("hit"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("names")))).alias("items"),
     )
+    return found.select("key.a", "key.b", "hit", "items")
 
 
 def _positions() -> Column:
@@ -226,8 +235,7 @@ def _joined_removal(docs: DataFrame, benchmark: DataFrame, remove: str, text: st
     wanted = words.select("n", F.explode(_windows("w", "n")).alias("x")).select("n", "x.window").distinct()
     lengths = [r[0] for r in wanted.select("n").distinct().collect()]  # at most ``size`` values
     body = F.col(text).cast("string")
-    key = F.struct(F.xxhash64(body).alias("a"), F.xxhash64(F.lit(7), body).alias("b"))
-    met = _met(docs.where(F.col(text).isNotNull()).select(key.alias("key"), body.alias("text")), wanted, lengths, size)
+    met = _met(docs.where(F.col(text).isNotNull()).select(_text_key(body).alias("key"), body.alias("text")), wanted, lengths, size)
     if remove == "documents":
         found = met.select("key.a", "key.b").distinct()
     else:
@@ -260,6 +268,26 @@ def _cut(text: Column, hit: Column) -> Column:
     return F.arrow_udf(run, "string")(text, hit)
 
 
+def _hit_spans(text: Column, hit: Column) -> Column:
+    """Character spans of the words at the positions ``hit``, counted from one."""
+
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, hits in batches:
+            out = []
+            for value, at in zip(texts, hits):
+                value, at = value.as_py(), at.as_py()
+                spans = []
+                if value is not None and at:
+                    where = np.zeros(len(words_of(value)), bool)
+                    where[np.array(at) - 1] = True
+                    spans = [{"start": a, "end": b} for a, b in spans_of(value, where)]
+                out.append(spans)
+            yield pa.array(out, pa.list_(_SPAN))
+
+    run.__annotations__ = {"batches": Iterator[tuple[pa.Array, pa.Array]], "return": Iterator[pa.Array]}
+    return F.arrow_udf(run, "array<struct<start: int, end: int>>")(text, hit)
+
+
 def _windows(words: str, length: str) -> Column:
     """Structs of start and space-joined words of every window of ``length`` words."""
     starts = F.sequence(F.lit(1), F.size(words) - F.col(length) + 1)
@@ -280,23 +308,28 @@ def contamination(
     size: int = SIZE,
     max_words: int = MAX_WORDS,
 ) -> DataFrame:
-    """Per document: key, ``n_words``, ``n_hit``, sorted ``items`` and, from the scan, ``spans``.
+    """Per document: key, ``n_words``, ``n_hit``, sorted ``items`` and ``spans`` of characters.
 
     NULL and empty texts have no words. Items without words, or an empty set
     of items, hit nothing. Items with a NULL id hit words but are not listed.
-    Repeated items count once; repeated documents are repeated in the result
-    of the scan. The join needs unique keys.
+    Repeated items count once; every row of ``docs`` comes out, each judged by
+    its own text, whatever its key. Above ``max_words`` the windows are joined,
+    with the same result.
     """
     if fits_broadcast(benchmark, text, max_words):
         found = Decontaminator(benchmark, item, text, size).scan(F.col(text))
         return docs.select(F.col(key), found.alias("found")).select(key, "found.*")
-    hits = joined_hits(docs, benchmark, key, item, text, size)
-    counted = docs.select(F.col(key), F.size(_words(F.col(text))).cast("long").alias("n_words"))
-    return counted.join(hits, counted[key].eqNullSafe(hits["key"]), "left").select(
-        key,
-        "n_words",
+    hits = joined_hits(docs, benchmark, item, text, size)
+    body = docs.select(F.col(key).alias("__key"), F.col(text).cast("string").alias("__text"))
+    own = _text_key(F.col("__text"))
+    same = (own["a"] == hits["a"]) & (own["b"] == hits["b"])
+    met = body.join(hits, same & F.col("__text").isNotNull(), "left")
+    return met.select(
+        F.col("__key").alias(key),
+        F.size(_words(F.col("__text"))).cast("long").alias("n_words"),
         F.coalesce(F.size("hit"), F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
+        _hit_spans(F.col("__text"), F.col("hit")).alias("spans"),
     )
 
 
