@@ -40,6 +40,11 @@ HEADLINE = [
     "linear_score_batch",
     "score_batch",
     "fare_model_metrics",
+    "pit_lookup_carry",
+    "feature_merge_delta",
+    "stream_features_delta",
+    "incremental_load_manifest",
+    "region_join_polygons",
 ]
 
 
