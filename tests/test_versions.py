@@ -6,6 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from helpers import at, rows_of
+from tidemark.client import FeatureClient
 from tidemark.operators import versions
 from tidemark.operators.lookup import PitOptions
 from tidemark.operators.tables import FeatureTable, KeyViolation
@@ -202,6 +203,24 @@ def test_publish_reads_changes_since_the_mark(spark, table, database):
     assert rows_of(online.read(spark)) == newest(rows_of(table.read(spark)))
 
 
+def test_through_the_client(spark, database):
+    client = FeatureClient(spark)
+    rows = frame(spark, (1, "01:00", 1), (1, DAY2, 2), (2, "01:00", 3))
+    made = client.create_table(f"{database}.made", ["zip"], timestamp_key="ts", df=rows, description="it's logged", logged=True)
+    assert isinstance(made, LoggedTable) and isinstance(client.get_table(made.name), LoggedTable)
+    client.create_table(f"{database}.online", ["zip"], SCHEMA)
+    client.publish_table(made.name, f"{database}.online")
+    assert client.write_table(made.name, frame(spark, (2, DAY3, 4))) == 2
+    client.publish_table(made.name, f"{database}.online")
+    assert rows_of(client.read_table(f"{database}.online")) == newest(rows_of(client.read_table(made.name)))
+    client.write_table(made.name, frame(spark, (5, DAY3, 5)), "overwrite")
+    client.drop_table(made.name)
+    client.drop_table(made.name)
+    assert [r[1] for r in spark.sql(f"SHOW TABLES IN {database}").collect()] == ["online"]
+    made = client.create_table(made.name, ["zip"], SCHEMA, "ts", logged=True)
+    assert rows_of(made.read(spark)) == []
+
+
 def test_stream_and_refusals(spark, table, tmp_path):
     frame(spark, (1, "01:00", 1), (2, DAY2, 2)).write.parquet(str(tmp_path / "in"))
     source = spark.readStream.schema(SCHEMA).parquet(str(tmp_path / "in"))

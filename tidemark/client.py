@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.models.regression import PackagedModel
 from tidemark.operators.tables import FeatureTable
 from tidemark.operators.training import FeatureLookup, TrainingSet, create_training_set
+from tidemark.operators.versions import LoggedTable
 
 
 class FeatureClient:
@@ -26,10 +27,17 @@ class FeatureClient:
         timestamp_key: str | None = None,
         df: DataFrame | None = None,
         description: str = "",
-    ) -> FeatureTable:
-        """Create from a schema, or from ``df`` and fill it."""
+        logged: bool = False,
+    ) -> FeatureTable | LoggedTable:
+        """Create from a schema, or from ``df`` and fill it; ``logged`` tables record versions and changes."""
         if schema is None and df is None:
             raise ValueError("give a schema or a frame")
+        if logged:
+            shape = schema if schema is not None else df.schema
+            table = LoggedTable.create(self.spark, name, primary_keys, shape, timestamp_key, description)
+            if df is not None:
+                table.write(df)
+            return table
         table = FeatureTable.define(
             name, primary_keys, schema if schema is not None else df.schema, timestamp_key, description
         ).create(self.spark)
@@ -37,7 +45,9 @@ class FeatureClient:
             table.write(df)
         return table
 
-    def get_table(self, name: str) -> FeatureTable:
+    def get_table(self, name: str) -> FeatureTable | LoggedTable:
+        if LoggedTable.is_logged(self.spark, name):
+            return LoggedTable.load(self.spark, name)
         return FeatureTable.load(self.spark, name)
 
     def read_table(self, name: str) -> DataFrame:
@@ -45,14 +55,22 @@ class FeatureClient:
 
     def write_table(
         self, name: str, df: DataFrame, mode: str = "merge", **stream_options
-    ) -> StreamingQuery | None:
+    ) -> StreamingQuery | int | None:
         return self.get_table(name).write(df, mode, **stream_options)
 
     def drop_table(self, name: str) -> None:
-        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        if self.spark.catalog.tableExists(name) and LoggedTable.is_logged(self.spark, name):
+            LoggedTable.load(self.spark, name).drop(self.spark)
+        else:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
 
     def publish_table(self, name: str, online_name: str, mode: str = "merge") -> None:
-        self.get_table(name).publish(self.spark, self.get_table(online_name), mode)
+        """Newest rows to ``online_name``; a logged table publishes what changed since the last time, whatever the mode."""
+        table, online = self.get_table(name), self.get_table(online_name)
+        if isinstance(table, LoggedTable):
+            table.publish(self.spark, online)
+        else:
+            table.publish(self.spark, online, mode)
 
     def create_training_set(
         self,

@@ -69,10 +69,10 @@ class LoggedTable:
 
     @staticmethod
     def create(
-        spark: SparkSession, name: str, keys: Sequence[str], schema: T.StructType | str, ts: str
+        spark: SparkSession, name: str, keys: Sequence[str], schema: T.StructType | str, ts: str, comment: str = ""
     ) -> LoggedTable:
         """An empty table at version 0."""
-        table = LoggedTable(FeatureTable.define(name, keys, schema, ts))
+        table = LoggedTable(FeatureTable.define(name, keys, schema, ts, comment))
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table.spec.schema.fields)
         spark.sql(
             f"CREATE TABLE {table.changes_name} ({columns}, {CHANGE} STRING, {VERSION} BIGINT, {DAY} DATE) "
@@ -82,6 +82,9 @@ class LoggedTable:
             f"CREATE TABLE {table.log_name} ({VERSION} BIGINT, mode STRING, base STRING, base_version BIGINT, "
             "floor BIGINT, committed_at TIMESTAMP) USING parquet"
         )
+        if comment:
+            escaped = comment.replace("'", "\\'")
+            spark.sql(f"COMMENT ON TABLE {table.changes_name} IS '{escaped}'")
         base = table._base(0).create(spark)
         table._commit(spark, Commit(0, "create", base.name, 0, 0))
         return table
@@ -90,6 +93,17 @@ class LoggedTable:
     def load(spark: SparkSession, name: str) -> LoggedTable:
         return LoggedTable(FeatureTable.load(spark, name))
 
+    @staticmethod
+    def is_logged(spark: SparkSession, name: str) -> bool:
+        return VERSION in properties(spark, name)
+
+    def drop(self, spark: SparkSession) -> None:
+        """Remove the view first, so that no reader meets a half-removed table."""
+        bases = [r[0] for r in self.history(spark).select("base").distinct().collect()]
+        spark.sql(f"DROP VIEW IF EXISTS {self.name}")
+        for name in [*bases, self.changes_name, self.log_name]:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
     @property
     def ts(self) -> str:
         return self.spec.ts
