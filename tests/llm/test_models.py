@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import zlib
+from collections import Counter
 
 import numpy as np
 from cases import ODD
@@ -41,25 +42,42 @@ def test_toxicity_of_odd_texts(spark, frame):
     assert (blank.score == 0.5).all()
 
 
-def test_word_ratios_are_kneser_ney():
-    """One context, counted by hand: two words with the same letters but the last."""
-    grams = ["a", "ab", "ac", "ab\x02", "ac\x02"]
-    toxic, ordinary = np.array([4, 4, 0, 4, 0]), np.array([6, 1, 5, 1, 5])
-    model = toxicity.ToxicModel.fit(grams, toxic, ordinary)
-    ends = np.array([(toxicity.EDGE * 4 + g)[-5:] for g in grams], "<U5")
-    shared = toxicity._shared(ends.view(np.uint32).reshape(-1, 5))
-    cut = 0.75
-
-    def p(count, total, kinds, below):
-        return max(count - cut, 0) / total + cut * kinds / total * below
-
-    want = {
-        "ab": math.log(p(4, 4, 1, shared[0]) / p(6, 6, 1, shared[0]))
-        + math.log(p(4, 4, 1, shared[1]) / p(1, 6, 2, shared[1]))
-        + math.log(p(4, 4, 1, shared[3]) / p(1, 1, 1, shared[3])),
-    }
-    assert abs(model.words(["ab"])[0] - want["ab"]) < 1e-9
-    assert model.words(["zz", "ab", "ac"])[0] == 0.0
+def plain_ratios(texts):
+    """Log ratio of every counted gram, letter by letter, from texts and labels."""
+    order, counts = toxicity.ORDER, (Counter(), Counter())
+    for text, label in texts:
+        if words := (text or "").lower().split():
+            line = " " * (order - 1) + " ".join(words) + " "
+            counts[label].update(line[k - order + 1 : k + 1] for k in range(order - 1, len(line)))
+
+    def model(held):
+        cut = toxicity.cuts([sum(c == k for c in held.values()) for k in (1, 2, 3, 4)])
+        total, kept = Counter(), Counter()
+        for gram, c in held.items():
+            total[gram[:-1]] += c
+            kept[gram[:-1]] += cut[min(c, 3) - 1]
+
+        def p(gram, below):
+            if not total[gram[:-1]]:
+                return below
+            c = held[gram]
+            own = c - cut[min(c, 3) - 1] if c else 0
+            return (own + kept[gram[:-1]] * below) / total[gram[:-1]]
+
+        return p
+
+    grams = set(counts[0]) | set(counts[1])
+    lower = [
+        model(Counter(longer[1:] for longer in {g[-size - 1 :] for g in grams})) for size in range(1, order)
+    ]
+    toxic, ordinary = model(counts[1]), model(counts[0])
+    alphabet, out = len({g[-1] for g in grams}) + 1, {}
+    for gram in grams:
+        shared = 1 / alphabet
+        for size, p in enumerate(lower, 1):
+            shared = p(gram[-size:], shared)
+        out[gram] = math.log(toxic(gram, shared) / ordinary(gram, shared))
+    return out
 
 
 def test_toxicity_reads_runs_to_their_end(spark, frame):
@@ -95,13 +113,29 @@ def test_toxicity_with_more_counts_than_are_broadcast(spark, frame):
         assert np.allclose(got.score, whole.score, rtol=0, atol=1e-9) and len(got) == len(whole) == len(ODD) + 153
 
 
-def test_long_runs_are_told_by_windows():
-    word = "abcdefghij" * 3
-    windows = {word[k - 4 : k + 1] for k in range(4, 30)} | {word[-4:] + toxicity.EDGE}
-    grams = sorted(toxicity.MARK + w for w in windows)
-    model = toxicity.ToxicModel(*(x[np.argsort(toxicity._hashes(grams))] for x in (toxicity._hashes(grams), np.ones(len(grams)))))
-    total, most = model.told([word, word[:23], word[:24]])
-    assert total.tolist() == [27.0, 0.0, 20.0] and most.tolist() == [24.0, 0.0, 20.0]
+def test_toxicity_measures_against_plain_kneser_ney(spark, frame):
+    """Counts, ratios and measures of whole texts, again with plain loops."""
+    rng = np.random.default_rng(8)
+    said = ["".join(chr(97 + c) for c in rng.integers(0, 5, rng.integers(1, 6))) for _ in range(60)]
+    texts = [(" ".join(said[i] for i in rng.integers(0, 60, 15)), k % 2) for k in range(40)]
+    texts += [("-".join(said[:20]), 1), ("", 0), (None, 1), ("\u00df\U0001f600 Ab\tc", 0)]
+    counts = toxicity.gram_counts(spark.createDataFrame(texts, "text string, toxic int"))
+    found = toxicity.ratios(counts)
+    want = plain_ratios(texts)
+    got = {r["gram"]: r["ratio"] for r in found.collect()}
+    assert got.keys() == want.keys() and all(abs(got[g] - want[g]) < 1e-9 for g in want)
+    own = toxicity.ToxicModel.of(found).measures([t for t, _ in texts] + ["zzzz zz"])
+    for k, text in enumerate([t for t, _ in texts] + ["zzzz zz"]):
+        line = " " * (toxicity.ORDER - 1) + " ".join((text or "").lower().split()) + " "
+        told = [want.get(line[i - toxicity.ORDER + 1 : i + 1], 0.0) for i in range(toxicity.ORDER - 1, len(line))]
+        parts, at = [], 0
+        for word in (text or "").lower().split():
+            for begin in range(0, len(word) + 1, toxicity.LETTERS):
+                parts.append(sum(told[at + begin : at + min(begin + toxicity.LETTERS, len(word) + 1)]))
+            at += len(word) + 1
+        best = sorted((max(p, 0.0) for p in parts), reverse=True) + [0.0] * 5
+        plain = [sum(told) / len(told) if parts else 0.0, *best[:3], best[4], math.log1p(len(parts))]
+        assert np.allclose([m[k] for m in own], plain, rtol=0, atol=1e-9)
 
 
 def test_language_on_rows_kept_out(spark):

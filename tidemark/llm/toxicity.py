@@ -1,106 +1,93 @@
 """Toxicity of texts from two class-conditional Kneser-Ney models.
 
-An expression is a word, read letter by letter after all letters before it.
-The counts of these longest contexts belong to a class, toxic or ordinary; all
-shorter contexts, of ``ORDER - 1`` letters at most, have continuation counts of
-both classes together, so rare expressions are smoothed through what they
-share. Words with the same beginning share its counts. Letters of runs longer
-than ``LETTERS``, such as text without spaces, are told by their beginning
-where it is known, and else by their window, the letter after the ``ORDER - 1``
-letters before it, counted in all runs and by class as well. The difference of the two
-log-likelihoods, normalised by length, is a property of the text and of its
-most telling words, and a logistic calibration on rows kept out of the counts
-turns it into a probability.
-
-Counts cover every labelled training text and are summed in Spark. Up to
-``max_grams`` of them are fitted at the driver and broadcast. More are fitted
-in Spark, with the same result, and only those with the highest counts are
-broadcast, by a threshold taken from the histogram of counts; the letters of
-distinct words that these do not tell are joined with the rest. Likewise the
-most frequent words are broadcast to the texts, and the rest is joined.
+A text is its words, lower-cased and joined by one ``EDGE``, and each letter
+and edge is told by the ``ORDER - 1`` letters before it, across words; so
+every letter of every text is read, with spaces or without. The counts of
+these longest contexts belong to a class, toxic or ordinary; all shorter
+contexts have continuation counts of both classes together, so rare
+expressions are smoothed through what they share. A letter that no class has
+counted after its context is neutral: both models back off to the same shared
+probability, and the ratio of their backoff weights tells little more than
+how much text each was trained on. A letter that one class has counted is
+backed off in the other, with its weight.
+
+The difference of the two log-likelihoods is summed over stretches, a word
+with its edge, or each ``LETTERS`` letters of a longer run. Its average by
+letter, some of the highest stretches and the logarithm of their number are
+properties of the text, and a logistic calibration on rows kept out of the
+counts turns them into a probability.
+
+Counts cover every labelled training text, and are summed and fitted in
+Spark. A table of up to ``max_grams`` ratios is broadcast to the texts; a
+larger one meets the distinct stretches of the texts in joins, with the same
+result.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.language import DRAWS, drawn_below
 from tidemark.llm.text import id_crc, pieces, splitmix, staged
 
-ORDER = 5
-MAX_GRAMS = 500_000
+ORDER = 4
+MAX_GRAMS = 4_000_000
 BROADCAST_LABELS = 2_000_000
 CALIBRATION_ROWS = 20_000
 THRESHOLD = 0.3
-KEPT_WORDS = 200_000
-EDGE = "\x02"
-MARK = "\ufdd0"
-NEUTRAL = 0.0
+EDGE = " "
 LETTERS = 24
-_BASE = 0x9E3779B97F4A7C15
-_BACK = pow(_BASE, -1, 1 << 64)
+_PAD = EDGE * (ORDER - 1)
+_BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _read(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, str]:
-    """For every letter of every word: hash of the beginning that it ends, hash of its window, first and own place; the text.
+def _joined(texts: list[str | None]) -> list[str]:
+    """Every text as it is told: pad, words joined by edges, edge; nothing for a text without words."""
+    split = ((t or "").lower().split() for t in texts)
+    return [_PAD + EDGE.join(words) + EDGE if words else "" for words in split]
 
-    A word ends with an edge, which is told like a letter. A window, the last
-    ``ORDER`` letters, is hashed as the text ``MARK`` and window; it holds from
-    the letter on that has so many in its word.
-    """
-    text = EDGE.join(words) + EDGE
-    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1)
-    sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
-    starts = np.cumsum(sizes) - sizes
-    first = np.repeat(starts, sizes)
-    last = np.arange(len(points))
-    with np.errstate(over="ignore"):
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(points * _powers(_BASE, len(points)))])
-        back = _powers(_BACK, len(points))
-        hashes = splitmix((sums[1:] - sums[first]) * back[first])
-        begin = np.maximum(last - ORDER + 1, 0)
-        own = (sums[1:] - sums[begin]) * back[begin]
-        windows = splitmix(np.uint64(ord(MARK) + 1) + own * np.uint64(_BASE))
-    return hashes, windows, first, last, text
 
+def _points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
-def _hashes(grams: list[str]) -> np.ndarray:
-    """Hash of each whole gram, as ``_read`` gives it."""
-    hashes, _, first, _, _ = _read([g.removesuffix(EDGE) for g in grams])
-    return hashes[np.unique(first) + np.array([len(g) - 1 for g in grams])]
 
+def _told(sizes: np.ndarray) -> np.ndarray:
+    """Places of all letters that are told, in texts of these sizes one after the other."""
+    told = np.ones(int(sizes.sum()), bool)
+    starts = (np.cumsum(sizes) - sizes)[sizes > 0]
+    for k in range(ORDER - 1):
+        told[starts + k] = False
+    return np.flatnonzero(told)
 
-def _powers(base: int, count: int) -> np.ndarray:
-    steps = np.full(count, base, np.uint64)
-    steps[:1] = 1
-    return np.cumprod(steps, dtype=np.uint64)
+
+def _hashes(points: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Hash of the ``ORDER`` letters that end at each place of ``last``."""
+    total = np.full(len(last), ORDER, np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(ORDER - 1, -1, -1):
+            total = total * _BASE + points[last - k]
+        return splitmix(total)
 
 
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         toxic = batch.column(1).to_numpy(zero_copy_only=False)
         for label in (0, 1):
-            texts = batch.column(0).filter(pa.array(toxic == label))
-            for piece in pieces(texts):
-                words = [w for text in piece for w in (text or "").lower().split()]
-                if not words:
+            for piece in pieces(batch.column(0).filter(pa.array(toxic == label))):
+                joined = _joined(piece)
+                text = "".join(joined)
+                last = _told(np.fromiter(map(len, joined), np.int64, len(joined)))
+                if not len(last):
                     continue
-                hashes, windows, first, last, text = _read(words)
-                told = np.flatnonzero(last - first < LETTERS)
-                _, one, counts = np.unique(hashes[told], return_index=True, return_counts=True)
-                one = told[one]
-                grams = [text[a : b + 1] for a, b in zip(first[one].tolist(), last[one].tolist())]
-                told = np.flatnonzero(last - first >= ORDER - 1)
-                _, one, more = np.unique(windows[told], return_index=True, return_counts=True)
-                grams += [MARK + text[b - ORDER + 1 : b + 1] for b in last[told[one]].tolist()]
-                counts = np.concatenate([counts, more])
+                _, one, counts = np.unique(_hashes(_points(text), last), return_index=True, return_counts=True)
+                grams = [text[b - ORDER + 1 : b + 1] for b in last[one].tolist()]
                 zero = np.zeros(len(counts), np.int64)
                 pair = (counts, zero) if label else (zero, counts)
                 yield pa.RecordBatch.from_arrays(
@@ -110,376 +97,208 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def gram_counts(rows: DataFrame) -> DataFrame:
-    """``gram`` (a word's beginning, or ``MARK`` and a window), ``toxic``, ``ordinary``: counts over all texts of ``rows``."""
+    """``gram`` (``ORDER`` letters), ``toxic``, ``ordinary``: counts over all letters of all texts of ``rows``."""
     found = rows.select("text", F.col("toxic").cast("int")).mapInArrow(
         _count_batches, "gram string, toxic bigint, ordinary bigint"
     )
     return found.groupBy("gram").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
 
 
-def least_count(rows: DataFrame, count: str, limit: int) -> int:
-    """The least value of ``count`` that leaves at most ``limit`` rows."""
-    level = F.least(F.col(count), F.lit(1_000_000))
-    histogram = rows.groupBy(level.alias("n")).agg(F.count("*").alias("rows")).orderBy(F.desc("n"))
-    total, least = 0, 1_000_001
-    for n, held in histogram.collect():
-        total += held
-        if total > limit:
-            break
-        least = n
-    return least if least <= 1_000_000 else 1 << 62
-
-
-@dataclass
-class ToxicModel:
-    """Log ratio of the two models for the last letter of every kept beginning, by sorted hash."""
-
-    hashes: np.ndarray
-    ratios: np.ndarray
-    known: dict[str, tuple[float, float]] = field(default_factory=dict)
+def cuts(numbers: list[int]) -> list[float]:
+    """Discounts of counts 1, 2 and above, from how many counts are 1, 2, 3 and 4."""
+    n = [max(1, x) for x in numbers]
+    share = n[0] / (n[0] + 2 * n[1])
+    each = [k - (k + 1) * share * n[k] / n[k - 1] for k in (1, 2, 3)]
+    return [min(max(0.1, d), k - 0.05) for k, d in enumerate(each, 1)]
 
-    @classmethod
-    def fit(cls, grams: list[str], toxic: np.ndarray, ordinary: np.ndarray) -> ToxicModel:
-        if not len(grams):
-            return cls(np.zeros(0, np.uint64), np.zeros(0))
-        lead = EDGE * (ORDER - 1)
-        ends = np.array([(lead + g)[-ORDER:] for g in grams], f"<U{ORDER}")
-        shared = _shared(ends.view(np.uint32).reshape(-1, ORDER))
-        context = np.unique(np.array([g[:-1] for g in grams], f"<U{LETTERS}"), return_inverse=True)[1]
-        ratio = np.zeros(len(grams))
-        for sign, counts in ((1, toxic.astype(float)), (-1, ordinary.astype(float))):
-            cut = _discount(counts)
-            total = np.bincount(context, counts)[context]
-            kinds = np.bincount(context, counts > 0)[context]
-            seen = total > 0
-            own = np.divide(np.maximum(counts - cut, 0), total, out=np.zeros(len(grams)), where=seen)
-            rest = np.divide(cut * kinds, total, out=np.ones(len(grams)), where=seen)
-            ratio += sign * np.log(own + rest * shared)
-        hashes = _hashes(grams)
-        order = np.argsort(hashes)
-        return cls(hashes[order], ratio[order])
 
-    def find(self, hashes: np.ndarray) -> np.ndarray:
-        """The ratio of each hash, NaN if it is not held."""
-        if not len(self.hashes):
-            return np.full(len(hashes), np.nan)
-        where = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return np.where(self.hashes[where] == hashes, self.ratios[where], np.nan)
+def _numbers(rows: DataFrame, column: str) -> list[int]:
+    return list(rows.agg(*[F.count_if(F.col(column) == k) for k in (1, 2, 3, 4)]).first())
 
-    def words(self, words: list[str]) -> np.ndarray:
-        """Log-likelihood ratio of each word.
 
-        A letter that no class has seen in its context counts as neutral:
-        both models back off to one shared count there, and their weights tell
-        no more than how much text each was trained on.
-        """
-        return self.told(words)[0]
+def _discount(count: Column, cut: list[float]) -> Column:
+    return F.when(count == 0, 0.0).when(count == 1, cut[0]).when(count == 2, cut[1]).otherwise(cut[2])
 
-    def told(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Log-likelihood ratio of each word, and the highest of any ``LETTERS`` letters in a row of it.
 
-        In a run of more than ``LETTERS`` letters, a letter whose beginning
-        is not known or not counted is told by its window.
-        """
-        hashes, windows, first, last, _ = _read(words)
-        at, starts = last - first, np.unique(first)
-        sizes = np.diff(np.append(starts, len(first)))
-        ratio = np.full(len(first), np.nan)
-        near = at < LETTERS
-        ratio[near] = self.find(hashes[near])
-        far = np.repeat(sizes > LETTERS, sizes) & (at >= ORDER - 1) & np.isnan(ratio)
-        ratio[far] = self.find(windows[far])
-        ratio = np.nan_to_num(ratio, nan=NEUTRAL)
-        total = np.add.reduceat(ratio, starts)
-        sums = np.concatenate([[0.0], np.cumsum(ratio)])
-        stretch = sums[1:] - sums[np.maximum(first, last - LETTERS + 1)]
-        return total, np.where(sizes > LETTERS, np.maximum.reduceat(stretch, starts), total)
-
-
-def _rows(points: np.ndarray) -> np.ndarray:
-    """A number for each distinct row."""
-    held = np.ascontiguousarray(points).view(f"V{4 * points.shape[1]}").ravel()
-    return np.unique(held, return_inverse=True)[1]
-
-
-def _discount(counts: np.ndarray) -> float:
-    return _cut(int((counts == 1).sum()), int((counts == 2).sum()))
-
-
-def _cut(once: int, twice: int) -> float:
-    return min(0.95, max(0.1, once / (once + 2 * twice))) if once and twice else 0.75
-
-
-def _shared(points: np.ndarray) -> np.ndarray:
-    """Kneser-Ney probability of each gram's last letter after its shorter contexts, from both classes."""
-    alphabet = len(np.unique(points[:, -1])) + 1
-    probability = np.full(len(points), 1 / alphabet)
-    for size in range(1, ORDER):
-        suffix = _rows(points[:, ORDER - size :])
-        longer = _rows(points[:, ORDER - size - 1 :])
-        _, first = np.unique(longer, return_index=True)
-        continued = np.bincount(suffix[first])  # distinct letters before each suffix
-        _, one = np.unique(suffix, return_index=True)
-        context = _rows(points[:, ORDER - size : ORDER - 1]) if size > 1 else np.zeros(len(points), np.int64)
-        cut = _discount(continued)
-        total = np.bincount(context[one], continued[suffix[one]])[context]
-        kinds = np.bincount(context[one])[context]
-        probability = np.maximum(continued[suffix] - cut, 0) / total + cut * kinds / total * probability
-    return probability
-
-
-def _discounts(rows: DataFrame, columns: list[str]) -> list[float]:
-    seen = rows.agg(*[F.count_if(F.col(c) == k) for c in columns for k in (1, 2)]).first()
-    return [_cut(seen[2 * k], seen[2 * k + 1]) for k in range(len(columns))]
-
-
-def _shared_table(ends: DataFrame) -> DataFrame:
-    """``_shared`` over distinct ends: ``suffix`` of ``ORDER - 1`` letters, ``shared``."""
+def _shared_table(grams: DataFrame) -> DataFrame:
+    """Kneser-Ney probability of a letter after shorter contexts, of both classes: ``suffix`` of ``ORDER - 1`` letters, ``shared``."""
     below = None
-    alphabet = ends.select(F.right("end", F.lit(1))).distinct().count() + 1
+    alphabet = grams.select(F.right("gram", F.lit(1))).distinct().count() + 1
     for size in range(1, ORDER):
-        longer = ends.select(F.right("end", F.lit(size + 1)).alias("longer")).distinct()
+        longer = grams.select(F.right("gram", F.lit(size + 1)).alias("longer")).distinct()
         rows = staged(
             longer.groupBy(F.right("longer", F.lit(size)).alias("suffix")).agg(F.count("*").alias("continued")),
             "suffixes",
         )
-        cut = _discounts(rows, ["continued"])[0]
-        rows = rows.withColumn("context", F.left("suffix", F.lit(size - 1)))
-        totals = rows.groupBy("context").agg(F.sum("continued").alias("total"), F.count("*").alias("kinds"))
+        cut = _discount(F.col("continued"), cuts(_numbers(rows, "continued")))
+        rows = rows.withColumns({"context": F.left("suffix", F.lit(size - 1)), "cut": cut})
+        totals = rows.groupBy("context").agg(F.sum("continued").alias("total"), F.sum("cut").alias("kept"))
         rows = rows.join(totals, "context")
         if below is None:
             rows = rows.withColumn("below", F.lit(1 / alphabet))
         else:
             lower = below.select(F.col("suffix").alias("lower"), F.col("shared").alias("below"))
             rows = rows.join(lower, F.right("suffix", F.lit(size - 1)) == F.col("lower"))
-        own = F.greatest(F.col("continued") - F.lit(cut), F.lit(0.0)) / F.col("total")
-        shared = own + F.lit(cut) * F.col("kinds") / F.col("total") * F.col("below")
+        shared = (F.col("continued") - F.col("cut") + F.col("kept") * F.col("below")) / F.col("total")
         below = staged(rows.select("suffix", shared.alias("shared")), "shared")
     return below
 
 
-def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        if batch.num_rows:
-            hashes = pa.array(_hashes(batch.column(0).to_pylist()).view(np.int64))
-            yield pa.RecordBatch.from_arrays([hashes, batch.column(1), batch.column(2)], names=["gram", "n", "ratio"])
-
-
 def ratios(counts: DataFrame) -> DataFrame:
-    """``ToxicModel.fit`` in Spark, for counts of any number: ``gram`` (its hash), ``n`` (its count), ``ratio``."""
-    rows = counts.withColumn("end", F.right(F.concat(F.lit(EDGE * (ORDER - 1)), "gram"), F.lit(ORDER)))
-    shared = _shared_table(staged(rows.select("end").distinct(), "ends"))
-    cuts = dict(zip(("toxic", "ordinary"), _discounts(counts, ["toxic", "ordinary"])))
-    rows = rows.withColumn("suffix", F.right("end", F.lit(ORDER - 1))).join(shared, "suffix")
-    rows = rows.withColumn("context", F.left("gram", F.length("gram") - 1))
+    """``gram``, ``ratio``: log ratio of the two models for the last letter of every counted gram."""
+    rows = counts.withColumns({"suffix": F.right("gram", F.lit(ORDER - 1)), "context": F.left("gram", F.lit(ORDER - 1))})
+    names = ("toxic", "ordinary")
+    rows = rows.withColumns({f"{c}_cut": _discount(F.col(c), cuts(_numbers(counts, c))) for c in names})
     totals = rows.groupBy("context").agg(
-        *[F.sum(c).alias(f"{c}_total") for c in cuts], *[F.count_if(F.col(c) > 0).alias(f"{c}_kinds") for c in cuts]
+        *[F.sum(c).alias(f"{c}_total") for c in names], *[F.sum(f"{c}_cut").alias(f"{c}_kept") for c in names]
     )
-    rows, ratio = rows.join(totals, "context"), F.lit(0.0)
-    for name, sign in (("toxic", 1.0), ("ordinary", -1.0)):
-        total, cut = F.col(f"{name}_total"), F.lit(cuts[name])
-        told = F.greatest(F.col(name) - cut, F.lit(0.0)) / total + cut * F.col(f"{name}_kinds") / total * F.col("shared")
-        ratio = ratio + F.lit(sign) * F.log(F.when(total > 0, told).otherwise(F.col("shared")))
-    found = rows.select("gram", (F.col("toxic") + F.col("ordinary")).alias("n"), ratio.alias("ratio"))
-    return staged(found.mapInArrow(_hashed, "gram bigint, n bigint, ratio double"), "ratios")
+    rows, ratio = rows.join(_shared_table(counts), "suffix").join(totals, "context"), F.lit(0.0)
+    for name, sign in zip(names, (1.0, -1.0)):
+        total, own = F.col(f"{name}_total"), F.col(name) - F.col(f"{name}_cut")
+        told = F.when(total > 0, (own + F.col(f"{name}_kept") * F.col("shared")) / total).otherwise(F.col("shared"))
+        ratio = ratio + F.lit(sign) * F.log(told)
+    return staged(rows.select("gram", ratio.alias("ratio")), "ratios")
+
+
+FEATURES = ["average", "most", "second", "third", "fifth", "size"]
+_BEST = {"most": 1, "second": 2, "third": 3, "fifth": 5}
 
 
-def _word_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+@dataclass
+class ToxicModel:
+    """Log ratios of counted grams by sorted hash."""
+
+    hashes: np.ndarray
+    ratios: np.ndarray
+
+    @classmethod
+    def of(cls, found: DataFrame) -> ToxicModel:
+        """From the hashes of ``ratios``, which are all collected."""
+        table = found.mapInArrow(_hashed, "hash bigint, ratio double").toArrow()
+        hashes = table["hash"].to_numpy().view(np.uint64)
+        order = np.argsort(hashes)
+        return cls(hashes[order], table["ratio"].to_numpy()[order])
+
+    def letters(self, points: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """The log ratio of each letter at ``last``."""
+        if not len(self.hashes):
+            return np.zeros(len(last))
+        hashes, back = np.unique(_hashes(points, last), return_inverse=True)
+        where = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.where(self.hashes[where] == hashes, self.ratios[where], 0.0)[back]
+
+    def measures(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Per text the ``FEATURES``: average by letter, highest stretches, not below 0, and log of their number."""
+        joined = _joined(texts)
+        sizes = np.fromiter(map(len, joined), np.int64, len(joined))
+        average, size = np.zeros(len(texts)), np.zeros(len(texts))
+        best = {rank: np.zeros(len(texts)) for rank in _BEST.values()}
+        last = _told(sizes)
+        if len(last):
+            points = _points("".join(joined))
+            ratio = self.letters(points, last)
+            owner = np.repeat(np.arange(len(texts)), np.maximum(sizes - ORDER + 1, 0))
+            begin = _stretches(points, last)
+            average += np.bincount(owner, ratio, len(texts)) / np.maximum(np.bincount(owner, minlength=len(texts)), 1)
+            total, of = np.add.reduceat(ratio, begin), owner[begin]
+            size += np.log1p(np.bincount(of, minlength=len(texts)))
+            order = np.lexsort((total, of))
+            total, of = np.maximum(total[order], 0.0), of[order]
+            ends = np.flatnonzero(np.append(of[1:] != of[:-1], True))
+            for rank, held in best.items():
+                at = ends - rank + 1
+                more = (at >= 0) & (of[at] == of[ends])
+                held[of[ends[more]]] = total[at[more]]
+        return [average, *best.values(), size]
+
+
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for piece in pieces(batch.column(0)):
-            found = Counter(w for text in piece for w in (text or "").lower().split())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], names=["word", "n"]
-            )
+        points = _points("".join(batch.column(0).to_pylist()))
+        hashes = _hashes(points, np.arange(ORDER - 1, len(points), ORDER))
+        yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), batch.column(1)], names=["hash", "ratio"])
 
 
-PARTS = "word bigint, n bigint, long boolean, at int, kind int, gram bigint, ratio double"
-_PLACE = 2  # kind of a row that stands for a letter of a long run, after beginnings (0) and windows (1)
+def _stretches(points: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Where stretches begin among the letters at ``last``."""
+    edge = points[last] == ord(EDGE)
+    at = np.arange(len(last))
+    word = np.maximum.accumulate(np.where(np.append(True, edge[:-1]), at, 0))
+    return np.flatnonzero((at - word) % LETTERS == 0)
 
 
-def _part_batches(shared):
-    """Per word what the broadcast tells of it, and a row for each letter that it does not.
+def _stretch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per row its stretches, each with the letters before it, and their numbers."""
+    for batch in batches:
+        done = 0
+        for piece in pieces(batch.column(1)):
+            rows = []
+            for text in _joined(piece):
+                last = _told(np.array([len(text)]))
+                if not len(last):
+                    rows.append((0, []))
+                    continue
+                begin = (_stretches(_points(text), last) + ORDER - 1).tolist()
+                found = Counter(text[a - ORDER + 1 : z] for a, z in zip(begin, [*begin[1:], len(text)]))
+                rows.append((len(last), [{"stretch": s, "n": n} for s, n in found.items()]))
+            letters, held = zip(*rows)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0)[done : done + len(piece)],
+                    pa.array(letters, pa.int64()),
+                    pa.array(held, pa.list_(pa.struct([("stretch", pa.string()), ("n", pa.int64())]))),
+                ],
+                names=["id", "letters", "held"],
+            )
+            done += len(piece)
 
-    A word's known letters are one sum. A long run gives each letter's
-    beginning and window, told or not, and a place for the letter itself.
-    """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        for batch in batches:
-            counts = batch.column(1).to_numpy()
-            done = 0
-            for words in pieces(batch.column(0)):
-                hashes, windows, first, last, _ = _read(words)
-                at, starts = last - first, np.unique(first)
-                sizes = np.diff(np.append(starts, len(first)))
-                of = np.repeat(np.arange(len(words)), sizes)
-                long = sizes[of] > LETTERS
-                near, far = np.flatnonzero(at < LETTERS), np.flatnonzero(long & (at >= ORDER - 1))
-                place = np.flatnonzero(long)
-                ratio = np.full(len(first), np.nan)
-                ratio[near] = model.find(hashes[near])
-                known = np.add.reduceat(np.nan_to_num(ratio), starts)
-                head = np.flatnonzero(sizes <= LETTERS)
-                open_ = near[long[near] | np.isnan(ratio[near])]
-                rows = [  # letter, kind, gram, ratio
-                    (starts[head], -1, None, known[head]),
-                    (place, _PLACE, None, np.full(len(place), NEUTRAL)),
-                    (open_, 0, hashes[open_], ratio[open_]),
-                    (far, 1, windows[far], model.find(windows[far])),
-                ]
-                names = hashes[np.append(starts[1:], len(first)) - 1].view(np.int64)
-                for where, kind, gram, told in rows:
-                    grams = np.zeros(len(where), np.int64) if gram is None else gram.view(np.int64)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(names[of[where]]),
-                            pa.array(counts[done + of[where]]),
-                            pa.array(long[where]),
-                            pa.array(at[where].astype(np.int32)),
-                            pa.array(np.full(len(where), kind, np.int32)),
-                            pa.array(grams, mask=~np.isnan(told)),
-                            pa.array(told, mask=np.isnan(told)),
-                        ],
-                        names=[c.split()[0] for c in PARTS.split(", ")],
-                    )
-                done += len(words)
-
-    return run
-
-
-def word_ratios(texts: DataFrame, found: DataFrame, limit: int) -> DataFrame:
-    """Per distinct word of ``texts``: its hash, ``n``, ``total`` and ``top``, as ``ToxicModel.told`` has them."""
-    least = least_count(found, "n", limit)
-    common = found.where(F.col("n") >= least).select("gram", "ratio").toArrow().sort_by("gram")
-    model = ToxicModel(*_sorted(common))
-    shared = texts.sparkSession.sparkContext.broadcast(model)
-    words = texts.mapInArrow(_word_batches, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    parts = staged(words.mapInArrow(_part_batches(shared), PARTS), "parts")
-    rest = found.where(F.col("n") < least).select("gram", F.col("ratio").alias("rare"))
-    joined = parts.where(F.col("gram").isNotNull()).drop("ratio").join(rest, "gram")
-    joined = joined.select("word", "n", "long", "at", "kind", F.col("rare").alias("ratio"))
-    told = parts.where(F.col("gram").isNull()).drop("gram").unionByName(joined)
-    short = told.where(~F.col("long")).groupBy("word").agg(F.max("n").alias("n"), F.sum("ratio").alias("total"))
-    letters = told.where("long").groupBy("word", "at").agg(F.max("n").alias("n"), F.min_by("ratio", "kind").alias("ratio"))
-    stretch = Window.partitionBy("word").orderBy("at").rowsBetween(1 - LETTERS, 0)
-    long = letters.withColumn("stretch", F.sum("ratio").over(stretch)).groupBy("word").agg(
-        F.max("n").alias("n"), F.sum("ratio").alias("total"), F.max("stretch").alias("top")
-    )
-    return staged(short.withColumn("top", F.col("total")).unionByName(long), "words")
-
-
-def _sorted(table: pa.Table) -> tuple[np.ndarray, ...]:
-    """Columns by the first one as unsigned hash."""
-    columns = [c.to_numpy() for c in table.columns]
-    order = np.argsort(columns[0].view(np.uint64))
-    return (columns[0].view(np.uint64)[order], *(c[order] for c in columns[1:]))
-
-
-TOLD = "id {id}, row bigint, words bigint, letters bigint, total double, most double, second double, rare array<struct<word:bigint,n:bigint>>"
-_RARE = pa.list_(pa.struct([("word", pa.int64()), ("n", pa.int64())]))
-
-
-def _text_batches(shared):
-    """Per text what the broadcast words tell of it, and its other words."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, totals, tops = shared.value
-        row = TaskContext.get().partitionId() << 40
-        for batch in batches:
-            done = 0
-            for piece in pieces(batch.column(1)):
-                split = [Counter((t or "").lower().split()) for t in piece]
-                distinct = list({w for found in split for w in found})
-                at = {w: k for k, w in enumerate(distinct)}
-                own = np.zeros(0, np.uint64)
-                if distinct:
-                    every, _, first, _, _ = _read(distinct)
-                    own = every[np.append(np.unique(first)[1:], len(first)) - 1]
-                where = np.minimum(np.searchsorted(hashes, own), max(0, len(hashes) - 1))
-                known = hashes[where] == own if len(hashes) else np.zeros(len(own), bool)
-                rows = []
-                for found in split:
-                    ids = np.fromiter((at[w] for w in found), np.int64, len(found))
-                    n = np.fromiter(found.values(), np.int64, len(found))
-                    held = known[ids]
-                    told = where[ids[held]]
-                    best = np.sort(np.maximum(tops[told], 0.0))[-2:].tolist()[::-1] + [0.0, 0.0]
-                    rare = zip(own[ids[~held]].view(np.int64).tolist(), n[~held].tolist())
-                    rows.append((
-                        row, int(n.sum()), sum(len(w) * k for w, k in found.items()) + int(n.sum()),
-                        float((totals[told] * n[held]).sum()), best[0], best[1],
-                        [{"word": w, "n": k} for w, k in rare],
-                    ))
-                    row += 1
-                types = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), _RARE)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[done : done + len(piece)], *(pa.array(c, t) for c, t in zip(zip(*rows), types))],
-                    names=["id", "row", "words", "letters", "total", "most", "second", "rare"],
-                )
-                done += len(piece)
+HELD = "id {id}, letters bigint, held array<struct<stretch:string,n:bigint>>"
 
-    return run
 
+def joined_measures(body: DataFrame, found: DataFrame) -> DataFrame:
+    """``id`` and the ``measures`` of every row of ``body`` (id, text), for ratios of any number.
 
-def joined_measures(body: DataFrame, counts: DataFrame, limit: int) -> DataFrame:
-    """``id`` and the ``measures`` of every row of ``body`` (id, text), for counts of any number."""
+    Distinct stretches are told by joins of their letters with the ratios;
+    rows of a text meet them by stretch.
+    """
     body = body.select("id", F.col("text").cast("string").alias("text"))
-    words = word_ratios(body.select("text"), ratios(counts), limit)
-    least = least_count(words, "n", limit)
-    common = words.where(F.col("n") >= least).select("word", "total", "top").toArrow()
-    shared = body.sparkSession.sparkContext.broadcast(_sorted(common))
-    told = body.mapInArrow(_text_batches(shared), TOLD.format(id=body.schema["id"].dataType.simpleString()))
-    told = staged(told, "told")
-    rest = words.where(F.col("n") < least).select("word", F.col("total").alias("one"), "top")
-    rare = told.select("row", F.explode("rare").alias("x")).select("row", "x.word", "x.n").join(rest, "word")
-    rare = rare.groupBy("row").agg(
-        F.sum(F.col("n") * F.col("one")).alias("more"),
-        F.slice(F.sort_array(F.collect_list(F.when(F.col("top") > 0, F.col("top"))), False), 1, 2).alias("tops"),
+    held = body.mapInArrow(_stretch_batches, HELD.format(id=body.schema["id"].dataType.simpleString()))
+    held = staged(held.withColumn("row", F.monotonically_increasing_id()), "held")
+    each = held.select("row", F.explode("held").alias("x")).select("row", "x.stretch", "x.n")
+    places = F.sequence(F.lit(1), F.length("stretch") - F.lit(ORDER - 1))
+    grams = F.transform(places, lambda at: F.substr("stretch", at, F.lit(ORDER)))
+    letters = each.select("stretch").distinct().select("stretch", F.explode(grams).alias("gram"))
+    told = letters.join(found, "gram", "left").groupBy("stretch")
+    told = staged(told.agg(F.coalesce(F.sum("ratio"), F.lit(0.0)).alias("total")), "stretches")
+    most = F.lit(max(_BEST.values()))
+    best = F.when(F.col("total") > 0, F.array_repeat("total", F.least("n", most).cast("int")))
+    sums = each.join(told, "stretch").groupBy("row").agg(
+        F.sum(F.col("n") * F.col("total")).alias("total"),
+        F.sum("n").alias("n"),
+        F.sort_array(F.flatten(F.collect_list(best)), False).alias("best"),
     )
-    best = F.sort_array(F.concat(F.array("most", "second"), F.coalesce("tops", F.array().cast("array<double>"))), False)
-    total = F.col("total") + F.coalesce("more", F.lit(0.0))
-    return told.drop("rare").join(rare, "row", "left").select(
-        "id",
-        "words",
-        F.when(F.col("letters") > 0, total / F.col("letters")).otherwise(0.0).alias("average"),
-        best[0].alias("most"),
-        best[1].alias("second"),
+    own = {
+        "average": F.col("total") / F.col("letters"),
+        **{name: F.get("best", F.lit(rank - 1)) for name, rank in _BEST.items()},
+        "size": F.log1p("n"),
+    }
+    return held.drop("held").join(sums, "row", "left").select(
+        "id", *[F.coalesce(c, F.lit(0.0)).alias(name) for name, c in own.items()]
     )
 
 
-MEASURES = "struct<words:bigint,average:double,most:double,second:double>"
-_MEASURES = pa.struct(
-    [("words", pa.int64()), ("average", pa.float64()), ("most", pa.float64()), ("second", pa.float64())]
-)
+MEASURES = f"struct<{','.join(f'{f}:double' for f in FEATURES)}>"
 
 
 def measures(text: Column, shared) -> Column:
-    """Per text: words, log ratio by letter, and the two highest log ratios of distinct words."""
+    """Per text the ``FEATURES``, from a broadcast model."""
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        model = shared.value
-        cache = model.known  # lives as long as the worker holds the broadcast
         for texts in batches:
-            rows = []
-            for piece in pieces(texts):
-                split = [(t or "").lower().split() for t in piece]
-                fresh = [w for w in {w for words in split for w in words} if w not in cache]
-                if len(cache) + len(fresh) > KEPT_WORDS:
-                    cache.clear()
-                    fresh = list({w for words in split for w in words})
-                if fresh:
-                    cache.update(zip(fresh, zip(*(x.tolist() for x in model.told(fresh)))))
-                for words in split:
-                    found = [cache[w][0] for w in words]
-                    letters = sum(map(len, words)) + len(words)
-                    top = sorted({w: cache[w][1] for w in words}.values())[-2:] if words else []
-                    most = max(top[-1], 0.0) if top else 0.0
-                    second = max(top[0], 0.0) if len(top) > 1 else 0.0
-                    rows.append((len(words), sum(found) / letters if words else 0.0, most, second))
-            yield pa.StructArray.from_arrays(
-                [pa.array([r[k] for r in rows], t.type) for k, t in enumerate(_MEASURES)], fields=list(_MEASURES)
-            )
+            parts = [shared.value.measures(piece) for piece in pieces(texts)]
+            columns = [np.concatenate(c) for c in zip(*parts)] or [np.zeros(0)] * len(FEATURES)
+            yield pa.StructArray.from_arrays([pa.array(c, pa.float64()) for c in columns], names=FEATURES)
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(run, MEASURES)(text.cast("string"))
@@ -503,9 +322,6 @@ def calibrate(features: np.ndarray, labels: np.ndarray, ridge: float = 1.0) -> n
     return np.append(scale, w[-1] - (scale * mean).sum())
 
 
-FEATURES = ["average", "most", "second"]
-
-
 def toxicity(
     docs: DataFrame,
     labels: DataFrame,
@@ -539,20 +355,19 @@ def toxicity(
     if counted.count() <= BROADCAST_LABELS:  # else the texts are shuffled by key
         counted = F.broadcast(counted)
     counts = staged(gram_counts(body.join(counted, "id").select("text", "toxic")), "grams")
-    if counts.count() > max_grams:
-        told = staged(joined_measures(body, counts, max_grams), "measures")
+    if counts.isEmpty():
+        told = body.select("id", *[F.lit(0.0).alias(f) for f in FEATURES])
     else:
-        table = counts.toArrow().sort_by("gram")
-        grams = table["gram"].to_pylist()
-        toxic, ordinary = (table[n].to_numpy() for n in ("toxic", "ordinary"))
-        shared = spark.sparkContext.broadcast(ToxicModel.fit(grams, toxic, ordinary))
-        told = body.select("id", measures(F.col("text"), shared).alias("m")) if grams else None
-        if told is None:
-            told = body.select("id", F.struct(*[F.lit(0.0).alias(f) for f in FEATURES]).alias("m"))
-        told = staged(told.select("id", "m.*"), "measures")
+        found = ratios(counts)
+        if found.count() > max_grams:
+            told = joined_measures(body, found)
+        else:
+            shared = spark.sparkContext.broadcast(ToxicModel.of(found))
+            told = body.select("id", measures(F.col("text"), shared).alias("m")).select("id", "m.*")
+    told = staged(told, "measures")
     checked = told.join(known.where(apart), "id").select("id", *FEATURES, "toxic")
-    share = calibration_rows / max(1, known.where(apart).count())
-    chosen = F.pmod(F.xxhash64(F.lit("calibration"), F.col("id")), F.lit(1_000_000)) < int(share * 1_000_000)
+    below = drawn_below(calibration_rows, max(1, known.where(apart).count()))
+    chosen = F.pmod(F.xxhash64(F.lit("calibration"), F.col("id")), F.lit(DRAWS)) < below
     rows = checked.where(chosen).select(*FEATURES, "toxic").orderBy(*FEATURES, "toxic").toPandas()
     *weights, constant = calibrate(
         rows[FEATURES].to_numpy(float).reshape(-1, len(FEATURES)), rows["toxic"].to_numpy(float)
