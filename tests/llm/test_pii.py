@@ -134,3 +134,19 @@ def test_smallest_table_is_clean_and_returns(spark):
         assert mails <= values
     again = got.select("doc_id", pii.pseudonyms(got["text"], KEY, back=True)["text"].alias("text"))
     assert dict(again.collect()) == old
+
+
+def test_spans_met_are_those_that_overlap():
+    rng = random.Random(3)
+    for _ in range(200):
+        cuts = sorted(rng.sample(range(60), 12))
+        taken = [(a, z, "x", "") for a, z in zip(cuts[::2], cuts[1::2])]
+        begin, end = sorted(rng.sample(range(60), 2))
+        match = re.compile("." * (end - begin)).match("y" * 60, begin)
+        assert pii._inside(taken, match) == [t for t in taken if t[0] < end and begin < t[1]]
+
+
+def test_many_values_in_one_text():
+    text = " ".join(f"user{k}@example{k % 7}.com 2024-05-{1 + k % 28:02d}" for k in range(5000))
+    new, spans = pii.Pseudonymiser(KEY).replace(text)
+    assert len(spans) == 10_000 and pii.Pseudonymiser(KEY, back=True).replace(new)[0] == text

@@ -363,9 +363,15 @@ FORMS: list[tuple[str, Callable[[str], object], re.Pattern, Callable]] = [
 ]
 
 
+def _inside(taken: list[tuple], match: re.Match) -> list[tuple]:
+    """The spans of ``taken``, which is sorted and without overlaps, that a match meets."""
+    begin, end = bisect_left(taken, (match.start(),)), bisect_left(taken, (match.end(),))
+    return taken[begin - (begin > 0 and taken[begin - 1][1] > match.start()) : end]
+
+
 def _free_groups(text: str, run: re.Match, taken: list[tuple]) -> Iterator[list[tuple[int, int]]]:
     """Digit groups of a run, parted where something else was found."""
-    inside = sorted((a, z) for a, z, *_ in taken if a < run.end() and run.start() < z)
+    inside = [(a, z) for a, z, *_ in _inside(taken, run)]
     groups: list[tuple[int, int]] = []
     for match in _GROUP.finditer(text, *run.span()):
         at = bisect_left(inside, (match.end(),))  # found spans do not overlap
@@ -385,21 +391,23 @@ class Pseudonymiser:
 
     def replace(self, text: str) -> tuple[str, list[tuple[str, int, int]]]:
         """The new text, and kind, start and end of what was replaced in the given one."""
-        taken: list[tuple[int, int, str, str]] = []
+        taken: list[tuple[int, int, str, str]] = []  # sorted, without overlaps
         for kind, likely, pattern, permuted in FORMS:
             if not likely(text):
                 continue
+            found: list[tuple[int, int, str, str]] = []  # matches of one form do not overlap
             for match in pattern.finditer(text):
                 if permuted is _cards:
                     for groups in _free_groups(text, match, taken):
-                        taken += [(a, z, kind, new) for a, z, new in _cards(self._permuter, text, groups)]
-                elif not any(a < match.end() and match.start() < z for a, z, _, _ in taken):
+                        found += [(a, z, kind, new) for a, z, new in _cards(self._permuter, text, groups)]
+                elif not _inside(taken, match):
                     new = permuted(self._permuter, match)
                     if new is not None:
-                        taken.append((match.start(), match.end(), kind, new))
+                        found.append((match.start(), match.end(), kind, new))
+            if found:
+                taken = sorted(taken + found)
         if not taken:
             return text, []
-        taken.sort()
         out, at = [], 0
         for start, end, _, new in taken:
             out += [text[at:start], new]
