@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import zlib
 from itertools import combinations
 
 from helpers import SMALL
@@ -77,7 +78,38 @@ def test_mined_rules_equal_counting(spark):
     labelled = pages.join(labels.withColumnRenamed("doc_id", "page_id"), "page_id").dropDuplicates(["page_id"]).select(
         urls.tokens(F.col("url")).alias("items"), (F.col("quality") == 0).alias("bad")
     )
-    mined = [r for r in urls.mine(labelled, confidence=0.8).collect() if r["verdict"] == "block"]
+    mined = [r for r in urls.mine(labelled, confidence=0.8)[0].collect() if r["verdict"] == "block"]
     assert {tuple(r["items"]) for r in mined} == {
         i for i in found if not any(set(j) < set(i) and found[j] >= found[i] - urls.MARGIN for j in found)
     }
+
+
+def test_many_equal_query_names(spark):
+    """Forty names that always occur together are one item, so there are no 2 ** 40 item sets."""
+    names = "&".join(f"q{chr(97 + k // 26)}{chr(97 + k % 26)}=1" for k in range(40))
+    rows = [(k, f"http://site.org/{k}" + (f"?{names}" if k % 6 == 0 else ""), int(k % 6 != 0)) for k in range(360)]
+    rows.append((900, "http://else.org/x?qab=3", None))  # one of the tokens is enough
+    pages = spark.createDataFrame([(k, u) for k, u, _ in rows], "page_id bigint, url string")
+    labels = spark.createDataFrame([(k, q) for k, _, q in rows], "doc_id bigint, quality int")
+    got = {r["page_id"]: r for r in urls.filter_urls(pages, labels, []).collect()}
+    assert {k for k, r in got.items() if r["verdict"] == "block"} == {k for k, _, q in rows if q == 0} | {900}
+    assert {r["mined"] for r in got.values() if r["verdict"] == "block"} == {"query:qaa"}
+
+
+def test_rare_label_on_pages_kept_out(spark):
+    """Bad pages are a seventh, and no host is bad for sure; labels of a fifth of the pages are not given."""
+    rows = []
+    for k in range(3000):
+        draw = zlib.crc32(f"draw {k}".encode()) / 2**32
+        spam = k % 9 == 0
+        bad = draw < (0.55 if spam else 0.1)
+        host = "pills" if spam else ("news", "blog", "shop")[k % 3]
+        rows.append((k, f"https://{host}.site{k % 7}.org/{'ab'[k % 2]}/{k}", int(not bad)))
+    kept_out = [r for r in rows if r[0] % 5 == 3]
+    pages = spark.createDataFrame([(k, u) for k, u, _ in rows], "page_id bigint, url string")
+    labels = spark.createDataFrame([(k, q) for k, _, q in rows if k % 5 != 3], "doc_id bigint, quality int")
+    got = {r["page_id"]: r["verdict"] for r in urls.filter_urls(pages, labels, []).collect()}
+    assert all((got[k] == "block") == ("pills" in u) for k, u, _ in kept_out)
+    # labels that have nothing to do with the urls give no rule to block by
+    noise = spark.createDataFrame([(k, int(zlib.crc32(f"n {k}".encode()) % 7 != 0)) for k, _, _ in rows], "doc_id bigint, quality int")
+    assert {r["verdict"] for r in urls.filter_urls(pages, noise, []).collect()} == {"allow"}

@@ -1,9 +1,9 @@
 """URL filter from association rules.
 
 Spark's FP-growth finds combinations of URL tokens that go with bad or good
-labels. Rules are kept if they are frequent and confident enough and say more
-than a shorter rule does; an inverted index from token to rule finds those
-that apply to a URL. Given host and path rules come first. Everything is
+labels. Rules are kept if they are frequent and confident enough, whatever the
+share of the labels, and say more than a shorter rule does; an inverted index
+from a rule's rarest token finds those that apply to a URL. Given host and path rules come first. Everything is
 DataFrame functions and Spark's own FP-growth.
 """
 
@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.text import ascii_lower, staged
 
 SUPPORT = 0.002
-CONFIDENCE = 0.6
+BALANCED = 0.6
+DEVIATIONS = 4.0
 LEAST_PAGES = 20
 MARGIN = 0.02
 BAD, GOOD = "label=bad", "label=good"
@@ -77,41 +78,94 @@ def tokens(url: Column) -> Column:
     )
 
 
-def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame:
-    """``rule``, ``items``, ``verdict``, ``confidence``, ``lift`` from rows (items, bad).
+def token_groups(rows: DataFrame, least: float) -> DataFrame:
+    """``token``, ``group``, ``n``: tokens in at least ``least`` of the ``rows`` (items), and the first token of those in the same rows.
 
-    Token sets must occur in a share ``support`` of the rows, and in at least
-    ``LEAST_PAGES`` of them.
+    Tokens that always occur together are told by their number of rows and two
+    sums of the rows' 64-bit hashes.
+    """
+    ordered = F.array_sort("items")
+    each = rows.select(
+        F.explode("items").alias("token"),
+        F.xxhash64(ordered).cast("decimal(20,0)").alias("a"),
+        F.xxhash64(F.lit(7), ordered).cast("decimal(20,0)").alias("b"),
+    )
+    counted = each.groupBy("token").agg(F.count("*").alias("n"), F.sum("a").alias("a"), F.sum("b").alias("b"))
+    together = counted.where(F.col("n") >= least).groupBy("n", "a", "b").agg(
+        F.min("token").alias("group"), F.collect_list("token").alias("tokens")
+    )
+    return together.select(F.explode("tokens").alias("token"), "group", "n")
+
+
+def balanced_confidence(confidence: Column, lift: Column) -> Column:
+    """Confidence of a rule if both labels were equally frequent, from its confidence and lift."""
+    share = confidence / lift
+    return lift / (lift + (1 - confidence) / (1 - share))
+
+
+def _least_confidence(share: float, balanced: float) -> float:
+    """The confidence that a rule of this balanced confidence has, for a label of this share."""
+    return balanced * share / (balanced * share + (1 - balanced) * (1 - share))
 
-    Rules are dropped if a rule with fewer of the same tokens and the same
-    verdict is at most ``MARGIN`` less confident, or if they are no better
-    than the share of their label in all rows.
+
+def mine(
+    labelled: DataFrame, support: float = SUPPORT, confidence: float | None = None, balanced: float = BALANCED
+) -> tuple[DataFrame, DataFrame]:
+    """Rules and token groups from rows (items, bad).
+
+    Rules: ``rule``, ``items``, ``rarest`` of the items, ``verdict``,
+    ``confidence``. Items are token groups, each named by its first token:
+    tokens that occur in the same rows are one item, else a url of many query
+    names would have as many item sets as these have subsets.
+
+    Token sets must occur in a share ``support`` of the rows, and in at least
+    ``LEAST_PAGES`` of them, with the rule's label. Rules need a class-balanced
+    confidence of ``balanced``, or a plain one of ``confidence`` if that is
+    given; ``confidence`` in the result is the one that was asked for. The
+    share of their label must be ``DEVIATIONS`` standard deviations above its
+    share in all rows. Rules are dropped if a rule with fewer of the same
+    items and the same verdict is at most ``MARGIN`` less confident.
     """
-    rows = labelled.select(
+    rows = staged(labelled.select("items", "bad").withColumn("row", F.monotonically_increasing_id()), "mined")
+    total, share = rows.agg(F.count("*"), F.coalesce(F.avg(F.col("bad").cast("double")), F.lit(0.0))).first()
+    support = max(support, min(1.0, LEAST_PAGES / max(1, total)))
+    groups = staged(token_groups(rows, support * total - 1e-6).where(F.col("n") < total), "groups")
+    tokens_ = rows.select("row", "bad", F.explode_outer("items").alias("token"))
+    grouped = tokens_.join(groups, "token", "left").groupBy("row", "bad").agg(F.collect_set("group").alias("items"))
+    grouped = grouped.select(
         F.array_append("items", F.when(F.col("bad"), F.lit(BAD)).otherwise(F.lit(GOOD))).alias("items")
     )
-    support = max(support, min(1.0, LEAST_PAGES / max(1, rows.count())))
-    found = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(rows).associationRules
-    kept = found.where(F.col("consequent")[0].isin(BAD, GOOD) & (F.col("lift") > 1.05)).where(
-        ~F.arrays_overlap("antecedent", F.array(F.lit(BAD), F.lit(GOOD)))
-    )
-    kept = staged(
-        kept.select(
+    least = confidence
+    if least is None:
+        least = min(_least_confidence(share, balanced), _least_confidence(1 - share, balanced))
+    found = FPGrowth(itemsCol="items", minSupport=support, minConfidence=least).fit(grouped).associationRules
+    plain, lift = F.col("confidence"), F.col("lift")
+    held = F.col("support") * total / plain
+    base = plain / lift
+    sure = plain - base >= DEVIATIONS * F.sqrt(base * (1 - base) / held)
+    measure = balanced_confidence(plain, lift) if confidence is None else plain
+    kept = (
+        found.where(F.col("consequent")[0].isin(BAD, GOOD) & (lift > 1.05))
+        .where(sure & ~F.arrays_overlap("antecedent", F.array(F.lit(BAD), F.lit(GOOD))))
+        .select(
             F.array_sort("antecedent").alias("items"),
             F.when(F.col("consequent")[0] == BAD, "block").otherwise("allow").alias("verdict"),
-            "confidence",
-            "lift",
-        ),
-        "rules",
+            measure.alias("confidence"),
+        )
+        .where(F.col("confidence") >= (balanced if confidence is None else confidence) - 1e-9)
     )
-    # a shorter rule is met at one of the longer rule's tokens
-    parts = kept.select(F.explode("items").alias("token"), "items", "verdict", "confidence")
+    each = kept.select("items", "verdict", "confidence", F.explode("items").alias("group"))
+    sizes = groups.select("group", "n").distinct()
+    rarest = F.min(F.struct("n", "group"))["group"].alias("rarest")
+    kept = staged(each.join(sizes, "group").groupBy("items", "verdict", "confidence").agg(rarest), "rules")
+    # a shorter rule is met at its rarest item
+    parts = kept.select(F.explode("items").alias("at"), "items", "verdict", "confidence")
     short = kept.select(
-        F.col("items")[0].alias("token"), F.col("items").alias("less"),
+        F.col("rarest").alias("at"), F.col("items").alias("less"),
         F.col("verdict").alias("v"), F.col("confidence").alias("c"),
     )
     idle = (
-        parts.join(short, "token")
+        parts.join(short, "at")
         .where(
             (F.col("v") == F.col("verdict"))
             & (F.size("less") < F.size("items"))
@@ -122,24 +176,23 @@ def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONF
         .distinct()
     )
     telling = kept.join(idle, ["items", "verdict"], "left_anti")
-    return telling.withColumn("rule", F.array_join("items", " & "))
+    return staged(telling.withColumn("rule", F.array_join("items", " & ")), "telling"), groups
 
 
-def matches(urls: DataFrame, mined: DataFrame) -> DataFrame:
-    """``url``, ``mined``, ``found``: the most confident rule among those whose tokens a url has.
+def matches(urls: DataFrame, mined: DataFrame, groups: DataFrame) -> DataFrame:
+    """``url``, ``mined``, ``found``: the most confident rule among those whose items a url has.
 
-    The index lists every rule under each of its tokens; a rule applies if a
-    url meets it once for each. Equal confidence goes to block, then by name.
+    A url has an item if it has one of its tokens, as rules that differ in
+    such tokens alone are equal on the labelled rows. The index lists every
+    rule under its rarest item; the other items are looked up in the url's
+    own. Equal confidence goes to block, then by name.
     """
-    index = mined.select(
-        F.explode("items").alias("token"), "rule", "verdict", "confidence", F.size("items").alias("size")
-    )
-    met = urls.select("url", F.explode("items").alias("token")).join(index, "token")
-    whole = (
-        met.groupBy("url", "rule", "verdict", "confidence", "size")
-        .agg(F.count("*").alias("n"))
-        .where(F.col("n") == F.col("size"))
-    )
+    used = groups.join(mined.select(F.explode("items").alias("group")).distinct(), "group", "left_semi")
+    each = urls.select("url", F.explode("items").alias("token")).join(used.select("token", "group"), "token")
+    own = each.groupBy("url").agg(F.collect_set("group").alias("own"))
+    index = mined.select(F.col("rarest").alias("at"), "rule", "verdict", "confidence", "items")
+    met = own.select("url", "own", F.explode("own").alias("at")).join(index, "at")
+    whole = met.where(F.size(F.array_except("items", "own")) == 0)
     best = F.max(F.struct("confidence", "verdict", "rule"))
     return whole.groupBy("url").agg(best.alias("best")).select(
         "url", F.col("best.rule").alias("mined"), F.col("best.verdict").alias("found")
@@ -155,7 +208,8 @@ def filter_urls(
     label_key: str = "doc_id",
     label: str = "quality",
     support: float = SUPPORT,
-    confidence: float = CONFIDENCE,
+    confidence: float | None = None,
+    balanced: float = BALANCED,
 ) -> DataFrame:
     """Per row: key, ``host``, ``path``, ``rule`` (given, or NULL), ``mined`` (or NULL), ``verdict``.
 
@@ -181,7 +235,7 @@ def filter_urls(
     else:
         distinct = rows.select("url").distinct().where(F.col("url").isNotNull())
         urls = distinct.select("url", tokens(F.col("url")).alias("items"))
-        judged = judged.join(matches(urls, mine(labelled, support, confidence)), "url", "left")
+        judged = judged.join(matches(urls, *mine(labelled, support, confidence, balanced)), "url", "left")
     return judged.select(
         F.col("id").alias(key),
         "host",
