@@ -55,6 +55,18 @@ def test_made_documents(frame, hot, bound):
     assert rows_of(got) == plain(rows)
 
 
+@pytest.mark.parametrize("hot", [5_000, 0])
+@pytest.mark.parametrize("bound", [1_000, -1])
+def test_unlike_texts_under_one_key(frame, hot, bound):
+    """A copied text under a key says nothing about another text of that key, which loses its own repeats and is a source."""
+    rng = random.Random(9)
+    one, two, three = (" ".join(f"{p}{rng.randrange(999)}" for _ in range(20)) for p in "abc")
+    rows = [(1, one), (5, one), (5, f"own {two}"), (7, f"{two} end"), (3, f"{three} x"), (5, f"y {three}"), (5, one), (9, None)]
+    got = rows_of(substrings.remove_repeats(frame(rows), hot=hot, hot_anchors=max(bound, 0) * 1000, hot_windows=bound))
+    assert got == plain(rows)
+    assert (7, 21, 20, "end") in got and (5, 21, 20, "y") in got and (5, 21, 0, f"own {two}") in got
+
+
 def test_many_shards(frame, monkeypatch):
     monkeypatch.setattr(substrings, "SHARD_WORDS", 30)
     rows = [(k, "shard bigint " + t.replace(" ", "  ")) for k, t in made(2, 30)]

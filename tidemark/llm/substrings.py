@@ -27,6 +27,7 @@ key.
 4. The reported windows return to their documents.
 
 Words are compared as words in the index; hashes only decide where they meet.
+Copies, and windows in the broadcast table, are told by 128 bits of hash.
 """
 
 from __future__ import annotations
@@ -106,26 +107,27 @@ class Runs:
 
 
 def _anchor_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """id, anchor: the distinct anchors of each document."""
+    """id, row, anchor: the distinct anchors of each (id, row, text)."""
     for batch in batches:
-        ids, done = batch.column(0).to_numpy(), 0
-        for piece in pieces(batch.column(1)):
+        ids, rows, done = batch.column(0).to_numpy(), batch.column(1).to_numpy(), 0
+        for piece in pieces(batch.column(2)):
             runs = Runs(piece)
             order = np.lexsort((runs.anchor, runs.owner))
             owner, anchor = runs.owner[order], runs.anchor[order]
             fresh = np.ones(len(order), bool)
             fresh[1:] = (owner[1:] != owner[:-1]) | (anchor[1:] != anchor[:-1])
+            own = done + owner[fresh]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[done + owner[fresh]]), pa.array(anchor[fresh])], names=["id", "anchor"]
+                [pa.array(ids[own]), pa.array(rows[own]), pa.array(anchor[fresh])], names=["id", "row", "anchor"]
             )
             done += len(piece)
 
 
 # segments
 
-SEGMENT = "id bigint, row int, start int, shard bigint, hot boolean, words string"
+SEGMENT = "id bigint, row bigint, start int, shard bigint, hot boolean, words string"
 _SEGMENT = pa.schema(
-    [("id", pa.int64()), ("row", pa.int32()), ("start", pa.int32()), ("shard", pa.int64()), ("hot", pa.bool_()), ("words", pa.string())]
+    [("id", pa.int64()), ("row", pa.int64()), ("start", pa.int32()), ("shard", pa.int64()), ("hot", pa.bool_()), ("words", pa.string())]
 )
 
 
@@ -133,6 +135,11 @@ def window_shard(text: bytes) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(text, 1)).view(np.int64))
 
 
+def window_name(text: bytes) -> bytes:
+    """128 bits that stand for a window in a broadcast table."""
+    return xxhash.xxh3_128_digest(text)
+
+
 def _segment_batches(with_hot: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The runs of windows with shared anchors of each (id, row, text, shared, hot)."""
@@ -354,18 +361,23 @@ def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _ranges(out: list[tuple[int, int, int, int]]) -> pa.RecordBatch:
     columns = list(zip(*out)) or [()] * 4
-    types = (pa.int64(), pa.int32(), pa.int32(), pa.int32())
+    types = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
     return pa.RecordBatch.from_arrays(
         [pa.array(c, t) for c, t in zip(columns, types)], names=["id", "row", "begin", "end"]
     )
 
 
 def _window_least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """shard and least key of single windows, from (shard, words, id)."""
+    """shard, words, name and least key of single windows, from (shard, words, id)."""
     for rows, least in _indexed(batches, 3):
         yield pa.RecordBatch.from_arrays(
-            [pa.array([r[0] for r in rows], pa.int64()), pa.array([int(f[0]) for f in least], pa.int64())],
-            names=["shard", "least"],
+            [
+                pa.array([r[0] for r in rows], pa.int64()),
+                pa.array([r[1] for r in rows], pa.string()),
+                pa.array([window_name(r[1].encode("utf-8", "surrogatepass")) for r in rows], pa.binary()),
+                pa.array([int(f[0]) for f in least], pa.int64()),
+            ],
+            names=["shard", "words", "name", "least"],
         )
 
 
@@ -380,7 +392,7 @@ def keep_words(id_: Column, text: Column, runs: Column, copy: Column, hot: Colum
 
     ``runs`` are runs of window starts that go, ``copy`` tells that all of them
     do, and ``hot`` are the anchors whose windows are looked up in ``least``, a
-    broadcast table of window hashes and keys.
+    broadcast table of window names and keys.
     """
 
     def run(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
@@ -416,13 +428,13 @@ def keep_words(id_: Column, text: Column, runs: Column, copy: Column, hot: Colum
     return F.arrow_udf(run, KEPT)(id_, text, runs, copy, hot)
 
 
-def _held(text: str, busy: list[int], key: int, least: dict[int, int]) -> list[tuple[int, int]]:
+def _held(text: str, busy: list[int], key: int, least: dict[bytes, int]) -> list[tuple[int, int]]:
     """Single windows with a hot anchor that a smaller key has."""
     runs = Runs([text])
     spans = []
     for at in np.flatnonzero(np.isin(runs.anchor, np.array(busy, np.int64))):
         for start in range(int(runs.first[at]), int(runs.end[at])):
-            if least.get(window_shard(b" ".join(runs.split[0][start : start + WINDOW])), key) < key:
+            if least.get(window_name(b" ".join(runs.split[0][start : start + WINDOW])), key) < key:
                 spans.append((start, start + 1))
     return spans
 
@@ -443,57 +455,52 @@ def remove_repeats(
     columns are not read.
     """
     body = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("t"))
+    # tells texts under the same id apart
+    body = body.select("id", F.xxhash64("t").alias("row"), "t")
+    row = ["id", "row"]
     known = body.where(F.col("id").isNotNull())
     copies = staged(_copies(known), "copies")
-    anchors = known.mapInArrow(_anchor_batches, "id bigint, anchor bigint")
+    anchors = staged(known.mapInArrow(_anchor_batches, "id bigint, row bigint, anchor bigint"), "found")
     seen = anchors.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
     shared = staged(seen.select("anchor", (F.col("n") > hot).alias("hot")), "anchors")
     of_doc = (
         anchors.join(shared, "anchor")
-        .groupBy("id")
+        .groupBy(*row)
         .agg(F.collect_set("anchor").alias("shared"), F.collect_set(F.when(F.col("hot"), F.col("anchor"))).alias("busy"))
     )
-    of_doc = staged(of_doc.join(copies.select("id").distinct(), "id", "left_anti"), "shared")
+    of_doc = staged(of_doc.join(copies, row, "left_anti"), "shared")
     least = _broadcast_least(known, shared, hot_anchors, hot_windows)
-    # Both joins with the texts are by id and from the left, with nothing asked
-    # of the texts before, so the texts are shuffled once for the two.
+    # Both joins with the texts are by id and row and from the left, with nothing
+    # asked of the texts before, so the texts are shuffled once for the two.
     given = F.when(F.col("shared").isNotNull(), F.col("t"))
     segments = (
-        body.join(of_doc, "id", "left")
-        .select("id", _row(F.col("t")).alias("row"), given.alias("t"), "shared", "busy")
+        body.join(of_doc, row, "left")
+        .select(*row, given.alias("t"), "shared", "busy")
         .mapInArrow(_segment_batches(with_hot=least is None), SEGMENT)
     )
     order = ["shard", "words", "id", "row", "start"]
     plain = segments.where(~F.col("hot")).select(*order).repartition("shard").sortWithinPartitions(*order)
-    ranges = plain.mapInArrow(_repeats, "id bigint, row int, begin int, end int")
+    ranges = plain.mapInArrow(_repeats, "id bigint, row bigint, begin int, end int")
     if least is None:
         ranges = ranges.unionByName(_hot_ranges(segments.where("hot")))
-    runs = ranges.groupBy("id").agg(F.collect_list(F.struct("row", "begin", "end")).alias("runs"))
-    told = runs.join(copies.groupBy("id").agg(F.collect_set("row").alias("copies")), "id", "full_outer").join(
-        of_doc.where(F.size("busy") > 0).select("id", "busy"), "id", "full_outer"
+    runs = ranges.groupBy(*row).agg(F.collect_list(F.struct("begin", "end")).alias("runs"))
+    told = runs.join(copies.withColumn("copy", F.lit(True)), row, "full_outer").join(
+        of_doc.where(F.size("busy") > 0).select(*row, "busy"), row, "full_outer"
     )
-    own = F.filter("runs", lambda r: r["row"] == _row(F.col("t")))
-    copied = F.coalesce(F.array_contains("copies", _row(F.col("t"))), F.lit(False))
-    kept = keep_words(F.col("id"), F.col("t"), own, copied, F.col("busy"), least)
-    return body.join(told, "id", "left").select(F.col("id").alias(key), kept.alias("x")).select(key, "x.*")
-
-
-def _row(text: Column) -> Column:
-    """Tells rows with the same key apart by their texts."""
-    return F.hash(text)
+    copied = F.coalesce("copy", F.lit(False))
+    kept = keep_words(F.col("id"), F.col("t"), F.col("runs"), copied, F.col("busy"), least)
+    return body.join(told, row, "left").select(F.col("id").alias(key), kept.alias("x")).select(key, "x.*")
 
 
 def _copies(known: DataFrame) -> DataFrame:
     """id, row: documents whose text a smaller id has too, by 128 bits of hash."""
-    named = known.where(F.col("t").isNotNull()).select(
-        "id", _row(F.col("t")).alias("row"), F.xxhash64("t").alias("a"), F.xxhash64(F.lit(7), "t").alias("b")
-    )
-    first = named.groupBy("a", "b").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1")
-    return named.join(first, ["a", "b"]).where("first < id").select("id", "row").distinct()
+    named = known.where(F.col("t").isNotNull()).select("id", "row", F.xxhash64(F.lit(7), "t").alias("b"))
+    first = named.groupBy("row", "b").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1")
+    return named.join(first, ["row", "b"]).where("first < id").select("id", "row").distinct()
 
 
 def _broadcast_least(known: DataFrame, shared: DataFrame, hot_anchors: int, hot_windows: int):
-    """Least key by hash of every window with a hot anchor, broadcast; None if there are too many."""
+    """Least key by name of every window with a hot anchor, broadcast; None if there are too many."""
     hot = shared.where("hot").select("anchor")
     spark = known.sparkSession
     if hot.count() > hot_anchors:
@@ -501,22 +508,25 @@ def _broadcast_least(known: DataFrame, shared: DataFrame, hot_anchors: int, hot_
     listed = np.array(sorted(r[0] for r in hot.collect()), np.int64)
     if not len(listed):
         return spark.sparkContext.broadcast({})
-    windows = known.mapInArrow(_hot_batches(spark.sparkContext.broadcast(listed)), "id bigint, shard bigint, words string")
+    texts = known.select("id", "t")
+    windows = texts.mapInArrow(_hot_batches(spark.sparkContext.broadcast(listed)), "id bigint, shard bigint, words string")
     found = staged(_least(windows), "windows")
     if found.count() > hot_windows:
         return None
-    return spark.sparkContext.broadcast(dict(found.groupBy("shard").agg(F.min("least")).collect()))
+    return spark.sparkContext.broadcast({bytes(name): least for name, least in found.select("name", "least").collect()})
 
 
 def _least(windows: DataFrame) -> DataFrame:
     """Least key of each single window, through the index of its shard."""
     order = ["shard", "words", "id"]
     each = windows.groupBy("shard", "words").agg(F.min("id").alias("id")).select(*order)
-    return each.repartition("shard").sortWithinPartitions(*order).mapInArrow(_window_least, "shard bigint, least bigint")
+    return each.repartition("shard").sortWithinPartitions(*order).mapInArrow(
+        _window_least, "shard bigint, words string, name binary, least bigint"
+    )
 
 
 def _hot_ranges(windows: DataFrame) -> DataFrame:
     """Runs from single windows, summed to one row each before they meet an index."""
-    found = staged(_least(windows.select("shard", "words", "id")), "windows")
-    met = windows.select("id", "row", "start", "shard").join(found, "shard").where("least < id")
+    found = staged(_least(windows.select("shard", "words", "id")), "windows").select("shard", "words", "least")
+    met = windows.select("id", "row", "start", "shard", "words").join(found, ["shard", "words"]).where("least < id")
     return met.select("id", "row", F.col("start").alias("begin"), (F.col("start") + 1).alias("end"))
