@@ -185,3 +185,13 @@ def test_ftrl_is_sparse_and_calibrated():
     logits = np.array([[4.0, 0.0]] * 100)
     truth = np.array([0] * 75 + [1] * 25)
     assert abs(language.softmax(logits[0] / language.fit_temperature(logits, truth))[0] - 0.75) < 0.02
+
+
+def test_document_frequencies_count_each_text_once(spark):
+    texts = [f"ab{'c' * (k % 3)} x{k % 7}y" for k in range(3 * language.TEXTS_AT_ONCE + 5)] + ["", None, "1 2"]
+    wanted = Counter()
+    for text in texts:
+        wanted.update({int(b) for _, buckets in language.grams([text])[0] for b in buckets})
+    frame = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    found = dict(language.document_frequencies(frame).collect())
+    assert found.pop(-1) == len(texts) and found == dict(wanted)

@@ -28,6 +28,7 @@ BUCKETS = 1 << 15
 SAMPLE = 1_000
 DRAWS = 1 << 62
 MAX_LANGUAGES = 1_000
+TEXTS_AT_ONCE = 128
 UNKNOWN = "und"
 SCALE = 100.0
 _SEEDS = splitmix(np.arange(1, ORDERS + 1)) | np.uint64(1)
@@ -70,10 +71,13 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     found, texts_seen = np.zeros(BUCKETS, np.int64), 0
     for batch in batches:
         for piece in pieces(batch.column(0)):
-            held = np.zeros((len(piece), BUCKETS), bool)
-            for owner, bucket in grams(piece)[0]:
-                held[owner, bucket] = True
-            found += held.sum(axis=0)
+            per_order = grams(piece)[0]
+            for begin in range(0, len(piece), TEXTS_AT_ONCE):
+                held = np.zeros((min(TEXTS_AT_ONCE, len(piece) - begin), BUCKETS), bool)
+                for owner, bucket in per_order:
+                    own = slice(*np.searchsorted(owner, [begin, begin + TEXTS_AT_ONCE]))
+                    held[owner[own] - begin, bucket[own]] = True
+                found += held.sum(axis=0)
             texts_seen += len(piece)
     where = np.flatnonzero(found)
     yield pa.RecordBatch.from_arrays(
