@@ -146,6 +146,17 @@ def test_a_hot_key_full_of_copies_and_a_hot_null_key(spark):
     assert wrong == 0
 
 
+def test_rows_without_a_key_are_dealt_over_all_tasks(spark, features):
+    """In a sorted lookup, too, no task gets all rows with a NULL key."""
+    left = spark.range(4000).selectExpr(
+        "cast(id as int) id", "cast(if(id % 4 = 0, 1, null) as int) k", "timestamp_ntz'2024-01-01 00:30:00' t"
+    )
+    found = look_up(left, features, strategy="sorted")
+    assert found.count() == 4000 and found.where("k is null and (f is not null or g is not null)").isEmpty()
+    sizes = [r["count"] for r in found.where("k is null").groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) > 1 and max(sizes) < 2000
+
+
 def test_cuts_even_out_a_hot_key(spark):
     rows = spark.range(100_000).select(
         F.when(F.col("id") % 3 == 0, 1).otherwise((F.col("id") % 500 + 10).cast("int")).alias("k"),

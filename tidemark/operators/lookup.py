@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,6 +17,7 @@ from tidemark.session import estimated_bytes
 # Up to this optimizer estimate (compressed file bytes) one task can hold any group.
 SMALL_INPUT_BYTES = 64 * 1024 * 1024
 STRATEGIES = ("auto", "sorted", "bucketed", "split")
+_DEALT_BY = (T.NumericType, T.StringType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
 @dataclass(frozen=True)
@@ -159,22 +162,31 @@ def _sorted_pass(
 
     Left rows with a NULL key only meet each other (feature rows with NULL keys
     are gone), and a NULL time sorts before every feature, so both get NULLs.
+    The former are dealt by a hash of all that they hold, so that no task has
+    them all.
     """
     feature_side, left_side = _sides(options)
+    plain = [f.name for f in left.schema.fields if isinstance(f.dataType, _DEALT_BY)]
+    no_key = reduce(or_, [F.col(c).isNull() for c in left_keys])
     left_rows = left.select(
         *[F.col(c).alias(k) for c, k in zip(left_keys, keys)],
         F.col(left_ts).cast(ts_type).alias("__t"),
         F.lit(left_side).alias("__side"),
+        F.when(no_key, F.xxhash64(*plain)).otherwise(F.lit(0)).alias("__deal"),
         F.struct(*left.columns).alias("__row"),
         _null_features(feature_rows.schema["__f"].dataType).alias("__f"),
     )
     stacked = left_rows.unionByName(
-        feature_rows.withColumn("__side", F.lit(feature_side)).withColumn(
-            "__row", F.lit(None).cast(left_rows.schema["__row"].dataType)
+        feature_rows.withColumns(
+            {
+                "__side": F.lit(feature_side),
+                "__deal": F.lit(0).cast("long"),
+                "__row": F.lit(None).cast(left_rows.schema["__row"].dataType),
+            }
         )
     )
     return (
-        stacked.withColumn("__f", _latest(keys))
+        stacked.withColumn("__f", _latest([*keys, "__deal"]))
         .filter(F.col("__side") == left_side)
         .select("__row.*", "__f")
     )
