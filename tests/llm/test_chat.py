@@ -76,3 +76,29 @@ def test_texts_hold_no_control_strings(spark):
 
 def test_empty(spark):
     assert rows_of(chat.read_back(chat.examples(frame_of(spark, [])))) == []
+
+
+def test_each_example_holds_all_turns_before_its_reply(spark):
+    rows = chat.examples(frame_of(spark)).collect()
+    for key, turns in ordered().items():
+        replies = [i for i, (role, _) in enumerate(turns) if role == "assistant"]
+        own = sorted((r for r in rows if r["conv_id"] == key and r["target"] is not None), key=lambda r: r["example"])
+        assert len(own) == len(replies)
+        for r, at in zip(own, replies):
+            read = [(chat.role_of(m[1]), chat.unescaped(m[2])) for m in chat._TURN.finditer(r["context"])]
+            assert read == turns[:at] and r["context"].endswith("[TURN]assistant\n")
+
+
+def test_context_of_other_turns_is_an_error(spark):
+    rows = chat.examples(frame_of(spark, [t for t in TURNS if t[0] == 1]))
+    wrong = rows.withColumn("context", F.regexp_replace("context", "be kind", "be blunt"))
+    with pytest.raises(Exception, match="an example of conversation 1"):
+        chat.read_back(wrong.where("example = 0").unionByName(rows.where("example > 0"))).collect()
+    other = rows.withColumn("context", F.regexp_replace("context", "be kind", "be good"))
+    with pytest.raises(Exception, match="does not begin with"):
+        chat.read_back(other.where("example = 0").unionByName(rows.where("example > 0"))).collect()
+
+
+def test_examples_are_sorted_once(spark):
+    plan = chat.read_back(chat.examples(frame_of(spark)))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Sort [") == 2 and plan.count("Exchange hashpartitioning") == 1

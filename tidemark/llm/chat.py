@@ -5,10 +5,10 @@ conversation between ``<s>`` and ``</s>``. Control strings inside roles and
 texts are broken by a backslash after their first character; one more is added
 where a text has such backslashes already, so nothing is lost.
 
-The context of an example is the whole conversation up to its reply, so the
-contexts of a long conversation are prefixes of each other. They are kept as
-such: an example holds what is new since the reply before it, and the number
-of characters that it shares. ``materialise`` writes whole texts.
+The context of an example is the whole conversation up to its reply, written
+out, so the examples of a conversation are together as long as all prefixes of
+it. They are made row by row in the order of the conversation, after its turns
+were shuffled once; no task holds more of them than a batch.
 """
 
 from __future__ import annotations
@@ -51,13 +51,13 @@ def role_of(text: str) -> str:
 def examples(
     turns: DataFrame, key: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text"
 ) -> DataFrame:
-    """One row per reply, and one for turns after the last reply, in parts of the formatted conversation.
+    """One row per reply with all turns before it as ``context``, and one for turns after the last reply.
 
-    ``example`` counts them from 0 in each conversation; ``shared`` is the
-    number of characters of the conversation before ``context``, which holds
-    what is new since the last reply and the mark of this one; ``target`` is
-    the reply, the only part to train on, and NULL in a row without one;
-    ``closing`` follows it.
+    ``example`` counts them from 0 in each conversation; ``context`` is the
+    formatted conversation from its begin to the mark of this reply, and its
+    first ``shared`` characters are the whole example before this one;
+    ``target`` is the reply, the only part to train on, and NULL in a row
+    without one; ``closing`` follows it.
 
     Turns go by ``turn``, NULL first, then by role and text, so ties have a
     fixed order; repeated rows are repeated turns. A NULL text or role is an
@@ -95,35 +95,36 @@ def examples(
         F.array_join(F.transform(listed, lambda x: x["context"]), "").alias("context"),
         F.max("target").alias("target"),
         F.coalesce(F.max("closing"), F.lit("")).alias("closing"),
-        F.count("*").alias("turns"),
-    )
-    size = F.length("context") + F.coalesce(F.length("target"), F.lit(0)) + F.length("closing")
-    run = Window.partitionBy("key").orderBy("example").rowsBetween(Window.unboundedPreceding, -1)
+    ).withColumnRenamed("key", key)  # before the window, so that its order is known to ``read_back``
+    part = _text(F.col("context"))
+    run = Window.partitionBy(key).orderBy("example").rowsBetween(Window.unboundedPreceding, -1)
+    preceding = F.array_join(F.collect_list(part).over(run), "")
     return whole.select(
-        F.col("key").alias(key),
+        key,
         "example",
-        F.coalesce(F.sum(size.cast("long")).over(run), F.lit(0)).alias("shared"),
-        "context",
+        F.coalesce(F.sum(F.length(part).cast("long")).over(run), F.lit(0)).alias("shared"),
+        F.concat(preceding, "context").alias("context"),
         "target",
         "closing",
     )
 
 
+def _text(context: Column) -> Column:
+    return F.concat(context, F.coalesce(F.col("target"), F.lit("")), F.col("closing"))
+
+
 def materialise(found: DataFrame, key: str = "conv_id") -> DataFrame:
-    """Whole examples: ``text``, and the trainable characters from ``begin`` to ``end`` (exclusive).
+    """Training texts: ``text``, and the trainable characters from ``begin`` to ``end`` (exclusive).
 
-    Rows without a reply are left out. The texts of a conversation are as long
-    as all prefixes of it together; for very long conversations train from the
-    shared parts instead.
+    Rows without a reply are left out.
     """
-    part = F.concat("context", F.coalesce("target", F.lit("")), "closing")
-    run = Window.partitionBy(key).orderBy("example").rowsBetween(Window.unboundedPreceding, 0)
-    begin = F.col("shared") + F.length("context")
-    whole = found.select(
-        key, "example", "target", F.array_join(F.collect_list(part).over(run), "").alias("text"), begin.alias("begin")
-    )
-    return whole.where(F.col("target").isNotNull()).select(
-        key, "example", "text", "begin", (F.col("begin") + F.length("target")).alias("end")
+    begin = F.length("context")
+    return found.where(F.col("target").isNotNull()).select(
+        key,
+        "example",
+        _text(F.col("context")).alias("text"),
+        begin.cast("long").alias("begin"),
+        (begin + F.length("target")).cast("long").alias("end"),
     )
 
 
@@ -131,28 +132,32 @@ READ = "n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 stri
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Digests of each conversation from its examples, which come in order; nothing longer than a row is held.
+    """Digests of each conversation from its examples, which come in order; two examples are held.
 
-    An example whose context does not begin with all that is read so far is an error.
+    An example whose context does not begin with the whole example before it is
+    an error, so each holds all turns before its reply.
     """
     key, state = None, None
 
     def closed():
-        turns, digest, chars, loss, size = state
-        return (key, turns, digest.hexdigest(), chars, loss.hexdigest(), size)
+        turns, digest, chars, loss, before = state
+        return (key, turns, digest.hexdigest(), chars, loss.hexdigest(), len(before))
 
     for batch in batches:
         done = []
-        for own, shared, context, target, closing in zip(*[batch.column(k).to_pylist() for k in range(5)]):
+        columns = [(v.as_py() for v in batch.column(k)) for k in range(5)]
+        for own, shared, context, target, closing in zip(*columns):
             if state is None or own != key:
                 if state is not None:
                     done.append(closed())
-                key, state = own, [0, hashlib.sha256(), 0, hashlib.sha256(), 0]
-            if shared != state[4]:
-                raise ValueError(f"an example of conversation {key} shares {shared} characters and not {state[4]}")
-            text = context + (target or "") + closing
-            state[4] += len(text)
-            for match in _TURN.finditer(text):
+                key, state = own, [0, hashlib.sha256(), 0, hashlib.sha256(), ""]
+            before = state[4]
+            if shared != len(before):
+                raise ValueError(f"an example of conversation {key} shares {shared} characters and not {len(before)}")
+            if not context.startswith(before):
+                raise ValueError(f"an example of conversation {key} does not begin with the example before it")
+            state[4] = context + (target or "") + closing
+            for match in _TURN.finditer(state[4], shared):
                 state[0] += 1
                 state[1].update(f"{role_of(match[1])}\n{unescaped(match[2])}\n".encode("utf-8", "surrogatepass"))
             if target is not None:
@@ -174,8 +179,8 @@ def _digests(rows: list[tuple]) -> pa.RecordBatch:
 def read_back(found: DataFrame, key: str = "conv_id") -> DataFrame:
     """What a reader of the examples gets back per conversation: turns, and all text under the loss mask.
 
-    ``shared`` of each example must be what the examples before it add up to,
-    so its context is all preceding turns; else the job fails.
+    The context of each example must begin with the whole example before it,
+    so it is all preceding turns; else the job fails.
     """
     rows = found.repartition(key).sortWithinPartitions(key, "example").select(
         F.col(key).cast("long").alias("key"), "shared", "context", "target", "closing"
