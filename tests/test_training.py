@@ -186,3 +186,32 @@ def test_stored_features_out_of_reach_are_not_read(spark, database):
         )
         assert rows_of(add_features(day, [pruned])) == rows_of(add_features(day, [whole]))
     assert pruned.resolve(day.filter("false"))[0].count() == table.read(spark).count()
+
+
+def test_training_rows_are_made_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(x):
+        made.add(1)
+        return float(x % 7)
+
+    rows = spark.range(400).select(F.col("id").alias("x"), F.when(F.col("id") >= 50, counted("id")).alias("y"))
+    model = fit_regression(rows, ["x"], "y", rounds=3, depth=2)
+    assert predict(model, rows.select("x")).count() == 400
+    assert 350 <= made.value <= 2 * 400  # the filter and the column may each call it
+
+
+def test_many_training_rows_are_dealt_evenly(spark, monkeypatch):
+    from tidemark.models import regression
+
+    rows = spark.range(4000).selectExpr("cast(id % 3 AS double) AS `a x`", "cast(id % 3 AS double) AS y").coalesce(1)
+    few = predict(fit_regression(rows, ["a x"], "y", rounds=2, depth=2), rows.select("a x")).distinct()
+    numbered = rows.select("*", F.monotonically_increasing_id().alias("__at"))
+    assert [r["a x"] for r in regression._dealt(numbered, 4000).collect()] == [i % 3 for i in range(4000)]
+    monkeypatch.setattr(regression, "LEAST_ROWS", 100)
+    sizes = regression._dealt(numbered, 4000).rdd.glom().map(len).collect()
+    assert len(sizes) == 2 * spark.sparkContext.defaultParallelism and max(sizes) - min(sizes) <= 1
+    many = predict(fit_regression(rows, ["a x"], "y", rounds=2, depth=2), rows.select("a x")).distinct()
+    pairs = zip(many.orderBy("a x").collect(), few.orderBy("a x").collect(), strict=True)
+    assert all(tuple(m) == pytest.approx(tuple(f)) for m, f in pairs)

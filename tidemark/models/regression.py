@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
@@ -20,13 +21,16 @@ from tidemark.operators.training import (
     lookups_from_json,
     lookups_to_json,
 )
-from tidemark.session import ensure_checkpoint_dir
+from tidemark.session import delete_path, ensure_checkpoint_dir, scratch_path
 
 # 100 rounds; depth 5 allows the 32 leaves per tree asked for.
 ROUNDS = 100
 DEPTH = 5
 SEED = 123
 MISSING_VALUE = 0.0
+# Training rows that are worth a task of their own, and the most that boosting holds as one block.
+LEAST_ROWS, MOST_ROWS = 20_000, 500_000
+TASKS_PER_CORE = 2
 
 
 def regression_pipeline(
@@ -84,11 +88,42 @@ def linear_pipeline(feature_columns: Sequence[str], label: str, missing_value: f
 def fit_regression(
     train: DataFrame, feature_columns: Sequence[str], label: str, rounds: int = ROUNDS, **options
 ) -> PipelineModel:
-    """Train on the executors. Rows without a label are left out."""
-    ensure_checkpoint_dir(train.sparkSession)  # boosting cuts its lineage there
-    columns = [*feature_columns, label]
-    rows = train.select(*columns).filter(F.col(label).isNotNull())
-    return regression_pipeline(feature_columns, label, rounds, **options).fit(rows)
+    """Train on the executors. Rows without a label are left out.
+
+    Training reads its rows several times before the first tree and plans them
+    more than once, so the narrow rows are written to the shared folder first
+    and what they come from runs once. The dealt rows are kept on disk, as
+    boosting needs the memory for its own copies.
+    """
+    spark = train.sparkSession
+    ensure_checkpoint_dir(spark)  # boosting cuts its lineage there
+    features = [F.col(f"`{c}`").cast("double").alias(c) for c in feature_columns]
+    rows = train.select(*features, label).filter(F.col(label).isNotNull())
+    numbered = rows.select("*", F.monotonically_increasing_id().alias("__at"))
+    path = scratch_path(spark, "fit")
+    dealt = None
+    try:
+        numbered.write.parquet(path)
+        staged = spark.read.schema(numbered.schema).parquet(path)
+        dealt = _dealt(staged, staged.count()).persist(StorageLevel.DISK_ONLY)
+        return regression_pipeline(feature_columns, label, rounds, **options).fit(dealt)
+    finally:
+        if dealt is not None:
+            dealt.unpersist()
+        delete_path(spark, path)
+
+
+def _dealt(rows: DataFrame, n: int) -> DataFrame:
+    """``n`` training rows in even tasks, a few for each core, in the order of ``__at``, which goes.
+
+    Each round of boosting waits for its slowest task, hundreds of times. The
+    order makes a task that runs again see its rows as the first time, which
+    boosting relies on when it pairs them with their errors. Few rows are one
+    task.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    tasks = min(-(-n // LEAST_ROWS), max(TASKS_PER_CORE * cores, -(-n // MOST_ROWS)))
+    return rows.repartition(max(1, tasks)).sortWithinPartitions("__at").drop("__at")
 
 
 def predict(model: PipelineModel, df: DataFrame, output: str = "prediction") -> DataFrame:
