@@ -215,3 +215,46 @@ def test_many_training_rows_are_dealt_evenly(spark, monkeypatch):
     many = predict(fit_regression(rows, ["a x"], "y", rounds=2, depth=2), rows.select("a x")).distinct()
     pairs = zip(many.orderBy("a x").collect(), few.orderBy("a x").collect(), strict=True)
     assert all(tuple(m) == pytest.approx(tuple(f)) for m, f in pairs)
+
+
+def test_very_many_training_rows_are_one_task_a_core(spark, monkeypatch):
+    from tidemark.models import regression
+
+    numbered = spark.range(4000).withColumn("__at", F.col("id")).coalesce(1)
+    cores = spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(regression, "LEAST_ROWS", 100)
+    monkeypatch.setattr(regression, "MANY_ROWS", 4000 // cores, raising=False)
+    for most, turns in ((4000, 1), (4000 // cores, 1), (4000 // cores - 1, 2), (300, 4)):
+        monkeypatch.setattr(regression, "MOST_ROWS", most)
+        dealt = regression._dealt(numbered, 4000).rdd.glom().map(lambda rows: [r["id"] for r in rows]).collect()
+        sizes = [len(ids) for ids in dealt]
+        assert len(sizes) == turns * cores and max(sizes) - min(sizes) <= 2
+        assert all(ids == sorted(ids) for ids in dealt) and sorted(sum(dealt, [])) == list(range(4000))
+
+
+def test_trips_kept_for_the_test_are_not_looked_up(spark, tmp_path, monkeypatch):
+    from tidemark.plans import models
+
+    seen = {}
+
+    def stored_rows(facts, lookups):
+        seen["base"] = facts
+        seen["rows"] = fare_training_set(facts, lookups)
+        return seen["rows"]
+
+    def fitted(train, inputs, label):
+        seen["train"] = train
+        return fit_regression(train, inputs, label, rounds=1, depth=1)
+
+    monkeypatch.setattr(models, "fare_training_set", stored_rows)
+    monkeypatch.setattr(models, "fit_regression", fitted)
+    folder = str(tmp_path)
+    spark.range(300).selectExpr(
+        "id AS event_id", "id % 7 AS user_id", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, cast(id * 5 AS int)) AS ts",
+        "cast(id % 11 AS double) AS value",
+    ).write.parquet(f"{folder}/events.parquet")
+    models._package(spark, folder)
+    facts = trips(spark, folder)
+    whole = fare_training_set(facts, seen["rows"].lookups).load_df()  # split after the lookups
+    assert rows_of(seen["train"]) == rows_of(train_test_split(whole, ["trip_id"])[0])
+    assert rows_of(seen["base"]) == rows_of(train_test_split(facts, ["trip_id"])[0])

@@ -28,8 +28,9 @@ ROUNDS = 100
 DEPTH = 5
 SEED = 123
 MISSING_VALUE = 0.0
-# Training rows that are worth a task of their own, and the most that boosting holds as one block.
-LEAST_ROWS, MOST_ROWS = 20_000, 500_000
+# Training rows that are worth a task of their own, so many that a core takes them as one, and the most that
+# boosting holds as one block.
+LEAST_ROWS, MANY_ROWS, MOST_ROWS = 20_000, 200_000, 2_500_000
 TASKS_PER_CORE = 2
 
 
@@ -114,15 +115,21 @@ def fit_regression(
 
 
 def _dealt(rows: DataFrame, n: int) -> DataFrame:
-    """``n`` training rows in even tasks, a few for each core, in the order of ``__at``, which goes.
-
-    Each round of boosting waits for its slowest task, hundreds of times. The
-    order makes a task that runs again see its rows as the first time, which
-    boosting relies on when it pairs them with their errors. Few rows are one
-    task.
+    """``n`` training rows in even tasks, in the order of ``__at``, which goes.
+
+    Each round of boosting waits for its slowest task, hundreds of times, and
+    pays for each task that puts its errors in memory. Few rows are one task,
+    more are two for each core, many are one for each core, and what boosting
+    would hold as too large blocks is dealt in whole turns of all cores, so
+    that no core waits in the last turn. The order makes a task that runs again
+    see its rows as the first time, which boosting relies on when it pairs them
+    with their errors.
     """
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    tasks = min(-(-n // LEAST_ROWS), max(TASKS_PER_CORE * cores, -(-n // MOST_ROWS)))
+    if n < MANY_ROWS * cores:
+        tasks = min(-(-n // LEAST_ROWS), TASKS_PER_CORE * cores)
+    else:
+        tasks = cores * -(-n // (MOST_ROWS * cores))
     return rows.repartition(max(1, tasks)).sortWithinPartitions("__at").drop("__at")
 
 

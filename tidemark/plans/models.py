@@ -42,10 +42,9 @@ def _package(spark: SparkSession, folder: str) -> PackagedModel:
     slot = (spark.sparkContext.applicationId, folder)
     if slot not in _PACKAGES:
         lookups = table_lookups(*written_tables(spark, folder))
-        facts = trips(spark, folder)
-        rows = fare_training_set(facts, lookups)
-        train, _ = train_test_split(rows.load_df(), ["trip_id"])
-        model = fit_regression(train, REQUEST, LABEL)
+        train, _ = train_test_split(trips(spark, folder), ["trip_id"])
+        rows = fare_training_set(train, lookups)  # test trips are split off first and not looked up
+        model = fit_regression(rows.load_df(), REQUEST, LABEL)
         path = scratch_path(spark, "package")
         PackagedModel(model, tuple(REQUEST), rows.lookups).save(spark, path)
         _PACKAGES[slot] = path
